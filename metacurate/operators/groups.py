@@ -48,7 +48,7 @@ def pack_groups(
     large = large_groups(rows, keys, per_row).select(
         *[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)],
         F.col("n").alias("_size"),
-        F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).cast("bigint").alias("_large_salt"),
+        F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(salts - 1).cast("bigint"))).alias("_large_salt"),
     )
     salted = rows.withColumn("_salt", F.pmod(F.xxhash64(item), F.lit(salts)))
     on = F.col("_salt") == F.col("_large_salt")

@@ -197,19 +197,25 @@ def select_runs(
     return out.drop("target", "sample_id", "study_id")
 
 
+def first_files(files: DataFrame, key: str, order: Sequence[str], name: str, md5: str) -> DataFrame:
+    """First file per key as ``(key, files)``, combined on the map side however many files a key has."""
+    first = F.min(F.struct(*order, F.col(name).alias("_name"), F.col(md5).alias("_md5")))
+    return files.groupBy(key).agg(first.alias("f")).select(
+        key, F.array(F.struct(F.col("f._name").alias("name"), F.col("f._md5").alias("md5"))).alias("files")
+    )
+
+
 def ontology_terms(
     attributes: Column, classes: Mapping[str, Sequence[str]] = presets.ONTOLOGY_CLASSES
 ) -> Column:
     """``CLASS-term`` entries joined by ``;``: classes in order, then attributes, then positions."""
-    entries = [
-        F.transform(
-            F.filter(instances_of(attributes, name), lambda a: a["term_source_id"].isNotNull()),
-            lambda a, label=label: F.concat(F.lit(f"{label}-"), term_reference(a["term_source_id"])),
-        )
-        for label, names in classes.items()
-        for name in names
-    ]
-    return F.array_join(F.concat(*entries), ";")
+
+    def entries(label: str, name: str) -> Column:
+        defined = F.filter(instances_of(attributes, name), lambda a: a["term_source_id"].isNotNull())
+        return F.transform(defined, lambda a: F.concat(F.lit(f"{label}-"), term_reference(a["term_source_id"])))
+
+    listed = [entries(label, name) for label, names in classes.items() for name in names]
+    return F.array_join(F.concat(*listed), ";")
 
 
 def first_value(attributes: Column, name: str) -> Column:

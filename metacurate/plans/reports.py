@@ -16,65 +16,63 @@ from metacurate.functions.messages import (
     strip_date,
 )
 from metacurate.functions.values import joined_text
-from metacurate.operators.conditions import drop_matching
+from metacurate.operators.conditions import drop_matching, keep_matching
 from metacurate.operators.groups import DEFAULT_PER_ROW, joined_groups
 from metacurate.presets import CANDIDATE_PATTERNS, NOISE_MESSAGES
 
-REPORT_KEYS = ["severity", "field", "detail"]
+MESSAGE = ["severity", "msg"]
+REPORT = [*MESSAGE, "field", "detail", "n", "part", "ids"]
 
 
 def _wanted_lines(log: DataFrame, include_warnings: bool) -> DataFrame:
     return log if include_warnings else log.where(F.col("overall") == "error")
 
 
-def log_entries(
+def log_messages(
     log: DataFrame,
     include_warnings: bool = False,
     noise: Sequence[str] = NOISE_MESSAGES,
     full_message: bool = False,
     strip_dates: bool = True,
 ) -> DataFrame:
-    """Messages of a log, ``(id, severity, msg, raw_msg)``, without the ones to ignore.
+    """Distinct messages per record, ``(id, severity, msg)``, without the ones to ignore.
 
-    ``msg`` has dates stripped, ``raw_msg`` is the text before that. A message
-    given twice in one line counts once, with its last severity.
+    A message given twice in one line counts once, with its last severity.
+    Severities other than error, and warning if wanted, are not reported.
     """
     messages = F.transform(
         split_messages(F.col("detail")),
         lambda e, i: F.struct(
-            message_text(e, full_message).alias("raw_msg"),
-            message_severity(e).alias("severity"),
-            i.alias("i"),
+            message_text(e, full_message).alias("msg"), message_severity(e).alias("severity"), i.alias("i")
         ),
     )
-    kept = messages
     if not include_warnings:
-        kept = F.filter(kept, lambda m: m["severity"] != "warning")
+        messages = F.filter(messages, lambda m: m["severity"] != "warning")
     if noise:
-        kept = F.filter(kept, lambda m: ~m["raw_msg"].isin(list(noise)))
+        messages = F.filter(messages, lambda m: ~m["msg"].isin(list(noise)))
 
-    def clean(m: Column) -> Column:
-        text = strip_date(m["raw_msg"]) if strip_dates else m["raw_msg"]
-        return F.struct(
-            text.alias("msg"), (-m["i"]).alias("rank"), m["severity"].alias("severity"), m["raw_msg"].alias("raw_msg")
-        )
+    def ranked(m: Column) -> Column:
+        text = strip_date(m["msg"]) if strip_dates else m["msg"]
+        return F.struct(text.alias("msg"), (-m["i"]).alias("rank"), m["severity"].alias("severity"))
 
-    lines = _wanted_lines(log, include_warnings).select("id", F.array_sort(F.transform(kept, clean)).alias("m"))
-    # sorted by message with the last one in front: drop the repeats behind it
-    last = F.filter(
-        "m", lambda m, i: (i == 0) | (m["msg"] != F.try_element_at(F.col("m"), i)["msg"])
+    lines = _wanted_lines(log, include_warnings).select(
+        "id", F.array_sort(F.transform(messages, ranked)).alias("m")
+    )
+    # sorted by message, its last occurrence in front: drop the repeats behind that
+    last = F.filter("m", lambda m, i: (i == 0) | (m["msg"] != F.get(F.col("m"), i - 1)["msg"]))
+    reported = ["error", "warning"] if include_warnings else ["error"]
+    return (
+        lines.select("id", F.inline(last))
+        .where(F.col("severity").isin(reported))
+        .select("id", "severity", "msg")
+        .distinct()
     )
-    return lines.select("id", F.inline(last)).select("id", "severity", "msg", "raw_msg")
 
 
-def log_messages(log: DataFrame, full_message: bool = False, **options) -> DataFrame:
-    """Distinct messages per record, ``(id, severity, field, detail)``."""
-    entries = log_entries(log, full_message=full_message, **options).select("id", "severity", "msg").distinct()
-    return entries.select(
-        "id",
-        "severity",
-        message_field(F.col("msg")).alias("field"),
-        message_detail(F.col("msg"), full_message).alias("detail"),
+def message_parts(messages: DataFrame, full_message: bool = False) -> DataFrame:
+    """Add the ``field`` and ``detail`` of each message."""
+    return messages.withColumns(
+        {"field": message_field(F.col("msg")), "detail": message_detail(F.col("msg"), full_message)}
     )
 
 
@@ -102,20 +100,24 @@ def curation_candidates(
 
 
 def affected(messages: DataFrame, members: DataFrame, group: str) -> DataFrame:
-    """Distinct ``(group, severity, field, detail, id)`` of group members with messages.
+    """``(group, severity, msg, id)`` of group members with messages.
 
-    Members are ``(group, id)``; a record in several groups counts in each.
+    Members are ``(group, id)``; a record in several groups counts in each. Both
+    sides are distinct, so the joined rows are too.
     """
     rows = members.select(group, "id").distinct().join(messages, "id")
-    return rows.select(group, *REPORT_KEYS, "id").distinct()
+    return rows.select(group, *MESSAGE, "id")
 
 
-def error_lines(rows: DataFrame, group: str, per_row: int = DEFAULT_PER_ROW) -> DataFrame:
+def error_lines(
+    rows: DataFrame, group: str, per_row: int = DEFAULT_PER_ROW, full_message: bool = False
+) -> DataFrame:
     """Affected ids per group and message, sorted and joined, with the full count ``n``.
 
     Messages with more than ``per_row`` ids take several rows.
     """
-    return joined_groups(rows, [group, *REPORT_KEYS], "id", sep=", ", into="ids", per_row=per_row)
+    packed = joined_groups(rows, [group, *MESSAGE], "id", sep=", ", into="ids", per_row=per_row)
+    return message_parts(packed, full_message)
 
 
 def group_error_report(
@@ -125,6 +127,7 @@ def group_error_report(
     include_all: bool = False,
     include_ungrouped: bool = False,
     per_row: int = DEFAULT_PER_ROW,
+    full_message: bool = False,
     **options,
 ) -> DataFrame:
     """Error report by group: header fields, message, affected ids.
@@ -133,18 +136,18 @@ def group_error_report(
     fields. Groups without errors appear only with ``include_all``; records
     without a group only with ``include_ungrouped``, under a NULL group.
     """
-    messages = log_messages(log, **options)
+    messages = log_messages(log, full_message=full_message, **options)
     rows = affected(messages, members, "group_id")
     if include_ungrouped:
         loose = drop_matching(messages, members, "id").select(
-            F.lit(None).cast("string").alias("group_id"), *REPORT_KEYS, "id"
+            F.lit(None).cast("string").alias("group_id"), *MESSAGE, "id"
         )
-        rows = rows.unionByName(loose.distinct())
-    lines = error_lines(rows, "group_id", per_row)
+        rows = rows.unionByName(loose)
+    lines = error_lines(rows, "group_id", per_row, full_message)
     # headers on the left keeps groups without errors, lines on the left keeps the NULL group
     how = {(False, False): "inner", (True, False): "left", (False, True): "right", (True, True): "full"}
     out = headers.join(lines, "group_id", how[include_all, include_ungrouped])
-    return out.select(*headers.columns, *REPORT_KEYS, "n", "part", "ids")
+    return out.select(*headers.columns, *REPORT)
 
 
 def dataset_headers(datasets: DataFrame) -> DataFrame:
@@ -177,6 +180,7 @@ def dataset_error_report(
     headers: DataFrame,
     include_all: bool = False,
     per_row: int = DEFAULT_PER_ROW,
+    full_message: bool = False,
     **options,
 ) -> DataFrame:
     """Error report by dataset, for datasets that have not met the standard.
@@ -185,11 +189,11 @@ def dataset_error_report(
     """
     options.setdefault("strip_dates", False)
     options.setdefault("noise", [])
-    messages = log_messages(log, **options)
-    reported = members.join(headers.select("dataset"), "dataset", "left_semi")
-    lines = error_lines(affected(messages, reported, "dataset"), "dataset", per_row)
+    messages = log_messages(log, full_message=full_message, **options)
+    reported = keep_matching(members, headers, "dataset")
+    lines = error_lines(affected(messages, reported, "dataset"), "dataset", per_row, full_message)
     out = headers.join(lines, "dataset", "left" if include_all else "inner")
-    return out.select(*headers.columns, *REPORT_KEYS, "n", "part", "ids")
+    return out.select(*headers.columns, *REPORT)
 
 
 def unmet(datasets: DataFrame, standard: str, column: str = "standardMet") -> DataFrame:
@@ -214,5 +218,5 @@ def not_imported_errors(
     options.setdefault("strip_dates", False)
     options.setdefault("noise", [])
     missing = not_imported(log, imported, "dataset", met)
-    members = log.select("dataset", "id").distinct().join(missing, "dataset", "left_semi")
+    members = keep_matching(log.select("dataset", "id"), missing, "dataset")
     return error_lines(affected(log_messages(log, **options), members, "dataset"), "dataset", per_row)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from metacurate.functions.urls import is_url
@@ -33,19 +33,23 @@ def url_values(
         return F.struct(
             F.lit(path).alias("field"),
             F.try_variant_get(value, "$", "string").alias("value"),
-            F.schema_of_variant(value).alias("shape"),
+            (F.schema_of_variant(value) == "STRING").alias("is_text"),
+            F.try_variant_get(value, "$", "double").alias("number"),
         )
 
     cells = F.array(*[cell(p) for p in dict.fromkeys(fields)])
+
+    # zero, false and empty containers count as empty although they have a text form
+    def empty(c: Column) -> Column:
+        nothing = F.coalesce(c["number"] == 0, F.lit(False)) | c["value"].isin("[]", "{}")
+        return ~c["is_text"] & nothing
+
     rows = docs.select(
         F.lit(kind).alias("kind"),
         F.try_variant_get("doc", variant_path(id_path), "string").alias("id"),
-        F.inline(F.filter(cells, lambda c: F.length(c["value"]) > 0)),
+        F.inline(F.filter(cells, lambda c: (F.length(c["value"]) > 0) & ~empty(c))),
     )
-    is_text = F.col("shape") == "STRING"
-    # values that count as empty although they have a text form
-    blank = ~is_text & F.col("value").isin("0", "0.0", "false", "[]", "{}")
-    return rows.where(~blank).select("kind", "id", "field", "value", is_text.alias("is_text"))
+    return rows.select("kind", "id", "field", "value", "is_text")
 
 
 def column_values(df: DataFrame, kind: str, id_column: str, columns: Sequence[str]) -> DataFrame:

@@ -85,7 +85,7 @@ def report_text(report: DataFrame, header: Sequence[tuple[str, str]], group: str
         ),
     )
     return report.select(
-        group, "severity", "field", "detail", "part", F.concat_ws("\n", *titled, message).alias("value")
+        group, "severity", "msg", "part", F.concat_ws("\n", *titled, message).alias("value")
     )
 
 
@@ -95,7 +95,7 @@ def write_report(
 ) -> None:
     """Error report as text, in group and message order."""
     blocks = report_text(report, header, group, records)
-    ordered(blocks, group, "severity", "field", "detail", "part").select(
+    ordered(blocks, group, "severity", "msg", "part").select(
         F.concat("value", F.lit("\n")).alias("value")
     ).write.mode(mode).text(path)
 
