@@ -5,10 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bindings.registry import query, table
+from bindings.registry import query, settings, table
 from metacurate.functions.values import at_path, is_meaningful, is_present, meaningful_text
 from metacurate.operators.coverage import column_coverage, material_totals
-from metacurate.plans.coverage import coverage_audit, gap_audit
+from metacurate.plans.coverage import coverage_audit, document_profile, gap_audit, missing_documents
 from metacurate.plans.url_audit import column_values, invalid_urls, url_summary, url_values
 
 
@@ -69,9 +69,7 @@ _RULES = [
 
 def _rules(spark: SparkSession) -> DataFrame:
     rows = [(s, f, m, i, i) for i, (s, f, m) in enumerate(_RULES)]
-    return spark.createDataFrame(
-        rows, "section string, field string, status string, section_pos int, rule_pos int"
-    )
+    return settings(spark, "section field status section_pos rule_pos", rows)
 
 
 def _organisms(spark: SparkSession, sf: str) -> DataFrame:
@@ -120,6 +118,10 @@ def _specimens(spark: SparkSession, sf: str) -> DataFrame:
     return labelled.select(F.col("doc_id").cast("string").alias("_id"), F.to_variant_object(doc).alias("doc"))
 
 
+def _profile(spark: SparkSession, sf: str) -> DataFrame:
+    return document_profile(_organisms(spark, sf), _specimens(spark, sf))
+
+
 _COVERAGE = """
     s AS (SELECT * FROM documents LEFT JOIN labels USING (doc_id)),
     c AS (
@@ -155,7 +157,7 @@ _COVERAGE = """
     """,
 )
 def document_coverage(spark: SparkSession, sf: str) -> DataFrame:
-    report = coverage_audit(_organisms(spark, sf), _specimens(spark, sf), _rules(spark))
+    report = coverage_audit(_profile(spark, sf), _rules(spark))
     return report.detail.select(
         "section",
         "status",
@@ -182,7 +184,7 @@ def document_coverage(spark: SparkSession, sf: str) -> DataFrame:
     """,
 )
 def coverage_means(spark: SparkSession, sf: str) -> DataFrame:
-    report = coverage_audit(_organisms(spark, sf), _specimens(spark, sf), _rules(spark))
+    report = coverage_audit(_profile(spark, sf), _rules(spark))
     return report.averages.select(
         "section",
         "status",
@@ -213,8 +215,8 @@ def coverage_means(spark: SparkSession, sf: str) -> DataFrame:
     """,
 )
 def mandatory_gaps(spark: SparkSession, sf: str) -> DataFrame:
-    report = gap_audit(_organisms(spark, sf), _specimens(spark, sf), _rules(spark))
-    return report.gaps.select("section", "field", "n_missing", F.col("n_expected").cast("bigint").alias("n_expected"))
+    gaps = gap_audit(_profile(spark, sf), _rules(spark))
+    return gaps.select("section", "field", "n_missing", F.col("n_expected").cast("bigint").alias("n_expected"))
 
 
 @query(
@@ -227,7 +229,7 @@ def mandatory_gaps(spark: SparkSession, sf: str) -> DataFrame:
     """,
 )
 def missing_ids(spark: SparkSession, sf: str) -> DataFrame:
-    return gap_audit(_organisms(spark, sf), _specimens(spark, sf), _rules(spark)).missing
+    return missing_documents(_organisms(spark, sf), _rules(spark))
 
 
 @query(

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bindings.registry import query, table
+from bindings.registry import query, settings, table
 from metacurate.operators.curation import (
     copy_from_parent,
     curation_payload,
@@ -120,7 +120,7 @@ def _lang_worklist(spark: SparkSession, sf: str) -> DataFrame:
     """,
 )
 def curate_replace_term(spark: SparkSession, sf: str) -> DataFrame:
-    terms = spark.createDataFrame(list(_TERMS.items()), "text string, iri string")
+    terms = settings(spark, "text iri", list(_TERMS.items()))
     records, _ = replace_term(_lang_worklist(spark, sf), _documents(spark, sf), terms)
     return curation_payload(records, "self.lab")
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -28,3 +29,9 @@ def query(name: str, sql: str | None = None):
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
+
+
+def settings(spark: SparkSession, columns: str, rows: list[tuple]) -> DataFrame:
+    """Configuration rows as a local table, whose size the planner knows."""
+    names = columns.split()
+    return spark.createDataFrame(pa.table({n: [r[i] for r in rows] for i, n in enumerate(names)}))

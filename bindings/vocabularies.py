@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bindings.registry import query, table
+from bindings.registry import query, settings, table
 from metacurate.operators.entities import unpivot_columns
 from metacurate.operators.hierarchy import expand, is_mandatory, path_labels
 from metacurate.operators.vocabulary import (
@@ -39,7 +39,7 @@ _ALLOWED = [
     """,
 )
 def vocabulary_conformance(spark: SparkSession, sf: str) -> DataFrame:
-    allowed = spark.createDataFrame(_ALLOWED, "file string, tag string, allowed array<string>")
+    allowed = settings(spark, "file tag allowed", _ALLOWED)
     terms = vocabulary_terms(allowed, ["tag"]).withColumnRenamed("tag", "column")
     parts = unpivot_columns(table(spark, sf, "part"), "p_partkey", ["p_type", "p_brand", "p_name"])
     orders = unpivot_columns(table(spark, sf, "orders"), "o_orderkey", ["o_orderpriority"])
@@ -64,7 +64,9 @@ def vocabulary_conformance(spark: SparkSession, sf: str) -> DataFrame:
     """,
 )
 def allowed_lookup(spark: SparkSession, sf: str) -> DataFrame:
-    allowed = spark.createDataFrame(
+    allowed = settings(
+        spark,
+        "file tag allowed",
         [
             ("common", "ECONOMY", ["a", "b"]),
             ("common", "SMALL", ["c"]),
@@ -72,7 +74,6 @@ def allowed_lookup(spark: SparkSession, sf: str) -> DataFrame:
             ("own", "PROMO", ["d", "e", "f"]),
             ("own", "Brand#3", ["own name"]),
         ],
-        "file string, tag string, allowed array<string>",
     )
     nodes = table(spark, sf, "part").select(
         "p_partkey",

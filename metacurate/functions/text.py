@@ -7,22 +7,29 @@ from pyspark.sql import functions as F
 
 from metacurate.presets import SIZE_UNITS
 
-# (?U) makes \s and \w follow Unicode, as they do for decoded text in the source formats.
+# The characters with the Unicode property White_Space.
+WHITESPACE = (
+    "\t\n\x0b\x0c\r \x85\xa0\u1680"
+    "\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+    "\u2028\u2029\u202f\u205f\u3000"
+)
+
+# Trimming a character set looks at the ends only; a regular expression would scan the whole text.
 
 
 def ltrim_all(c: Column) -> Column:
     """Drop leading whitespace of any kind (``F.ltrim`` drops spaces only)."""
-    return F.regexp_replace(c, r"(?U)^\s+", "")
+    return F.ltrim(c, F.lit(WHITESPACE))
 
 
 def rtrim_all(c: Column) -> Column:
     """Drop trailing whitespace of any kind."""
-    return F.regexp_replace(c, r"(?U)\s+\z", "")
+    return F.rtrim(c, F.lit(WHITESPACE))
 
 
 def trim_all(c: Column) -> Column:
     """Drop whitespace of any kind from both ends."""
-    return F.regexp_replace(c, r"(?U)^\s+|\s+\z", "")
+    return F.btrim(c, F.lit(WHITESPACE))
 
 
 def upper_first(c: Column) -> Column:
@@ -35,6 +42,7 @@ def lower_camel(c: Column) -> Column:
 
     A run of blanks is a word break only in front of a word character.
     """
+    # (?U): a word character of any script
     words = F.split(F.lower(trim_all(F.translate(c, "_", " "))), r"(?U) +(?=\w)")
     return F.array_join(F.transform(words, lambda w, i: F.when(i == 0, w).otherwise(upper_first(w))), "")
 
@@ -71,7 +79,7 @@ def readable_size(c: Column) -> Column:
 
 def clean_description(c: Column) -> Column:
     """Strip the ends, delete newlines, turn tabs into spaces, squeeze spaces."""
-    return F.regexp_replace(F.translate(trim_all(c), "\t\n", " "), " +", " ")
+    return F.regexp_replace(F.translate(trim_all(c), "\t\n", " "), " {2,}", " ")
 
 
 # One field after its comma: quoted up to a closing quote that ends the field, or plain.

@@ -48,27 +48,30 @@ def column_coverage(
     )
 
 
+def _entry(container: Column, field: Column, value: Column) -> Column:
+    return F.struct(container.alias("container"), field.alias("field"), value.alias("value"))
+
+
 def document_fields(docs: DataFrame, nested: bool) -> DataFrame:
-    """Documents ``(scope, id, material, doc)`` unpivoted to ``(…, container, field, value)``.
+    """Documents ``(scope, id, material, doc)`` unpivoted to ``(scope, material, container, field, value)``.
 
     ``nested`` adds the fields of each top-level object, filed under its name.
+    Every document also gives one row without a field, which counts the document.
     """
-    top = docs.select("scope", "id", "material", F.explode(as_object(F.col("doc"))).alias("field", "value"))
-    flat = top.select("scope", "id", "material", F.lit(TOP).alias("container"), "field", "value")
-    if not nested:
-        return flat
-    # one pass: every top-level field gives itself and, if an object, its members
-    whole = F.array(F.struct(F.lit(TOP).alias("container"), F.col("field"), F.col("value")))
-    members = F.transform(
-        F.map_entries(as_object(F.col("value"))),
-        lambda e: F.struct(F.col("field").alias("container"), e["key"].alias("field"), e["value"].alias("value")),
-    )
-    return top.select(
-        "scope",
-        "id",
-        "material",
-        F.inline(F.concat(whole, F.coalesce(members, F.slice(whole, 1, 0)))),
-    )
+    fields = F.map_entries(as_object(F.col("doc")))
+    none = F.lit(None).cast("string")
+    itself = F.array(_entry(none, none, F.lit(None).cast("variant")))
+    parts = [itself, F.transform(fields, lambda e: _entry(F.lit(TOP), e["key"], e["value"]))]
+    if nested:
+
+        def members(e: Column) -> Column:
+            inner = F.coalesce(F.map_entries(as_object(e["value"])), F.array())
+            return F.transform(inner, lambda m: _entry(e["key"], m["key"], m["value"]))
+
+        parts.append(F.flatten(F.transform(fields, members)))
+    empty = F.slice(itself, 1, 0)
+    entries = F.concat(*[F.coalesce(p, empty) for p in parts])
+    return docs.select("scope", "material", F.inline(entries))
 
 
 def prepare_documents(hits: DataFrame, scope: str) -> DataFrame:
@@ -82,14 +85,24 @@ def prepare_documents(hits: DataFrame, scope: str) -> DataFrame:
 
 
 def field_counts(fields: DataFrame, empty_values: Sequence[str] = EMPTY_VALUES) -> DataFrame:
-    """Counters per ``(scope, container, field, material)``: the one aggregation over all fields."""
+    """Counters per ``(scope, container, field, material)``: the one aggregation over all fields.
+
+    Rows without a field hold the number of documents, see ``scope_totals``. The
+    result does not grow with the documents, only with their field names.
+    """
     value = F.col("value")
     return fields.groupBy("scope", "container", "field", "material").agg(
+        F.count("*").alias("n"),
         F.count_if(is_meaningful(meaningful_text(value), empty_values)).alias("n_meaningful"),
         F.count_if(is_present(value)).alias("n_present"),
     )
 
 
+def scope_totals(counts: DataFrame) -> DataFrame:
+    """Documents per ``(scope, material)``."""
+    return counts.where(F.col("field").isNull()).select("scope", "material", "n")
+
+
 def rule_targets(
     rules: DataFrame, organism_scope: str, specimen_scope: str, shared: Sequence[str] = SHARED_FIELDS
 ) -> DataFrame:
@@ -107,16 +120,17 @@ def rule_targets(
 
 
 def coverage_detail(
-    rules: DataFrame, counts: DataFrame, totals: DataFrame, organism_scope: str, specimen_scope: str
+    rules: DataFrame, counts: DataFrame, organism_scope: str, specimen_scope: str
 ) -> DataFrame:
     """Coverage per rule; ratios are NULL where the section has no documents.
 
     A value is meaningful only in documents of the section's own material
     (``standard`` takes all organisms); presence counts over the whole scope.
     """
+    totals = scope_totals(counts)
     targets = rule_targets(rules, organism_scope, specimen_scope, shared=())
     keys = ["scope", "container", "field"]
-    seen = targets.join(counts, keys, "left")
+    seen = targets.join(counts.drop("n"), keys, "left")
     own = (F.col("section") == "standard") | (F.col("material") == F.col("section"))
     detail = seen.groupBy("section", "status", "field", "scope", "section_pos", "rule_pos").agg(
         F.coalesce(F.sum(F.when(own, F.col("n_meaningful"))), F.lit(0)).alias("count"),
@@ -166,17 +180,13 @@ def coverage_averages(detail: DataFrame, organism_scope: str | None = None) -> D
     )
 
 
-def scope_totals(docs: DataFrame) -> DataFrame:
-    """Documents per ``(scope, material)``."""
-    return docs.groupBy("scope", "material").agg(F.count("*").alias("n"))
-
-
-def gap_counts(targets: DataFrame, counts: DataFrame, totals: DataFrame) -> DataFrame:
+def gap_counts(targets: DataFrame, counts: DataFrame) -> DataFrame:
     """Documents lacking each rule's field, ``n_missing``, and how many are expected to, ``n_expected``.
 
     Nothing may be missing in the organism scope; elsewhere the documents of
     other materials are expected to lack the field.
     """
+    totals = scope_totals(counts)
     keys = ["scope", "container", "field"]
     present = counts.groupBy(*keys).agg(F.sum("n_present").alias("present"))
     size = totals.groupBy("scope").agg(

@@ -59,7 +59,8 @@ def pack_groups(
         part, F.when(F.col("_size").isNull(), F.lit(0)).otherwise(F.pmod(stable_hash(F.col(item)), parts))
     )
     element = F.struct(*order, item) if order else F.col(item)
-    return placed.groupBy(*keys, part).agg(
+    # input already partitioned by some of the keys must not keep a hot group together
+    return placed.repartition(*keys, part).groupBy(*keys, part).agg(
         # a small group is whole in its only row; for a large one the size is in every row
         F.coalesce(F.max("_size"), F.count("*")).alias(total),
         F.array_sort(F.collect_list(element)).alias(into),

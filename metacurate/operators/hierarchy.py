@@ -2,11 +2,10 @@
 
 from __future__ import annotations
 
-import tempfile
-
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from metacurate.operators.checkpoints import stored
 from metacurate.operators.groups import single_text
 
 INLINE = "inline type"
@@ -25,20 +24,6 @@ def inline_types(edges: DataFrame) -> DataFrame:
     return edges.withColumn("type", F.when(F.col("type") == INLINE, own).otherwise(F.col("type")))
 
 
-def use_checkpoints(spark: SparkSession) -> None:
-    """Make ``DataFrame.checkpoint`` usable.
-
-    The shared folder comes from ``spark.checkpoint.dir``. Only a local session
-    may fall back to a folder of this machine.
-    """
-    context = spark.sparkContext
-    if spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir():
-        return
-    if not context.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    context.setCheckpointDir(tempfile.mkdtemp(prefix="metacurate-"))
-
-
 def expand(edges: DataFrame, root: str = "", max_depth: int | None = None) -> DataFrame:
     """All nodes reachable from the root elements, once per path.
 
@@ -51,14 +36,12 @@ def expand(edges: DataFrame, root: str = "", max_depth: int | None = None) -> Da
     reliable checkpoint: lineage does not grow with depth, and a lost executor
     re-reads files instead of recomputing the levels above.
     """
-    use_checkpoints(edges.sparkSession)
     columns = edges.columns
     carried = [c for c in columns if c != "file"]
-    level = (
+    level = stored(
         edges.where(F.col("parent") == root)
         .withColumn("path", F.array().cast("array<string>"))
         .withColumn("depth", F.lit(0))
-        .checkpoint()
     )
     levels = [level]
     depth = 0
@@ -70,11 +53,10 @@ def expand(edges: DataFrame, root: str = "", max_depth: int | None = None) -> Da
         ).select(
             "file", F.col("type").alias("parent"), F.array_append("path", F.col("type")).alias("path")
         )
-        level = (
+        level = stored(
             entered.distinct()
             .join(edges, ["file", "parent"])
             .select("file", *carried, "path", F.lit(depth).alias("depth"))
-            .checkpoint()
         )
         if level.isEmpty():
             break

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from typing import NamedTuple
 
 from pyspark.sql import DataFrame
@@ -9,64 +10,59 @@ from pyspark.sql import functions as F
 
 from metacurate import presets
 from metacurate.operators import coverage as ops
+from metacurate.operators.checkpoints import stored
 
-
-class CoverageReport(NamedTuple):
-    detail: DataFrame
-    averages: DataFrame
+ORGANISM, SPECIMEN = "organism", "specimen"
 
 
-def _all_documents(
-    organisms: DataFrame, specimens: DataFrame, organism_scope: str, specimen_scope: str
+def document_profile(
+    organisms: DataFrame,
+    specimens: DataFrame,
+    organism_scope: str = ORGANISM,
+    specimen_scope: str = SPECIMEN,
+    empty_values: Sequence[str] = presets.EMPTY_VALUES,
 ) -> DataFrame:
-    return ops.prepare_documents(organisms, organism_scope).unionByName(
-        ops.prepare_documents(specimens, specimen_scope)
+    """Field and document counters of search hits ``(_id, doc)``, all that the audits need.
+
+    One pass over the documents, run here: the counters are small and go to the
+    checkpoint folder, so that any number of audits reads the documents once.
+    """
+    fields = ops.document_fields(ops.prepare_documents(organisms, organism_scope), nested=False).unionByName(
+        ops.document_fields(ops.prepare_documents(specimens, specimen_scope), nested=True)
     )
+    return stored(ops.field_counts(fields, empty_values))
+
+
+class CoverageReport(NamedTuple):
+    detail: DataFrame
+    averages: DataFrame
 
 
 def coverage_audit(
-    organisms: DataFrame,
-    specimens: DataFrame,
-    rules: DataFrame,
-    organism_scope: str = "organism",
-    specimen_scope: str = "specimen",
+    profile: DataFrame, rules: DataFrame, organism_scope: str = ORGANISM, specimen_scope: str = SPECIMEN
 ) -> CoverageReport:
-    """Coverage of every rule that is not mandatory, and its averages.
-
-    The documents are read once for the field counters; rules join the
-    aggregated counters.
-    """
-    docs = _all_documents(organisms, specimens, organism_scope, specimen_scope)
-    counts = ops.field_counts(ops.document_fields(docs, nested=True))
+    """Coverage of every rule that is not mandatory, and its averages."""
     wanted = rules.where(F.col("status") != presets.MANDATORY_STATUS)
-    detail = ops.coverage_detail(wanted, counts, ops.scope_totals(docs), organism_scope, specimen_scope)
+    detail = ops.coverage_detail(wanted, profile, organism_scope, specimen_scope)
     return CoverageReport(detail, ops.coverage_averages(detail, organism_scope))
 
 
-class GapReport(NamedTuple):
-    gaps: DataFrame
-    missing: DataFrame
-
-
 def gap_audit(
-    organisms: DataFrame,
-    specimens: DataFrame,
-    rules: DataFrame,
-    organism_scope: str = "organism",
-    specimen_scope: str = "specimen",
-) -> GapReport:
-    """Mandatory fields that are missing more often than expected, and the organism documents lacking them."""
-    docs = _all_documents(organisms, specimens, organism_scope, specimen_scope)
-    counts = ops.field_counts(ops.document_fields(docs, nested=True))
+    profile: DataFrame, rules: DataFrame, organism_scope: str = ORGANISM, specimen_scope: str = SPECIMEN
+) -> DataFrame:
+    """Mandatory fields that are missing more often than expected."""
     wanted = rules.where(F.col("status") == presets.MANDATORY_STATUS)
-    targets = ops.rule_targets(wanted, organism_scope, specimen_scope)
-    counted = ops.gap_counts(targets, counts, ops.scope_totals(docs))
-    expected = F.when(F.col("scope") == organism_scope, 0).otherwise(F.col("n_expected"))
-    gaps = counted.where((F.col("n_missing") != 0) & (F.col("n_missing") != expected)).select(
+    counted = ops.gap_counts(ops.rule_targets(wanted, organism_scope, specimen_scope), profile)
+    expected = F.when(F.col("scope") == organism_scope, F.lit(0)).otherwise(F.col("n_expected"))
+    return counted.where((F.col("n_missing") != 0) & (F.col("n_missing") != expected)).select(
         "section", "field", "section_pos", "rule_pos", "n_missing", expected.alias("n_expected")
     )
+
+
+def missing_documents(
+    organisms: DataFrame, rules: DataFrame, organism_scope: str = ORGANISM
+) -> DataFrame:
+    """Organism documents that lack a mandatory field, ``(section, field, id)``."""
+    wanted = rules.where(F.col("status") == presets.MANDATORY_STATUS)
     lists = ops.rule_lists(wanted, ["standard", organism_scope])
-    missing = ops.missing_fields(
-        ops.prepare_documents(organisms, organism_scope).select("id", "doc"), lists
-    )
-    return GapReport(gaps, missing)
+    return ops.missing_fields(ops.prepare_documents(organisms, organism_scope), lists)

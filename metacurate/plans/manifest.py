@@ -172,28 +172,29 @@ def select_runs(
         F.col("id").alias("experiment_source_id")
     )
 
-    # narrow the experiments before the runs join them
+    # joins on the same key are consecutive, so a table is shuffled once per key
+    if lookups is not None and experiment_attributes is not None:
+        experiment = experiment.join(target_of(experiment_attributes, "experiment_id"), "experiment_id", "left")
+    else:
+        experiment = experiment.withColumn("target", F.lit(None).cast("string"))
     experiment = (
         experiment.join(experiment_entity, "experiment_source_id", "left_semi")
         .join(sample.join(sample_entity, "biosample_id"), "sample_id")
         .join(study, "study_id")
     )
-    if lookups is not None and experiment_attributes is not None:
-        experiment = experiment.join(target_of(experiment_attributes, "experiment_id"), "experiment_id", "left")
+    out = found.join(run, "run_source_id")
+    if lookups is None:
+        out = out.withColumn("_control", F.lit(None).cast("string"))
     else:
-        experiment = experiment.withColumn("target", F.lit(None).cast("string"))
-
-    out = found.join(run, "run_source_id").join(experiment, "experiment_id")
+        out = lookup_with_fallback(out, lookups, "run_source_id", "_control")
+    out = out.join(experiment, "experiment_id")
     # the strategy is compared in any case
     looked_up = (F.upper("library_strategy") == s.lookup_strategy.upper()) & (
         F.coalesce(F.upper("target"), F.lit("")) != presets.CONTROL_ASSAY.upper()
     )
-    if lookups is None:
-        out = out.withColumn("input_run_id", F.lit(None).cast("string"))
-    else:
-        out = lookup_with_fallback(out, lookups, "run_source_id", "input_run_id", eligible=looked_up)
     if s.require_control:
-        out = out.where(~F.coalesce(looked_up, F.lit(False)) | F.col("input_run_id").isNotNull())
+        out = out.where(~F.coalesce(looked_up, F.lit(False)) | F.col("_control").isNotNull())
+    out = out.withColumn("input_run_id", F.when(looked_up, F.col("_control"))).drop("_control")
     return out.drop("target", "sample_id", "study_id")
 
 
