@@ -281,5 +281,5 @@ def nested_groups(spark: SparkSession, sf: str) -> DataFrame:
             F.lit(None).cast("string").alias("desc"),
         )
     )
-    entries = rule_entries(nodes, ["file", "kind"], ["name", "path", "desc"], item="name", per_row=20)
+    entries = rule_entries(nodes, ["file", "kind"], ["name", "path", "desc"], identity=["name"], per_row=20)
     return entries.withColumn("entries", F.to_json("entries"))

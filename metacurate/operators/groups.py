@@ -28,6 +28,7 @@ def pack_groups(
     keys: Sequence[str],
     item: str,
     order: Sequence[str] | None = None,
+    carry: str | None = None,
     into: str = "items",
     total: str = "n",
     part: str = "part",
@@ -40,7 +41,7 @@ def pack_groups(
     is spread over ``ceil(n / per_row)`` rows by a hash of the item, each row in
     order, so every item is kept and no task holds a whole hot group. ``item``
     identifies an element within its group; ``order`` columns, if given, are
-    collected in front of it as a struct.
+    collected in front of it and a ``carry`` column behind it, as a struct.
 
     Only the large groups, at most one per ``per_row`` input rows, are joined
     back; that join is salted, so a hot group's rows go to ``salts`` tasks.
@@ -58,7 +59,8 @@ def pack_groups(
     placed = salted.join(large, on, "left").withColumn(
         part, F.when(F.col("_size").isNull(), F.lit(0)).otherwise(F.pmod(stable_hash(F.col(item)), parts))
     )
-    element = F.struct(*order, item) if order else F.col(item)
+    columns = [*(order or []), item, *([carry] if carry else [])]
+    element = F.struct(*columns) if len(columns) > 1 else F.col(item)
     # input already partitioned by some of the keys must not keep a hot group together
     return placed.repartition(*keys, part).groupBy(*keys, part).agg(
         # a small group is whole in its only row; for a large one the size is in every row

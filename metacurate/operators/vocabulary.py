@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from metacurate.operators.checkpoints import stored
 from metacurate.operators.groups import joined_groups, pack_groups
 from metacurate.presets import COMMON_PREFIX
 
@@ -64,9 +65,12 @@ def vocabulary_union(lists: DataFrame, column: str = "column") -> DataFrame:
 
 
 def vocabulary_lines(union: DataFrame, column: str = "column", per_row: int = 1000) -> DataFrame:
-    """First-seen-order value lists, ``(column, part, n, values)``; long lists take several rows."""
+    """First-seen-order value lists, ``(column, part, n, values)``; long lists take several rows.
+
+    The union is stored first: sizing the lists and collecting them both read it.
+    """
     packed = pack_groups(
-        union, [column], "value", order=["list_pos", "value_pos"], into="items", per_row=per_row
+        stored(union), [column], "value", order=["list_pos", "value_pos"], into="items", per_row=per_row
     )
     return packed.select(column, "part", "n", F.transform("items", lambda i: i["value"]).alias("values"))
 
@@ -80,13 +84,16 @@ def rule_entries(
     nodes: DataFrame,
     keys: Sequence[str],
     fields: Sequence[Column | str],
-    item: str = "path",
+    identity: Sequence[str] = ("path", "name"),
     per_row: int = 1000,
 ) -> DataFrame:
-    """Entries grouped by ``keys`` as arrays of structs, ordered by ``item``, several rows for large groups."""
-    rows = nodes.select(*keys, F.struct(*fields).alias("_entry"), F.col(item).alias("_item"))
-    # the item identifies the entry; its struct rides along
-    packed = pack_groups(
-        rows.withColumn("_id", F.col("_item")), keys, "_id", order=["_item", "_entry"], into="entries", per_row=per_row
+    """Entries grouped by ``keys`` as arrays of structs, several rows for large groups.
+
+    ``identity`` tells the entries of a group apart and orders them. It includes
+    the name because siblings share their path.
+    """
+    rows = nodes.select(
+        *keys, F.concat_ws("::", *identity).alias("_id"), F.struct(*fields).alias("_entry")
     )
+    packed = pack_groups(rows, keys, "_id", order=None, into="entries", carry="_entry", per_row=per_row)
     return packed.withColumn("entries", F.transform("entries", lambda e: e["_entry"]))

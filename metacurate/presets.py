@@ -147,6 +147,7 @@ SIZE_UNITS = ["B", "kB", "MB", "GB", "TB", "PB"]
 
 # Expected sample fields, in index order.
 SAMPLE_FIELDS = [
+    "Centre",
     "Sample Name",
     "Sample Description",
     "Material",

@@ -27,9 +27,9 @@ def _position(column: str, values: Sequence[str]):
 def write_manifest(manifest: DataFrame, path: str, delimiter: str = ",", mode: str = "errorifexists") -> None:
     """Delimited manifest with a header; missing cells are empty, values are quoted where needed."""
     cells = [F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("")).alias(c) for c in manifest.columns]
-    manifest.select(*cells).write.mode(mode).option("header", True).option("sep", delimiter).option(
-        "emptyValue", ""
-    ).csv(path)
+    # a quote inside a cell is doubled
+    options = {"header": True, "sep": delimiter, "emptyValue": "", "escape": '"'}
+    manifest.select(*cells).write.mode(mode).options(**options).csv(path)
 
 
 def write_coverage(detail: DataFrame, averages: DataFrame, path: str, mode: str = "errorifexists") -> None:

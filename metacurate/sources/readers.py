@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from metacurate.functions.text import lower_camel
@@ -145,7 +145,7 @@ def read_allowed_values(spark: SparkSession, path) -> DataFrame:
     return lines.select(
         F.try_element_at(cells, F.lit(3)).alias("file"),
         F.try_element_at(cells, F.lit(4)).alias("tag"),
-        F.filter(F.slice(cells, 6, 2147483647), lambda v: F.length(v) > 0).alias("allowed"),
+        F.filter(cells, lambda v, i: (i >= 5) & (F.length(v) > 0)).alias("allowed"),
     ).where(F.col("tag").isNotNull())
 
 
@@ -215,6 +215,6 @@ def read_schema_vocabularies(spark: SparkSession, path, prefix: str = "xs") -> D
     return out
 
 
-def field_status(use) -> "F.Column":
+def field_status(use: Column) -> Column:
     """``optional`` where the schema says so, NULL (taken as mandatory) otherwise."""
     return F.when(use == "optional", F.lit("optional"))

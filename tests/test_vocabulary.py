@@ -1,0 +1,125 @@
+import pytest
+from pyspark.sql import functions as F
+
+from conftest import rows
+from metacurate.operators import hierarchy as h
+from metacurate.operators import vocabulary as vo
+
+
+def test_allowed_by_type_then_name(spark):
+    allowed = spark.createDataFrame(
+        [("a", "T", ["1"]), ("a", "n", ["2"]), ("common", "C", ["3"]), ("common", "m", ["4"])],
+        "file string, tag string, allowed array<string>",
+    )
+    nodes = spark.createDataFrame(
+        [(1, "a", "n", "T"), (2, "a", "n", "U"), (3, "a", "n", "com:C"), (4, "a", "m", "com:D"), (5, "a", "n", "com:D"),
+         (6, "a", "z", None), (7, "b", "n", "T")],
+        "i int, file string, name string, type string",
+    )
+    got = rows(vo.allowed_for(nodes, allowed, "common"), "i", "allowed")
+    assert got == [(1, ["1"]), (2, ["2"]), (3, ["3"]), (4, ["4"]), (5, None), (6, None), (7, None)]
+
+
+def test_conformance(spark):
+    terms = spark.createDataFrame([("sex", "m"), ("sex", "f")], "column string, value string")
+    seen = spark.createDataFrame(
+        [("sex", "m"), ("sex", "x"), ("sex", "x"), ("sex", None), ("free", "y")], "column string, value string"
+    )
+    assert rows(vo.conformance(seen, terms)) == [("sex", "x", 2)]
+
+
+def test_union_in_first_seen_order(spark):
+    lists = spark.createDataFrame(
+        [("c", 0, 0, "b"), ("c", 0, 1, "a"), ("c", 1, 0, "a"), ("c", 1, 1, "z"), ("d", 0, 0, "b")],
+        "column string, list_pos int, value_pos int, value string",
+    )
+    union = vo.vocabulary_union(lists)
+    assert rows(union) == [("c", "a", 0, 1), ("c", "b", 0, 0), ("c", "z", 1, 1), ("d", "b", 0, 0)]
+    assert rows(vo.vocabulary_lines(union), "column", "n", "values") == [("c", 3, ["b", "a", "z"]), ("d", 1, ["b"])]
+
+
+def test_terms_of_lists(spark):
+    allowed = spark.createDataFrame([("a", "t", ["x", "y", "x"])], "file string, tag string, allowed array<string>")
+    assert rows(vo.vocabulary_terms(allowed)) == [("a", "t", "x"), ("a", "t", "y")]
+
+
+EDGE = "file string, parent string, name string, kind string, type string, min_occurs string, use string, description string"
+
+
+@pytest.fixture
+def edges(spark):
+    e = lambda parent, name, type_, kind="element", occurs=None, use=None: (
+        "s.xsd", parent, name, kind, type_, occurs, use, None)
+    return spark.createDataFrame(
+        [
+            e("", "SET", "SetType"),
+            e("", "ONE", "OneType"),
+            e("SetType", "ITEM", "OneType"),
+            e("SetType", "OTHER", "OneType"),
+            e("OneType", "ID", "xs:string"),
+            e("OneType", "DETAIL", "inline type"),
+            e("OneType::DETAIL", "LINK", "SetType"),  # leads back: a cycle
+            e("OneType", "NOTE", "xs:string", occurs="0"),
+            e("OneType", "lang", "NA", kind="attribute", use="required"),
+            e("OneType", "hint", "NA", kind="attribute"),
+            e("Unused", "GHOST", "xs:string"),
+        ],
+        EDGE,
+    )
+
+
+def test_mandatory(edges):
+    dropped = {r[0] for r in rows(edges.where(~h.is_mandatory()), "name")}
+    assert dropped == {"NOTE", "hint"}
+
+
+def test_expansion_and_labels(edges):
+    nodes = h.expand(h.inline_types(edges.where(h.is_mandatory())))
+    got = {("/".join(p), n, d) for p, n, d in rows(nodes, "path", "name", "depth")}
+    detail = "OneType/OneType::DETAIL"
+    assert got == {
+        ("", "SET", 0), ("", "ONE", 0),
+        ("SetType", "ITEM", 1), ("SetType", "OTHER", 1),
+        ("OneType", "ID", 1), ("OneType", "DETAIL", 1), ("OneType", "lang", 1),
+        ("SetType/OneType", "ID", 2), ("SetType/OneType", "DETAIL", 2), ("SetType/OneType", "lang", 2),
+        (detail, "LINK", 2), (f"SetType/{detail}", "LINK", 3),
+        (f"{detail}/SetType", "ITEM", 3), (f"{detail}/SetType", "OTHER", 3),
+    }
+    labels = {r[0] for r in rows(h.path_labels(nodes), "label")}
+    assert labels == {
+        "", "LINK|SET", "ITEM|ONE|OTHER", "LINK|SET::ITEM|ONE|OTHER", "ITEM|ONE|OTHER::DETAIL",
+        "LINK|SET::ITEM|ONE|OTHER::DETAIL", "ITEM|ONE|OTHER::DETAIL::LINK|SET",
+    }
+
+
+def test_expansion_stops_at_a_depth(edges):
+    nodes = h.expand(h.inline_types(edges), max_depth=1)
+    assert {r[0] for r in rows(nodes, "depth")} == {0, 1}
+    assert h.expand(edges.where("false")).count() == 0
+
+
+def test_type_names(spark):
+    nodes = spark.createDataFrame([("f", "T", "b"), ("f", "T", "a"), ("f", "T", "b"), ("f", "U", "c")],
+                                  "file string, type string, name string")
+    assert rows(vo.type_names(nodes), "type", "names") == [("T", "a|b"), ("U", "c")]
+
+
+def test_rule_entries(spark):
+    nodes = spark.createDataFrame(
+        [("f", "element", "b", "P", "text"), ("f", "element", "a", "P", None), ("f", "attribute", "c", "P", None)],
+        "file string, kind string, name string, path string, desc string",
+    )
+    entries = vo.rule_entries(nodes, ["file", "kind"], ["name", "path", "desc"])
+    assert rows(entries.select("kind", F.to_json("entries"))) == [
+        ("attribute", '[{"name":"c","path":"P"}]'),
+        ("element", '[{"name":"a","path":"P"},{"name":"b","path":"P","desc":"text"}]'),
+    ]
+
+
+def test_siblings_on_one_path_are_split(spark):
+    nodes = spark.range(300).select(
+        F.lit("f").alias("file"), F.lit("P").alias("path"), F.format_string("n%03d", "id").alias("name")
+    )
+    entries = vo.rule_entries(nodes, ["file"], ["name"], per_row=30).collect()
+    assert len(entries) == 10 and max(len(r["entries"]) for r in entries) < 60
+    assert sorted(e["name"] for r in entries for e in r["entries"]) == [f"n{i:03d}" for i in range(300)]
