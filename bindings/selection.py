@@ -262,15 +262,16 @@ def _run_inputs(spark: SparkSession, sf: str) -> dict:
     run_name = F.concat(F.lit("R"), order_id.cast("string"))
     target = F.when(F.col("o_totalprice") < 100000, "input DNA").otherwise("H3K4me3")
 
-    files = table(spark, sf, "lineitem").select(
+    items = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
+    path = F.concat_ws("/", "l_partkey", "l_suppkey")
+    files = first_files(
+        items, "l_orderkey", ["l_linenumber", "l_partkey", "l_suppkey"], path, F.md5(path.cast("binary"))
+    )
+    collections = files.select(
         F.concat(F.lit("R"), F.col("l_orderkey").cast("string")).alias("name"),
-        "l_linenumber",
-        "l_partkey",
-        "l_suppkey",
-        F.concat_ws("/", "l_partkey", "l_suppkey").alias("path"),
-    ).withColumn("md5", F.md5("path"))
-    collections = first_files(files, "name", ["l_linenumber", "l_partkey", "l_suppkey"], "path", "md5").select(
-        "name", F.lit("FASTQ").alias("type"), F.lit("file").alias("table_name"), "files"
+        F.lit("FASTQ").alias("type"),
+        F.lit("file").alias("table_name"),
+        "files",
     )
     runs = orders.select(
         order_id.alias("run_id"),
@@ -460,7 +461,7 @@ def manifest(spark: SparkSession, sf: str) -> DataFrame:
 )
 def pending(spark: SparkSession, sf: str) -> DataFrame:
     orders = table(spark, sf, "orders")
-    ledger = orders.where(F.col("o_orderdate") < F.lit("1997-01-01").cast("timestamp")).select(
+    ledger = orders.where(F.col("o_orderdate") < F.lit("1997-01-01").cast("timestamp_ntz")).select(
         F.col("o_orderkey").alias("seed_id")
     )
     return pending_only(orders.select("o_orderkey", "o_custkey"), ledger, "o_orderkey")

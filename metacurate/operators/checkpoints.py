@@ -1,31 +1,40 @@
-"""Intermediate results in reliable storage."""
+"""Intermediate results as tables in the shared checkpoint folder."""
 
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
-def use_checkpoints(spark: SparkSession) -> None:
-    """Make ``DataFrame.checkpoint`` usable.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder named by ``spark.checkpoint.dir``, or else the session's checkpoint folder.
 
-    The shared folder comes from ``spark.checkpoint.dir``. Only a local session
-    may fall back to a folder of this machine.
+    Only a local session without either may use a folder of this machine.
     """
     context = spark.sparkContext
-    if spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir():
-        return
+    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if folder:
+        return folder
     if not context.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     context.setCheckpointDir(tempfile.mkdtemp(prefix="metacurate-"))
+    return context.getCheckpointDir()
 
 
-def stored(df: DataFrame) -> DataFrame:
-    """Compute ``df`` once, into the checkpoint folder.
+def new_folder(spark: SparkSession, label: str) -> str:
+    """A folder name under the shared folder that no other run uses."""
+    return f"{shared_folder(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
-    Later uses read the files, so nothing above is computed twice, and the loss
-    of an executor costs nothing but the read.
+
+def stored(df: DataFrame, label: str = "stored") -> DataFrame:
+    """Compute ``df`` once, into a table of the shared folder, and read it from there.
+
+    Nothing above is computed twice, the loss of an executor costs nothing but
+    the read, and the planner knows the size of the result.
     """
-    use_checkpoints(df.sparkSession)
-    return df.checkpoint()
+    spark = df.sparkSession
+    path = new_folder(spark, label)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

@@ -198,12 +198,15 @@ def select_runs(
     return out.drop("target", "sample_id", "study_id")
 
 
-def first_files(files: DataFrame, key: str, order: Sequence[str], name: str, md5: str) -> DataFrame:
-    """First file per key as ``(key, files)``, combined on the map side however many files a key has."""
-    first = F.min(F.struct(*order, F.col(name).alias("_name"), F.col(md5).alias("_md5")))
-    return files.groupBy(key).agg(first.alias("f")).select(
-        key, F.array(F.struct(F.col("f._name").alias("name"), F.col("f._md5").alias("md5"))).alias("files")
-    )
+def first_files(files: DataFrame, key: str, order: Sequence[str], name: Column, md5: Column) -> DataFrame:
+    """First file per key as ``(key, files)``, combined on the map side however many files a key has.
+
+    ``name`` and ``md5`` are evaluated on the first row only; they may refer to
+    the ``order`` columns and to columns that the order makes unique.
+    """
+    others = [c for c in files.columns if c != key and c not in order]
+    first = files.groupBy(key).agg(F.min(F.struct(*order, *others)).alias("f")).select(key, "f.*")
+    return first.select(key, F.array(F.struct(name.alias("name"), md5.alias("md5"))).alias("files"))
 
 
 def ontology_terms(

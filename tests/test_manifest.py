@@ -164,7 +164,7 @@ def test_ontology_classes_are_a_parameter(spark):
 def test_first_files(spark):
     df = spark.createDataFrame([("k", 2, "b", "mb"), ("k", 1, "a", "ma"), ("l", 5, "c", "mc")],
                                "k string, pos int, n string, m string")
-    out = first_files(df, "k", ["pos"], "n", "m")
+    out = first_files(df, "k", ["pos"], F.col("n"), F.col("m"))
     assert rows(out.select("k", F.col("files")[0]["name"], F.col("files")[0]["md5"], F.size("files"))) == [
         ("k", "a", "ma", 1), ("l", "c", "mc", 1),
     ]
