@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from functools import reduce
-from operator import and_
+from operator import and_, or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -180,18 +180,27 @@ def multi_value_filter(
 ) -> DataFrame:
     """The same conditions over instances in long form ``(key, name, value, term_source_id)``.
 
-    For entities whose instances are too many for one array.
+    For entities whose instances are too many for one array. One pass over the
+    instances gives a flag per condition and entity, combined on the map side.
     """
+    checks = [(True, n, c) for n, c in (require or {}).items()]
+    checks += [(False, n, c) for n, c in (exclude or {}).items()]
+    if not checks:
+        return df
 
-    def hits(name: str, conditions) -> DataFrame:
+    def hit(name: str, conditions) -> Column:
         match = instance_matches(F.col("term_source_id"), F.col("value"), conditions)
-        return instances.where((F.lower("name") == name.lower()) & match)
-
-    for name, conditions in (require or {}).items():
-        df = keep_matching(df, hits(name, conditions), key)
-    for name, conditions in (exclude or {}).items():
-        df = drop_matching(df, hits(name, conditions), key)
-    return df
+        return F.coalesce(F.lower("name") == name.lower(), F.lit(False)) & match
+
+    hits = [hit(n, c) for _, n, c in checks]
+    matching = instances.where(reduce(or_, hits))
+    flags = matching.groupBy(key).agg(*[F.bool_or(h).alias(f"_f{i}") for i, h in enumerate(hits)])
+    # an entity without any match has no flags: it fails a requirement and passes exclusions
+    out = df.join(flags, key, "inner" if require else "left")
+    for i, (wanted, _, _) in enumerate(checks):
+        flag = F.coalesce(F.col(f"_f{i}"), F.lit(False))
+        out = out.where(flag if wanted else ~flag)
+    return out.select(*df.columns)
 
 
 # --- validation status ---

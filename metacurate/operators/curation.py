@@ -147,16 +147,14 @@ def copy_from_parent(
         F.col("accession").alias("sample"), F.lit(field).alias("field"), parent_of(relation).alias("parent")
     )
     instances = F.try_element_at("characteristics", F.lit(field))
-    holders = samples.where(instances.isNotNull()).select(
-        F.col("accession").alias("parent"), merged_value(instances).alias("m")
-    )
-    orphans = lacking.where(F.col("parent").isNull())
-    resolved = lacking.where(F.col("parent").isNotNull()).join(holders, "parent")
-    records = _records(resolved, _nothing(), F.array(_current(F.col("field"), F.col("m"))))
-    # one row per parent id and no values: all this side needs to know is that the field is there
-    fieldless = lacking.where(F.col("parent").isNotNull()).join(holders.select("parent"), "parent", "left_anti")
-    columns = ["sample", "field", "parent"]
-    return records, orphans.select(*columns).unionByName(fieldless.select(*columns))
+    holders = samples.where(instances.isNotNull())
+    values = holders.select(F.col("accession").alias("parent"), merged_value(instances).alias("m"))
+    records = _records(lacking.join(values, "parent"), _nothing(), F.array(_current(F.col("field"), F.col("m"))))
+    # samples without a parent get a key of their own: a shared NULL key would be one hot key
+    own_key = F.coalesce(F.concat(F.lit("parent "), "parent"), F.concat(F.lit("sample "), "sample"))
+    known = holders.select(F.concat(F.lit("parent "), "accession").alias("_key"))
+    unresolved = lacking.withColumn("_key", own_key).join(known, "_key", "left_anti")
+    return records, unresolved.select("sample", "field", "parent")
 
 
 def curation_payload(records: DataFrame, domain: str) -> DataFrame:
