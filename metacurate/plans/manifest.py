@@ -213,13 +213,19 @@ def ontology_terms(
     attributes: Column, classes: Mapping[str, Sequence[str]] = presets.ONTOLOGY_CLASSES
 ) -> Column:
     """``CLASS-term`` entries joined by ``;``: classes in order, then attributes, then positions."""
+    wanted = F.array(
+        *[
+            F.struct(F.lit(f"{label}-").alias("label"), F.lit(name.lower()).alias("name"))
+            for label, names in classes.items()
+            for name in names
+        ]
+    )
 
-    def entries(label: str, name: str) -> Column:
-        defined = F.filter(instances_of(attributes, name), lambda a: a["term_source_id"].isNotNull())
-        return F.transform(defined, lambda a: F.concat(F.lit(f"{label}-"), term_reference(a["term_source_id"])))
+    def entries(w: Column) -> Column:
+        named = F.filter(attributes, lambda a: (F.lower(a["name"]) == w["name"]) & a["term_source_id"].isNotNull())
+        return F.transform(named, lambda a: F.concat(w["label"], term_reference(a["term_source_id"])))
 
-    listed = [entries(label, name) for label, names in classes.items() for name in names]
-    return F.array_join(F.concat(*listed), ";")
+    return F.array_join(F.flatten(F.transform(wanted, entries)), ";")
 
 
 def first_value(attributes: Column, name: str) -> Column:
