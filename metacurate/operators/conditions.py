@@ -161,16 +161,6 @@ def instances_of(attributes: Column, name: str) -> Column:
     return F.filter(attributes, lambda a: F.lower(a["name"]) == name.lower())
 
 
-def keep_matching(df: DataFrame, keys: DataFrame, on: str) -> DataFrame:
-    """Rows whose key occurs in ``keys``. Keys are made distinct first, so a hot key is sent once."""
-    return df.join(keys.select(on).distinct(), on, "left_semi")
-
-
-def drop_matching(df: DataFrame, keys: DataFrame, on: str) -> DataFrame:
-    """Rows whose key does not occur in ``keys``."""
-    return df.join(keys.select(on).distinct(), on, "left_anti")
-
-
 def multi_value_filter(
     df: DataFrame,
     instances: DataFrame,

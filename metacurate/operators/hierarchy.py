@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from metacurate.operators.checkpoints import stored
 from metacurate.operators.groups import single_text
+from metacurate.operators.joins import join_unique
 
 INLINE = "inline type"
 
@@ -81,7 +82,7 @@ def path_labels(nodes: DataFrame, sep: str = "::") -> DataFrame:
     )
     steps = nodes.select("file", "path").distinct()
     exploded = steps.select("file", "path", F.posexplode("path").alias("pos", "type"))
-    named = exploded.join(names, ["file", "type"], "left").select(
+    named = join_unique(exploded, names, ["file", "type"], "left").select(
         "file", "path", F.struct("pos", F.coalesce("names", "type").alias("text")).alias("step")
     )
     # one entry per path element: bounded by the depth
@@ -89,5 +90,5 @@ def path_labels(nodes: DataFrame, sep: str = "::") -> DataFrame:
     labels = labels.select(
         "file", "path", F.array_join(F.transform("s", lambda x: x["text"]), sep).alias("label")
     )
-    out = nodes.join(labels, ["file", "path"], "left")
+    out = join_unique(nodes, labels, ["file", "path"], "left")
     return out.select(*nodes.columns, F.coalesce("label", F.lit("")).alias("label"))

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from metacurate.functions.values import truthy
+from metacurate.operators.joins import join_unique
 
 
 def first_available(lookups: DataFrame) -> DataFrame:
@@ -15,16 +16,23 @@ def first_available(lookups: DataFrame) -> DataFrame:
 
 
 def lookup_with_fallback(
-    df: DataFrame, lookups: DataFrame, key: str, into: str, eligible: Column | None = None
+    df: DataFrame,
+    lookups: DataFrame,
+    key: str,
+    into: str,
+    eligible: Column | None = None,
+    unique_keys: bool = False,
 ) -> DataFrame:
     """Add the first available value for ``key``; NULL where there is none or the row is not eligible.
 
     Rows are joined on their own key even when not eligible: nulling the key
-    instead would send all those rows to one partition.
+    instead would send all those rows to one partition. ``unique_keys`` says that
+    no two rows share a key, so that an existing partitioning by it can be used.
     """
     found = first_available(lookups).select(F.col("key").alias(key), F.col("value").alias("_found"))
     value = F.col("_found") if eligible is None else F.when(eligible, F.col("_found"))
-    return df.join(found, key, "left").select(*df.columns, value.alias(into))
+    joined = df.join(found, key, "left") if unique_keys else join_unique(df, found, key, "left")
+    return joined.select(*df.columns, value.alias(into))
 
 
 def reference_chain(

@@ -172,21 +172,22 @@ def select_runs(
         F.col("id").alias("experiment_source_id")
     )
 
-    # joins on the same key are consecutive, so a table is shuffled once per key
+    # targets first: the last join then finds both sides freshly shuffled by experiment, which lets AQE
+    # split an experiment that most runs belong to
+    if lookups is not None and experiment_attributes is not None:
+        experiment = experiment.join(target_of(experiment_attributes, "experiment_id"), "experiment_id", "left")
+    else:
+        experiment = experiment.withColumn("target", F.lit(None).cast("string"))
     experiment = (
         experiment.join(experiment_entity, "experiment_source_id", "left_semi")
         .join(sample.join(sample_entity, "biosample_id"), "sample_id")
         .join(study, "study_id")
     )
-    if lookups is not None and experiment_attributes is not None:
-        experiment = experiment.join(target_of(experiment_attributes, "experiment_id"), "experiment_id", "left")
-    else:
-        experiment = experiment.withColumn("target", F.lit(None).cast("string"))
     out = found.join(run, "run_source_id")
     if lookups is None:
         out = out.withColumn("_control", F.lit(None).cast("string"))
     else:
-        out = lookup_with_fallback(out, lookups, "run_source_id", "_control")
+        out = lookup_with_fallback(out, lookups, "run_source_id", "_control", unique_keys=True)
     out = out.join(experiment, "experiment_id")
     # the strategy is compared in any case
     looked_up = (F.upper("library_strategy") == s.lookup_strategy.upper()) & (

@@ -16,8 +16,8 @@ from metacurate.functions.messages import (
     strip_date,
 )
 from metacurate.functions.values import joined_text
-from metacurate.operators.conditions import drop_matching, keep_matching
 from metacurate.operators.groups import DEFAULT_PER_ROW, joined_groups
+from metacurate.operators.joins import drop_matching, keep_matching
 from metacurate.presets import CANDIDATE_PATTERNS, NOISE_MESSAGES
 
 MESSAGE = ["severity", "msg"]
@@ -201,22 +201,30 @@ def unmet(datasets: DataFrame, standard: str, column: str = "standardMet") -> Da
     return datasets.where(F.col(column).isNull() | (F.col(column) != standard))
 
 
+def _imported(imported: DataFrame, met: Column | None) -> DataFrame:
+    return imported if met is None else imported.where(~F.coalesce(met, F.lit(False)))
+
+
 def not_imported(logged: DataFrame, imported: DataFrame, on: str, met: Column | None = None) -> DataFrame:
     """Logged keys that are not among the imported ones.
 
     With ``met``, a condition on ``imported``, the rows that meet it do not count
     as imported, so that their keys are listed too.
     """
-    known = imported if met is None else imported.where(~F.coalesce(met, F.lit(False)))
-    return drop_matching(logged.select(on).distinct(), known, on)
+    return drop_matching(logged.select(on).distinct(), _imported(imported, met), on)
 
 
 def not_imported_errors(
-    log: DataFrame, imported: DataFrame, met: Column | None = None, per_row: int = DEFAULT_PER_ROW, **options
+    log: DataFrame,
+    imported: DataFrame,
+    met: Column | None = None,
+    per_row: int = DEFAULT_PER_ROW,
+    full_message: bool = False,
+    **options,
 ) -> DataFrame:
     """Error lines of the logged datasets that were not imported."""
     options.setdefault("strip_dates", False)
     options.setdefault("noise", [])
-    missing = not_imported(log, imported, "dataset", met)
-    members = keep_matching(log.select("dataset", "id"), missing, "dataset")
-    return error_lines(affected(log_messages(log, **options), members, "dataset"), "dataset", per_row)
+    members = drop_matching(log.select("dataset", "id"), _imported(imported, met), "dataset")
+    messages = log_messages(log, full_message=full_message, **options)
+    return error_lines(affected(messages, members, "dataset"), "dataset", per_row, full_message)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from metacurate.operators.conditions import drop_matching
+from metacurate.operators.joins import drop_matching
 from metacurate.sources.schemas import LEDGER
 
 

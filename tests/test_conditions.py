@@ -159,13 +159,6 @@ def test_entity_status(spark):
     assert values(df.select(c.entity_status(F.col("a")))) == ["error", "", None, None]
 
 
-def test_semi_and_anti_joins_send_each_key_once(spark):
-    left = spark.createDataFrame([(1,), (2,), (2,)], "k int")
-    keys = spark.createDataFrame([(2,)] * 50 + [(None,)], "k int")
-    assert rows(c.keep_matching(left, keys, "k")) == [(2,), (2,)]
-    assert rows(c.drop_matching(left, keys, "k")) == [(1,)]
-
-
 def test_pivot_fields_joins_names_that_differ_in_case(spark):
     fields = spark.createDataFrame(
         [(1, 0, "Sex", "f"), (1, 1, "Derived from", "P1"), (2, 0, "derived from", "P2"), (2, 1, "Derived from", "P3"),
