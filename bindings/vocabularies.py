@@ -17,6 +17,7 @@ from metacurate.operators.vocabulary import (
     vocabulary_terms,
     vocabulary_union,
 )
+from metacurate.plans.schema_fields import mandatory_fields
 
 _ALLOWED = [
     ("part", "p_type", ["STANDARD", "PROMO", "LARGE", "SMALL"]),
@@ -283,3 +284,44 @@ def nested_groups(spark: SparkSession, sf: str) -> DataFrame:
     )
     entries = rule_entries(nodes, ["file", "kind"], ["name", "path", "desc"], identity=["name"], per_row=20)
     return entries.withColumn("entries", F.to_json("entries"))
+
+
+@query(
+    "mandatory_fields",
+    """
+    WITH label AS (SELECT p_type AS type, string_agg(DISTINCT p_brand, '|' ORDER BY p_brand) AS path
+                   FROM part GROUP BY p_type)
+    SELECT DISTINCT 'element' AS kind, p_brand AS name, '' AS path, 'root of ' || p_type AS "desc",
+           CASE WHEN p_type = 'PROMO' THEN 'x|y' WHEN p_brand = 'Brand#3' THEN 'z' END AS allowed_values
+    FROM part
+    UNION ALL
+    SELECT 'element', p_name, path, NULL, NULL
+    FROM (SELECT DISTINCT p_name, p_type FROM part WHERE p_size <= 25) JOIN label ON type = p_type
+    UNION ALL
+    SELECT 'attribute', p_name, path, NULL, CASE WHEN p_name = 'red widget' THEN 'w' END
+    FROM (SELECT DISTINCT p_name, p_type FROM part WHERE p_size > 25 AND p_type <> 'SMALL') JOIN label ON type = p_type
+    """,
+)
+def fields_of_schemas(spark: SparkSession, sf: str) -> DataFrame:
+    """Brands are root elements of their types; names are elements or attributes below them."""
+    part = table(spark, sf, "part")
+    none = F.lit(None).cast("string")
+    large = F.col("p_size") > 25
+    roots = part.select(
+        F.lit("own").alias("file"), F.lit("").alias("parent"), F.col("p_brand").alias("name"),
+        F.lit("element").alias("kind"), F.col("p_type").alias("type"), none.alias("min_occurs"), none.alias("use"),
+        F.concat(F.lit("  root  of\n\t"), "p_type").alias("description"),
+    )
+    below = part.select(
+        F.lit("own").alias("file"), F.col("p_type").alias("parent"), F.col("p_name").alias("name"),
+        F.when(large, "attribute").otherwise("element").alias("kind"),
+        F.when(large, "NA").otherwise("com:text").alias("type"), none.alias("min_occurs"),
+        F.when(F.col("p_type") != "SMALL", "required").alias("use"), F.col("p_name").alias("description"),
+    )
+    allowed = settings(
+        spark,
+        "file tag allowed",
+        [("own", "PROMO", ["x", "y"]), ("own", "Brand#3", ["z"]), ("own", "red widget", ["w"])],
+    )
+    fields = mandatory_fields(roots.unionByName(below).distinct(), allowed, "common")
+    return fields.drop("file").withColumn("allowed_values", F.array_join("allowed_values", "|"))

@@ -73,15 +73,12 @@ def path_labels(nodes: DataFrame, sep: str = "::") -> DataFrame:
 
     Works on the distinct paths, which siblings share.
     """
-    names = single_text(
-        nodes.select("file", "type", "name").where(F.col("type").isNotNull()).distinct(),
-        ["file", "type"],
-        "name",
-        "|",
-        "names",
-    )
     steps = nodes.select("file", "path").distinct()
     exploded = steps.select("file", "path", F.posexplode("path").alias("pos", "type"))
+    # only types on a path need names; a basic type may be used by any number of nodes
+    uses = nodes.select("file", "type", "name").distinct()
+    entered = join_unique(uses, exploded.select("file", "type").distinct(), ["file", "type"], "left_semi")
+    names = single_text(entered, ["file", "type"], "name", "|", "names")
     named = join_unique(exploded, names, ["file", "type"], "left").select(
         "file", "path", F.struct("pos", F.coalesce("names", "type").alias("text")).alias("step")
     )

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from metacurate.operators.checkpoints import stored
 from metacurate.operators.groups import joined_groups, pack_groups
+from metacurate.operators.joins import keep_matching
 from metacurate.presets import COMMON_PREFIX
 
 
@@ -50,7 +51,7 @@ def conformance(values: DataFrame, terms: DataFrame, column: str = "column") ->
     NULL values are nothing to judge.
     """
     counted = values.where(F.col("value").isNotNull()).groupBy(column, "value").agg(F.count("*").alias("n"))
-    governed = counted.join(terms.select(column).distinct(), column, "left_semi")
+    governed = keep_matching(counted, terms, column)
     return governed.join(terms.select(column, "value"), [column, "value"], "left_anti")
 
 

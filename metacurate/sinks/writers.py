@@ -105,6 +105,18 @@ def write_rule_entries(entries: DataFrame, path: str, mode: str = "errorifexists
     entries.write.mode(mode).json(path)
 
 
+def write_mandatory_fields(fields: DataFrame, path: str, mode: str = "errorifexists") -> None:
+    """Mandatory schema fields as tab-separated lines with a header; allowed values joined by ``|``."""
+    fields.select(
+        F.col("file").alias("xsd file"),
+        F.col("kind").alias("type"),
+        "name",
+        "path",
+        F.coalesce("desc", F.lit("")).alias("description"),
+        F.coalesce(F.array_join("allowed_values", "|"), F.lit("")).alias("allowed values"),
+    ).write.mode(mode).option("header", True).option("sep", "\t").option("emptyValue", "").csv(path)
+
+
 def ruleset_fields(fields: DataFrame) -> DataFrame:
     """Vocabulary fields ``(column, sheet, allowed, mandatory)`` as rule-set entries."""
     return fields.select(

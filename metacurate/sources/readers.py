@@ -54,15 +54,19 @@ def read_entities(
     return unique_by(rows, "id", on_duplicate, position)
 
 
-def read_lookups(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
-    """Ordered lookup files (one JSON object each) as ``(priority, key, value)``; the first path wins."""
+def read_lookups(spark: SparkSession, paths: Sequence[str], layout: str = "array") -> DataFrame:
+    """Ordered lookup files as ``(priority, key, value)``; the first path wins.
+
+    ``array`` reads one JSON object per file, ``lines`` one ``{"key": …, "value": …}`` per line.
+    """
     lookups = None
     for priority, path in enumerate(paths):
-        text = spark.read.text(path, wholetext=True)
-        pairs = text.select(
-            F.lit(priority).alias("priority"),
-            F.explode(F.from_json("value", "map<string,string>")).alias("key", "value"),
-        )
+        if layout == "array":
+            text = spark.read.text(path, wholetext=True)
+            pairs = text.select(F.explode(F.from_json("value", "map<string,string>")).alias("key", "value"))
+        else:
+            pairs = _json(spark, path, "key string, value string", layout)
+        pairs = pairs.select(F.lit(priority).alias("priority"), "key", "value")
         lookups = pairs if lookups is None else lookups.unionByName(pairs)
     if lookups is None:
         return spark.createDataFrame([], "priority int, key string, value string")

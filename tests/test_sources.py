@@ -39,6 +39,8 @@ def test_unknown_layout(spark, put):
 def test_lookups(spark, put):
     df = r.read_lookups(spark, [put("manual.json", {"r1": "m1"}), put("auto.json", {"r1": "a1", "r2": ""})])
     assert rows(df) == [(0, "r1", "m1"), (1, "r1", "a1"), (1, "r2", "")]
+    lines = put("l.jsonl", '{"key":"r1","value":"x"}\n{"key":"r2","value":null}\n')
+    assert rows(r.read_lookups(spark, [lines], layout="lines")) == [(0, "r1", "x"), (0, "r2", None)]
     assert r.read_lookups(spark, []).columns == ["priority", "key", "value"]
 
 

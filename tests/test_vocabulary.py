@@ -4,6 +4,9 @@ from pyspark.sql import functions as F
 from conftest import rows
 from metacurate.operators import hierarchy as h
 from metacurate.operators import vocabulary as vo
+from metacurate.operators.groups import single_text
+from metacurate.plans.schema_fields import mandatory_fields
+from metacurate.sinks.writers import write_mandatory_fields
 
 
 def test_allowed_by_type_then_name(spark):
@@ -92,6 +95,17 @@ def test_expansion_and_labels(edges):
     }
 
 
+def test_labels_ignore_types_that_are_not_entered(spark, edges, monkeypatch):
+    many = spark.range(30).select(
+        F.lit("s.xsd").alias("file"), F.lit("OneType").alias("parent"), F.format_string("F%d", "id").alias("name"),
+        F.lit("element").alias("kind"), F.lit("xs:string").alias("type"),
+    )
+    nodes = h.expand(h.inline_types(edges.select(many.columns).unionByName(many)))
+    limited = lambda *args: single_text(*args, limit=5)
+    monkeypatch.setattr(h, "single_text", limited)
+    assert "ITEM|ONE|OTHER" in {r[0] for r in rows(h.path_labels(nodes), "label")}
+
+
 def test_expansion_stops_at_a_depth(edges):
     nodes = h.expand(h.inline_types(edges), max_depth=1)
     assert {r[0] for r in rows(nodes, "depth")} == {0, 1}
@@ -123,3 +137,37 @@ def test_siblings_on_one_path_are_split(spark):
     entries = vo.rule_entries(nodes, ["file"], ["name"], per_row=30).collect()
     assert len(entries) == 10 and max(len(r["entries"]) for r in entries) < 60
     assert sorted(e["name"] for r in entries for e in r["entries"]) == [f"n{i:03d}" for i in range(300)]
+
+
+def test_mandatory_fields(spark, tmp_path):
+    edges = spark.createDataFrame(
+        [
+            ("s.xsd", "", "SET", "element", "SetType", None, None, " the\n\t set  of "),
+            ("s.xsd", "SetType", "STRATEGY", "element", "com:Strategy", "1", None, "nested"),
+            ("s.xsd", "SetType", "LAYOUT", "element", "inline type", None, None, None),
+            ("s.xsd", "SetType::LAYOUT", "SINGLE", "element", "", None, None, None),
+            ("s.xsd", "SetType", "alias", "attribute", "NA", None, "required", None),
+            ("s.xsd", "SetType", "TITLE", "element", "xs:string", "0", None, None),
+        ],
+        EDGE,
+    )
+    allowed = spark.createDataFrame(
+        [("common.xsd", "Strategy", ["WGS", "RNA"]), ("s.xsd", "LAYOUT", ["SINGLE", "PAIRED"])],
+        "file string, tag string, allowed array<string>",
+    )
+    fields = mandatory_fields(edges, allowed, "common.xsd")
+    assert rows(fields, "kind", "name", "path", "desc", "allowed_values") == sorted(
+        [
+            ("element", "SET", "", "the set of", None),
+            ("element", "STRATEGY", "SET", None, ["WGS", "RNA"]),
+            ("element", "LAYOUT", "SET", None, ["SINGLE", "PAIRED"]),
+            ("element", "SINGLE", "SET::LAYOUT", None, None),
+            ("attribute", "alias", "SET", None, None),
+        ],
+        key=repr,
+    )
+    everywhere = mandatory_fields(edges, allowed, "common.xsd", describe_all=True)
+    assert rows(everywhere.where("desc is not null"), "desc") == [("nested",), ("the set of",)]
+    write_mandatory_fields(fields.where("name = 'STRATEGY'").coalesce(1), str(tmp_path / "f"))
+    (line,) = spark.read.text(str(tmp_path / "f")).where("value not like 'xsd file%'").collect()
+    assert line[0] == "s.xsd\telement\tSTRATEGY\tSET\t\tWGS|RNA"
