@@ -1,0 +1,42 @@
+"""Hashes of words and shingles against Python's own splitting."""
+
+import random
+import re
+
+import pyarrow as pa
+
+from metacurate.llm import ngrams
+
+TEXTS = ["", None, " ", "a", "A b", "a  B\tc\nd", "x\x1cy z", "é É é", "a b c a b c a b c", "\n lead trail \r", "日本 語 a", "a" * 5000 + " b"]
+
+
+def words(text):
+    fold = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    return re.findall("[^\x20\x09-\x0d]+", (text or "").translate(fold))
+
+
+def test_words_and_shingles(monkeypatch):
+    rnd = random.Random(5)
+    texts = TEXTS + ["".join(rnd.choice("aAbB \né") for _ in range(rnd.randint(0, 60))) for _ in range(300)]
+    seen = {}
+    for step in (ngrams._STEP, 64):
+        monkeypatch.setattr(ngrams, "_STEP", step)
+        column = pa.array(["skipped", *texts])[1:]  # a slice with an offset
+        got = []
+        for at, hashes, bounds in ngrams.batch_words(column):
+            got += [hashes[a:b] for a, b in zip(bounds, bounds[1:], strict=False)]
+            assert len(got) == at + len(bounds) - 1
+        assert len(got) == len(texts)
+        for text, hashes in zip(texts, got, strict=True):
+            assert len(hashes) == len(words(text))
+            for w, h in zip(words(text), hashes.tolist(), strict=True):
+                assert seen.setdefault(w, h) == h
+        assert len(set(seen.values())) == len(seen)
+        for n in (1, 3, 5):
+            shingles = {}
+            for i, found in ngrams.shingle_sets(column, n):
+                w = words(texts[i])
+                own = {tuple(w[j : j + n]) for j in range(max(1, len(w) - n + 1))} if w else set()
+                assert len(found) == len(own) and (found[1:] > found[:-1]).all()
+                shingles[frozenset(own)] = shingles.setdefault(frozenset(own), found.tolist())
+                assert shingles[frozenset(own)] == found.tolist()
