@@ -6,6 +6,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from bindings.registry import QUERIES, SQL
 
 SF = entry.SMOKE_DIR
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="no test tables")
@@ -25,11 +26,11 @@ def db():
     return con
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_agrees_with_sql(spark, db, name):
-    df = entry.queries()[name](spark, SF)
+    df = QUERIES[name](spark, SF)
     columns = sorted(df.columns)
-    result = db.execute(entry.oracle_sql()[name])
+    result = db.execute(SQL[name])
     names = [d[0] for d in result.description]
     assert sorted(names) == columns
     expected = sorted(tuple(plain(r[names.index(c)]) for c in columns) for r in result.fetchall())
@@ -44,7 +45,7 @@ def test_entry(spark):
 
 
 def test_no_python_workers_and_no_nested_loops(spark):
-    for name, query in entry.queries().items():
+    for name, query in QUERIES.items():
         plan = query(spark, SF)._jdf.queryExecution().executedPlan().toString()
         for operator in ("BatchEvalPython", "ArrowEvalPython", "MapInPandas", "CartesianProduct", "NestedLoopJoin"):
             assert operator not in plan, (name, operator)
