@@ -2,5 +2,5 @@
 
 from __future__ import annotations
 
-from metacurate.llm import jaccard, packing, topk, warc  # noqa: F401
+from metacurate.llm import jaccard, licences, packing, quality, topk, warc  # noqa: F401
 from metacurate.llm.registry import QUERIES, SQL  # noqa: F401

@@ -1,0 +1,82 @@
+"""Text statistics against Python, and the learned rules on held-out rows."""
+
+import random
+import re
+from collections import Counter
+
+from pyspark.sql import functions as F
+
+from metacurate.llm.quality import DecisionList, learn_rules, quality_verdicts, text_statistics
+
+SCHEMA = "doc_id bigint, text string, n_words string, kept int, quality string"
+LABELS = "doc_id bigint, quality int, toxic int, text string"
+
+
+def brute(text):
+    text = text or ""
+    words = re.findall("[^\x20\x09-\x0d]+", text)
+    lines = [x for x in text.split("\n") if re.search("[^\x20\x09-\x0d]", x)]
+    windows = Counter(zip(words, words[1:], words[2:], strict=False))
+    covered = {j for i in range(len(words) - 2) if windows[tuple(words[i : i + 3])] > 1 for j in (i, i + 1, i + 2)}
+    return len(words), sum(map(len, words)), len(re.findall(r"[#*$%&|<>]", text)), len(lines) - len(set(lines)), len(covered)
+
+
+def test_statistics(spark):
+    rnd = random.Random(3)
+    texts = [None, "", " \n ", "a", "a b", "a b c", "a b c a b c", "a a a a", "x\n\nx\n x\nx", "é 👍 #|#<> \x1c b", "a b " * 20_000, "w" * 50_000, "\n" * 500]
+    texts += ["".join(rnd.choice("aab \n#\t") for _ in range(rnd.randint(0, 120))) for _ in range(300)]
+    df = spark.createDataFrame([(i, t, "x", 1, "y") for i, t in enumerate(texts)], SCHEMA)
+    got = {r["doc_id"]: tuple(r)[1:6] for r in text_statistics(df).collect()}
+    assert got == {i: brute(t) for i, t in enumerate(texts)}
+
+
+def documents(rnd, n):
+    words = [f"{a}{b}" for a in "klmnoprst" for b in ("at", "en", "ing", "or", "us")]
+    docs, labels = [], []
+    for i in range(n):
+        w = [rnd.choice(words) for _ in range(rnd.randint(60, 200))]
+        kind = rnd.choice(["good", "good", "good", "symbols", "shout"])
+        if kind == "symbols":
+            w = [x + rnd.choice(["%%%", "###", "|"]) for x in w]
+        if kind == "shout":
+            w = [x.upper() + "!!" for x in w]
+        docs.append((i, " ".join(w), "x", 0, "y"))
+        labels.append((i, int(kind == "good"), 0, None))
+    return docs, labels
+
+
+def test_held_out_accuracy(spark):
+    docs, labels = documents(random.Random(1), 900)
+    verdicts = quality_verdicts(spark.createDataFrame(docs, SCHEMA), spark.createDataFrame(labels[:500], LABELS)).collect()
+    truth = {d: bool(q) for d, q, _, _ in labels}
+    held = [(r["kept"], truth[r["doc_id"]]) for r in verdicts if r["doc_id"] >= 500]
+    assert sum(a == b for a, b in held) / len(held) > 0.97
+    assert all(a for a, b in held if b)
+
+
+def test_rules_are_ordered_expressions(spark):
+    docs, labels = documents(random.Random(2), 400)
+    measured = text_statistics(spark.createDataFrame(docs, SCHEMA)).join(spark.createDataFrame(labels, LABELS).select("doc_id", "quality"), "doc_id")
+    rules = learn_rules(measured)
+    assert 1 <= len(rules.rules) <= 8 and all(1 <= len(r) <= 3 for r in rules.rules)
+    assert measured.where(rules.kept() != (F.col("quality") == 1)).count() < 12
+    assert DecisionList(()).kept() is not None and str(DecisionList(())) == "keep all"
+
+
+def test_noise_is_not_learned(spark):
+    docs, _ = documents(random.Random(5), 300)
+    rnd = random.Random(6)
+    labels = [(d[0], rnd.randint(0, 1), 0, None) for d in docs]
+    got = quality_verdicts(spark.createDataFrame(docs, SCHEMA), spark.createDataFrame(labels, LABELS)).collect()
+    assert sum(r["kept"] for r in got) > 0.9 * sum(not r["base_failed"] for r in got)
+
+
+def test_edges(spark):
+    rows = [(1, None, None, None, None), (None, "a " * 60, "x", 1, "y"), (2, "b c d " * 40, "x", 1, "y"), (3, " ".join(f"w{i}" for i in range(60)), "x", 1, "y")]
+    rows.append(rows[-1])
+    none = spark.createDataFrame([], LABELS)
+    got = sorted((tuple(r) for r in quality_verdicts(spark.createDataFrame(rows, SCHEMA), none).select("doc_id", "base_failed", "kept").collect()), key=repr)
+    assert got == sorted([(1, True, False), (None, True, False), (2, True, False), (3, False, True), (3, False, True)], key=repr)
+    odd = spark.createDataFrame([(3, None, 0, "t"), (3, 1, None, "t"), (None, 0, 0, "t")], LABELS)
+    assert quality_verdicts(spark.createDataFrame(rows, SCHEMA), odd).where("kept").count() == 2
+    assert quality_verdicts(spark.createDataFrame([], SCHEMA), none).count() == 0
