@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from metacurate.llm.registry import query, table
-from metacurate.operators.checkpoints import new_folder
+from metacurate.operators.checkpoints import new_folder, stored
 from metacurate.operators.joins import join_unique
 
 MIN_REVISIT = 100
@@ -42,7 +42,8 @@ def warc_records(pages: DataFrame, min_revisit: int = MIN_REVISIT) -> DataFrame:
         rows.where(F.col("size") >= min_revisit).groupBy("digest").agg(F.count("*").alias("n"), F.min("page_id").alias("refers_to"))
         .where("n > 1 AND refers_to IS NOT NULL").select("digest", "refers_to")
     )
-    # a null-safe left join on the digest: a hot payload is split over tasks
+    # stored, so that its size is known: payloads travel only if there are too many shared ones to broadcast
+    shared = stored(shared, "shared_payloads")
     joined = join_unique(rows, shared, "digest", "left")
     revisit = F.col("refers_to").isNotNull() & ~F.col("refers_to").eqNullSafe(F.col("page_id"))
     urn = lambda c: F.concat(F.lit("<urn:page:"), F.coalesce(c.cast("string"), F.lit("none")), F.lit(">"))
