@@ -1,18 +1,20 @@
 """Near-duplicate join on word shingles by token-combination prefixes.
 
 Two documents link when the Jaccard similarity of their sets of word shingles
-reaches a threshold. All shingles have one global order, that of their hash. The
-first ``n - need + K`` shingles of a set of ``n``, of which a partner must share
-``need``, are its prefix, extended so that two sets that link share at least
-``K`` shingles of their prefixes. A shingle is rare if few prefixes have it.
-Either two linked sets share a rare one, and the index of single rare shingles
-finds them, or all they share are frequent, and the index of combinations of
-``K = 2`` frequent shingles does. Candidates are verified on the whole texts.
-
-What is wanted are the classes that links form, so no pair is tried whose
-documents are already in one class: equal sets are one node from the start, a
-first round links the members of a family to one of them, and shingles or
-combinations all of whose documents are in one class are dropped.
+reaches a threshold. All shingles have one global order: those known to be
+frequent last, else by hash. The first ``n - need + 2`` shingles of a set of
+``n``, of which a partner must share ``need``, are its prefix, extended so that
+two sets that link share at least two shingles of their prefixes. Single shingles
+are indexed if few prefixes or few classes have them. Two linked sets either
+share one of those, or all they share in their prefixes are frequent, and the
+index of pairs of frequent shingles finds them. Candidates pass a bound from bit
+signatures and are verified on the whole texts.
+
+What is wanted are the classes that links form, so documents that are in one
+class already are never compared: equal sets are one node from the start, a few
+rounds link the members of a family to leaders, and keys all of whose documents
+are in one class are dropped. A key of many documents but few classes gives pairs
+of classes, whose members are compared block by block.
 """
 
 from __future__ import annotations
@@ -21,6 +23,7 @@ from collections.abc import Iterator
 from hashlib import blake2b
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -31,9 +34,14 @@ from metacurate.llm.registry import query, table
 from metacurate.operators.checkpoints import stored
 from metacurate.operators.joins import join_unique
 
-RARE = 64
+RARE = 64  # documents or classes of a key that are compared pair by pair
+ROUNDS = 2
+MOST_FREQUENT = 1 << 18  # shingles whose frequency the order knows of, 2 MB
+BLOCK = 1024
+BROADCAST_ROWS = 1 << 20
 _K = 2
-_SMALL_BATCH = 1 << 24
+_LOCAL = 4
+_WORDS = 16  # 64-bit words of a bit signature
 
 
 def _need(n: int, percent: int) -> int:
@@ -41,43 +49,104 @@ def _need(n: int, percent: int) -> int:
     return -(-percent * n // 100)
 
 
-def signatures(docs: DataFrame, n: int, percent: int) -> DataFrame:
-    """``doc_id, text_hash, size, fingerprint, prefix`` of each row's shingle set; the prefix is sorted."""
+def frequent_shingles(docs: DataFrame, n: int, rare: int = RARE, most: int = MOST_FREQUENT) -> np.ndarray:
+    """Hashes of frequent shingles, at most ``most``, sorted.
+
+    Each batch counts the documents of all its shingles and hands on those that
+    four of them have. The bar is the mean that ``most`` shingles could have, so
+    no more than ``most`` pass it. Any set gives right results; a good one keeps
+    common passages out of the prefixes.
+    """
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets = [found for _, found in shingle_sets(batch.column("text"), n)]
+            if sets:
+                keys, counts = np.unique(np.concatenate(sets), return_counts=True)
+                often = counts >= _LOCAL
+                yield pa.RecordBatch.from_arrays([pa.array(keys[often].view(np.int64)), pa.array(counts[often])], names=["key", "n"])
+
+    counted = docs.select(F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")).mapInArrow(count, "key bigint, n bigint")
+    counted = stored(counted.groupBy("key").agg(F.sum("n").alias("n")), "shingle_counts")
+    total = counted.agg(F.sum("n")).first()[0] or 0
+    found = counted.where(F.col("n") >= max(rare, total / most)).select("key").toArrow()
+    return np.sort(found.column("key").to_numpy().view(np.uint64))
+
+
+def signatures(docs: DataFrame, n: int, percent: int, frequent: np.ndarray) -> DataFrame:
+    """Signature of each row's shingle set.
+
+    ``doc_id, text_hash, size, fingerprint`` of the set, its ``prefix`` in the
+    global order, its ``least`` three hashes, and ``bits``: the parity of how
+    many shingles fall on each of 1024 bits, so that the bits in which two sets
+    differ are at most the shingles in which they do.
+    """
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sizes, prints, prefixes, bounds = [], [], [], [0]
+            sizes, prints, prefixes, bounds, least, bits = [], [], [], [0], [], []
             for _, found in shingle_sets(batch.column("text"), n):
                 sizes.append(len(found))
                 prints.append(blake2b(found.tobytes(), digest_size=16).digest())
-                prefixes.append(found[: len(found) - _need(len(found), percent) + _K])
+                common = np.zeros(len(found), bool)
+                if len(frequent):
+                    common = frequent[np.minimum(np.searchsorted(frequent, found), len(frequent) - 1)] == found
+                length = len(found) - _need(len(found), percent) + _K
+                prefixes.append(np.concatenate([found[~common], found[common]])[:length])
                 bounds.append(bounds[-1] + len(prefixes[-1]))
+                least.append(np.pad(found[:3], (0, 3 - len(found[:3]))))
+                odd = np.bincount((found >> np.uint64(54)).astype(np.int64), minlength=64 * _WORDS) & 1
+                bits.append(np.packbits(odd.astype(np.uint8)).view(np.int64))
             if sizes:
-                flat = pa.array(np.concatenate(prefixes).view(np.int64))
+                flat = lambda parts: pa.array(np.concatenate(parts).view(np.int64))
+                even = lambda width: pa.array(np.arange(len(sizes) + 1) * width, pa.int32())
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("doc_id"), batch.column("text_hash"), pa.array(sizes, pa.int64()), pa.array(prints, pa.binary()),
-                     pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), flat)],
-                    names=["doc_id", "text_hash", "size", "fingerprint", "prefix"],
+                     pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), flat(prefixes)),
+                     pa.ListArray.from_arrays(even(3), flat(least)), pa.ListArray.from_arrays(even(_WORDS), flat(bits))],
+                    names=["doc_id", "text_hash", "size", "fingerprint", "prefix", "least", "bits"],
                 )
 
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     return docs.select(F.col("doc_id").cast("bigint"), text.alias("text"), F.xxhash64(text).alias("text_hash")).mapInArrow(
-        sign, "doc_id bigint, text_hash bigint, size bigint, fingerprint binary, prefix array<bigint>"
+        sign,
+        "doc_id bigint, text_hash bigint, size bigint, fingerprint binary, prefix array<bigint>, least array<bigint>, bits array<bigint>",
     )
 
 
-def verified(pairs: DataFrame, docs: DataFrame, n: int, percent: int) -> DataFrame:
-    """The pairs ``(a, a_hash, b, b_hash)`` whose documents link, as ``a, b``. Reads the whole texts of both."""
+def _spread(total: Column, percent: int) -> Column:
+    """In how many shingles two linked sets of ``total`` shingles together can differ."""
+    return total - 2 * F.ceil(F.lit(percent) * total / F.lit(100 + percent))
+
+
+def verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, n: int, percent: int) -> DataFrame:
+    """The pairs ``(a, b)`` of nodes that link. Bit signatures rule most out; the others' whole texts are read.
+
+    The ids to be read are broadcast if they are at most 2**20, else texts are
+    joined to them.
+    """
+    spark = pairs.sparkSession
+    marks = lambda c: nodes.select(F.col("doc_id").alias(c), *[F.col(x).alias(f"{c}_{x}") for x in ("text_hash", "size", "bits")])
+    signed = join_unique(join_unique(pairs.select("a", "b").distinct(), marks("a"), "a"), marks("b"), "b")
+    differ = F.aggregate(F.zip_with("a_bits", "b_bits", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, x: s + x)
+    pairs = stored(
+        signed.where(differ <= _spread(F.col("a_size") + F.col("b_size"), percent)).select("a", "a_text_hash", "b", "b_text_hash"), "candidates"
+    )
+    if pairs.isEmpty():
+        return spark.createDataFrame([], "a bigint, b bigint")
+    used = pairs.select(F.col("a").alias("doc_id"), F.col("a_text_hash").alias("text_hash")).union(pairs.select("b", "b_text_hash"))
+    used = stored(used.distinct(), "used")
     texts = docs.select(
         F.col("doc_id").cast("bigint"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")
     ).withColumn("text_hash", F.xxhash64("text"))
-    pairs = stored(pairs, "candidates")
-    used = pairs.select(F.col("a").alias("doc_id"), F.col("a_hash").alias("text_hash")).union(pairs.select("b", "b_hash"))
+    if used.count() <= BROADCAST_ROWS:
+        chosen = texts.join(F.broadcast(used), ["doc_id", "text_hash"], "left_semi")
+    else:
+        chosen = join_unique(texts, used, ["doc_id", "text_hash"], "left_semi")
     # repeated rows have one text
-    wanted = join_unique(texts, used.distinct(), ["doc_id", "text_hash"], "left_semi").groupBy("doc_id", "text_hash").agg(F.first("text").alias("text"))
-    wanted = stored(wanted, "texts")
-    side = lambda c: wanted.select(F.col("doc_id").alias(c), F.col("text_hash").alias(f"{c}_hash"), F.col("text").alias(f"{c}_text"))
-    both = join_unique(join_unique(pairs, side("a"), ["a", "a_hash"]), side("b"), ["b", "b_hash"])
+    chosen = stored(chosen.groupBy("doc_id", "text_hash").agg(F.first("text").alias("text")), "texts")
+    side = lambda c: chosen.select(F.col("doc_id").alias(c), F.col("text_hash").alias(f"{c}_text_hash"), F.col("text").alias(f"{c}_text"))
+    both = join_unique(join_unique(pairs, side("a"), ["a", "a_text_hash"]), side("b"), ["b", "b_text_hash"])
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -91,30 +160,67 @@ def verified(pairs: DataFrame, docs: DataFrame, n: int, percent: int) -> DataFra
     return both.select("a", "b", "a_text", "b_text").mapInArrow(check, "a bigint, b bigint")
 
 
-def _close(x: Column, y: Column, percent: int) -> Column:
-    """Sizes that two linked sets can have."""
-    return (F.lit(100) * F.least(x, y)) >= (F.lit(percent) * F.greatest(x, y))
-
-
 def _spanning(entries: DataFrame) -> DataFrame:
     """``key, n`` of the keys whose documents are in more than one class."""
     counted = entries.groupBy("key").agg(F.count("*").alias("n"), F.min("class").alias("low"), F.max("class").alias("high"))
     return counted.where("low <> high").select("key", "n")
 
 
-def _pairs(entries: DataFrame, percent: int) -> DataFrame:
-    """Pairs of documents of different classes that have a key in common, in id order; one row per key."""
-    left = entries.select("key", *[F.col(c).alias(f"a_{c}") for c in ("doc_id", "text_hash", "size", "class")])
-    right = entries.select("key", *[F.col(c).alias(f"b_{c}") for c in ("doc_id", "text_hash", "size", "class")])
-    return left.join(right, "key").where(
-        (F.col("a_doc_id") < F.col("b_doc_id")) & (F.col("a_class") != F.col("b_class")) & _close(F.col("a_size"), F.col("b_size"), percent)
-    )
+def _document_pairs(entries: DataFrame, percent: int) -> DataFrame:
+    """Pairs of documents of different classes with a key in common, in id order; one row per key."""
+    left = entries.select("key", *[F.col(c).alias(f"a_{c}") for c in ("doc_id", "size", "class")])
+    right = entries.select("key", *[F.col(c).alias(f"b_{c}") for c in ("doc_id", "size", "class")])
+    close = (F.lit(100) * F.least("a_size", "b_size")) >= (F.lit(percent) * F.greatest("a_size", "b_size"))
+    return left.join(right, "key").where((F.col("a_doc_id") < F.col("b_doc_id")) & (F.col("a_class") != F.col("b_class")) & close)
 
 
-def _named(pairs: DataFrame) -> DataFrame:
-    return pairs.select(
-        F.col("a_doc_id").alias("a"), F.col("a_text_hash").alias("a_hash"), F.col("b_doc_id").alias("b"), F.col("b_text_hash").alias("b_hash")
-    )
+def _member_pairs(keyed: DataFrame, current: DataFrame, percent: int) -> DataFrame:
+    """Pairs of members of classes that have a key in common, as far as their bit signatures let them link.
+
+    ``keyed`` is ``key, class``. Members of two classes meet in blocks, which
+    bounds a task whatever the size of the classes.
+    """
+    rows = keyed.distinct()
+    both = rows.withColumnRenamed("class", "low").join(rows.withColumnRenamed("class", "high"), "key").where("low < high")
+    pairs = stored(both.select("low", "high").distinct(), "class_pairs")
+    members = current.select("class", "doc_id", "size", "bits")
+    left = join_unique(members.withColumnRenamed("class", "low"), pairs.select("low").distinct(), "low", "left_semi")
+    right = pairs.join(members.withColumnRenamed("class", "high"), "high").drop("high")
+    blocks = lambda df, c: df.groupBy("low").agg(F.ceil(F.count("*") / BLOCK).alias(c))
+    counts = stored(blocks(left, "rows").join(blocks(right, "columns"), "low"), "blocks")
+
+    def dealt(df: DataFrame, own: str, other: str) -> DataFrame:
+        other_block = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col(other) - 1)).alias(other)
+        split = join_unique(df, counts, "low").select("low", F.pmod(F.xxhash64("doc_id"), F.col(own)).alias(own), other_block, "doc_id", "size", "bits")
+        return split.select("low", "rows", "columns", "doc_id", "size", "bits").toDF("low", "rows", "columns", "doc_id", "size", "bits")  # names of its own
+
+    def compare(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
+        if a.empty or b.empty:
+            return pd.DataFrame({"a": [], "b": []}, dtype="int64")
+        a_bits, b_bits = np.stack(a["bits"].to_numpy()), np.stack(b["bits"].to_numpy())
+        a_size, a_id = a["size"].to_numpy(), a["doc_id"].to_numpy()
+        out = []
+        for bits, size, doc in zip(b_bits, b["size"].to_numpy(), b["doc_id"].to_numpy(), strict=True):
+            total = a_size + size
+            differ = np.bitwise_count((a_bits ^ bits).view(np.uint64)).sum(axis=1)
+            close = differ <= total - 2 * -(-percent * total // (100 + percent))
+            close &= 100 * np.minimum(a_size, size) >= percent * np.maximum(a_size, size)
+            out.append((a_id[close], np.full(close.sum(), doc)))
+        return pd.DataFrame({"a": np.concatenate([x for x, _ in out]), "b": np.concatenate([y for _, y in out])})
+
+    keys = ["low", "rows", "columns"]
+    return dealt(left, "rows", "columns").groupBy(*keys).cogroup(dealt(right, "columns", "rows").groupBy(*keys)).applyInPandas(compare, "a bigint, b bigint")
+
+
+def _candidates(entries: DataFrame, current: DataFrame, percent: int, rare: int) -> tuple[DataFrame, DataFrame]:
+    """Pairs from the keys that few documents or few classes have, and the entries of the other keys."""
+    hits = stored(join_unique(entries, _spanning(entries), "key"), "index")
+    many = hits.where(F.col("n") > rare)
+    classes = stored(many.select("key", "class").distinct().groupBy("key").agg(F.count("*").alias("classes")), "key_classes")
+    few = join_unique(many, classes.where(F.col("classes") <= rare), "key", "left_semi").select("key", "class")
+    rest = join_unique(many, classes.where(F.col("classes") > rare), "key", "left_semi").drop("n")
+    light = _document_pairs(hits.where(F.col("n") <= rare), percent).select(F.col("a_doc_id").alias("a"), F.col("b_doc_id").alias("b")).distinct()
+    return light.union(_member_pairs(few, current, percent)), rest
 
 
 def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80, rare: int = RARE) -> DataFrame:
@@ -130,68 +236,61 @@ def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80, rare: int =
     """
     if not 67 <= percent <= 100:
         raise ValueError("percent must be from 67 to 100")
-    rows = stored(signatures(docs, n, percent), "signatures")
+    rows = stored(signatures(docs, n, percent, frequent_shingles(docs, n, rare)), "signatures")
     sets = rows.where("doc_id IS NOT NULL AND size > 0")
     # equal sets are one node, named by their smallest document
-    nodes = stored(
-        sets.groupBy("fingerprint").agg(F.min(F.struct("doc_id", "text_hash", "size", "prefix")).alias("r")).select("fingerprint", "r.*"),
-        "nodes",
-    )
+    whole = F.struct("doc_id", "text_hash", "size", "prefix", "least", "bits")
+    nodes = stored(sets.groupBy("fingerprint").agg(F.min(whole).alias("r")).select("fingerprint", "r.*"), "nodes")
     again = sets.groupBy("doc_id").agg(F.min("fingerprint").alias("low"), F.max("fingerprint").alias("high")).where("low <> high").select("doc_id")
     repeated = join_unique(join_unique(sets.select("doc_id", "fingerprint"), again, "doc_id", "left_semi"),
                            nodes.select("fingerprint", F.col("doc_id").alias("b")), "fingerprint")
-    links = repeated.select(F.col("doc_id").alias("a"), "b").distinct()
-
-    # families: each node and the smallest node with the same two of its three first shingles
-    at = lambda i: F.coalesce(F.get("prefix", F.lit(i)), F.lit(0))
-    keyed = nodes.select(
-        "doc_id", "text_hash", "size",
-        F.explode(F.array(*[F.xxhash64(F.lit(i + j), at(i), at(j)) for i, j in ((0, 1), (0, 2), (1, 2))])).alias("key"),
-    )
-    leaders = keyed.groupBy("key").agg(F.min(F.struct("doc_id", "text_hash", "size")).alias("lead"), F.count("*").alias("n")).where("n > 1")
-    stars = (
-        join_unique(keyed, leaders, "key")
-        .where((F.col("doc_id") != F.col("lead.doc_id")) & _close(F.col("size"), F.col("lead.size"), percent))
-        .select(F.col("lead.doc_id").alias("a"), F.col("lead.text_hash").alias("a_hash"), F.col("doc_id").alias("b"), F.col("text_hash").alias("b_hash"))
-        .distinct()
-    )
-    links = stored(links.union(verified(stars, docs, n, percent)), "links")
+    links = stored(repeated.select(F.col("doc_id").alias("a"), "b").distinct(), "links")
 
-    def classed() -> DataFrame:
+    def classed(df: DataFrame) -> DataFrame:
         """Nodes with their class by the links so far."""
         found = components(links).select(F.col("node").alias("doc_id"), "component")
-        return join_unique(nodes, found, "doc_id", "left").withColumn("class", F.coalesce("component", "doc_id")).drop("component")
-
-    # single rare shingles
-    current = stored(classed(), "classed")
-    entries = current.select("doc_id", "text_hash", "size", "class", F.explode("prefix").alias("key"))
-    hits = stored(join_unique(entries, _spanning(entries), "key"), "index")
-    frequent = hits.where(F.col("n") > rare).drop("n")
-    heavy = stored(frequent.groupBy("doc_id", "text_hash", "size").agg(F.sort_array(F.collect_list("key")).alias("keys")), "frequent")
-    shared = _pairs(hits.where(F.col("n") <= rare), percent).groupBy(
-        "a_doc_id", "a_text_hash", "a_size", "b_doc_id", "b_text_hash", "b_size"
-    ).agg(F.count("*").alias("n"))
-    # what the two share outside their prefixes is at most the longer rest of the two sets
-    for side in ("a", "b"):
-        many = heavy.select(F.col("doc_id").alias(f"{side}_doc_id"), F.col("text_hash").alias(f"{side}_text_hash"), F.size("keys").alias(f"{side}_f"))
-        shared = join_unique(shared, many, [f"{side}_doc_id", f"{side}_text_hash"], "left")
-    rest = lambda c: F.greatest(F.ceil(F.col(c) * percent / 100) - _K, F.lit(0))
-    most = F.col("n") + F.coalesce(F.least("a_f", "b_f"), F.lit(0)) + F.greatest(rest("a_size"), rest("b_size"))
-    likely = shared.where(most * (100 + percent) >= percent * (F.col("a_size") + F.col("b_size")))
-    links = stored(links.union(verified(_named(likely), docs, n, percent)), "links")
-
-    # combinations of two frequent shingles
-    current = stored(join_unique(heavy, classed().select("doc_id", "text_hash", "class"), ["doc_id", "text_hash"]), "classed")
-    later = F.transform("keys", lambda x, i: F.transform(F.slice("keys", i + 2, F.size("keys")), lambda y: F.xxhash64(x, y)))
-    combined = current.select("doc_id", "text_hash", "size", "class", F.explode(F.flatten(later)).alias("key"))
-    candidates = _named(_pairs(join_unique(combined, _spanning(combined), "key"), percent)).distinct()
-    links = stored(links.union(verified(candidates, docs, n, percent)), "links")
+        return join_unique(df, found, "doc_id", "left").withColumn("class", F.coalesce("component", "doc_id")).drop("component")
+
+    def add(pairs: DataFrame) -> DataFrame:
+        return stored(links.union(verified(pairs, nodes, docs, n, percent)), "links")
+
+    # families: nodes that agree on two of their three least shingles try a leader, another one each round
+    keys = F.array(*[F.xxhash64(F.lit(10 * i + j), F.get("least", F.lit(i)), F.get("least", F.lit(j))) for i, j in ((0, 1), (0, 2), (1, 2))])
+    keyed = stored(nodes.select("doc_id", F.explode(keys).alias("key")), "family_keys")
+    for turn in range(ROUNDS):
+        current = stored(classed(keyed), "family_classes")
+        order = F.struct(F.xxhash64(F.lit(turn), "doc_id") if turn else F.lit(0).cast("bigint"), "doc_id", "class")
+        groups = current.groupBy("key").agg(F.min("class").alias("low"), F.max("class").alias("high"), F.min(order).alias("lead"))
+        leaders = groups.where("low <> high").select("key", F.col("lead.doc_id").alias("a"), F.col("lead.class").alias("lead_class"))
+        stars = stored(join_unique(current, leaders, "key").where("class <> lead_class").select("a", F.col("doc_id").alias("b")).distinct(), "stars")
+        if stars.isEmpty():
+            break
+        links = add(stars)
+
+    # single shingles of the prefixes
+    current = stored(classed(nodes.select("doc_id", "size", "prefix", "bits")), "classed")
+    entries = current.select("doc_id", "size", "class", F.explode("prefix").alias("key"))
+    pairs, rest = _candidates(entries, current, percent, rare)
+    links = add(pairs)
+
+    # pairs of frequent shingles; what still has many classes is compared class by class
+    heavy = stored(rest.groupBy("doc_id", "size").agg(F.sort_array(F.collect_list("key")).alias("keys")), "frequent")
+    if not heavy.isEmpty():
+        current = stored(classed(nodes.select("doc_id", "size", "bits")), "classed")
+        later = F.transform("keys", lambda x, i: F.transform(F.slice("keys", i + 2, F.size("keys")), lambda y: F.xxhash64(x, y)))
+        combined = join_unique(heavy, current.select("doc_id", "class"), "doc_id").select("doc_id", "size", "class", F.explode(F.flatten(later)).alias("key"))
+        pairs, rest = _candidates(combined, current, percent, rare)
+        links = add(pairs)
+        rest = stored(rest.select("key", "doc_id"), "rest")
+        if not rest.isEmpty():
+            current = stored(classed(nodes.select("doc_id", "size", "bits")), "classed")
+            links = add(_member_pairs(join_unique(rest, current.select("doc_id", "class"), "doc_id").select("key", "class"), current, percent))
 
     found = components(links).select(F.col("node").alias("doc_id"), "component")
     named = join_unique(nodes.select("fingerprint", "doc_id"), found, "doc_id", "left").select(
         "fingerprint", F.coalesce("component", "doc_id").alias("component")
     )
-    return join_unique(rows, named, "fingerprint", "left").select(
+    return join_unique(rows.select("doc_id", "size", "fingerprint"), stored(named, "named"), "fingerprint", "left").select(
         "doc_id",
         F.col("size").alias("n_shingles"),
         F.when(F.col("size") > 0, F.when(F.col("doc_id").isNotNull(), F.col("component"))).otherwise(F.col("doc_id")).alias("component_id"),
