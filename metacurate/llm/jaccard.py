@@ -41,6 +41,7 @@ BLOCK = 1024
 BROADCAST_ROWS = 1 << 20
 _K = 2
 _LOCAL = 4
+_COUNTED = 1 << 21
 _WORDS = 16  # 64-bit words of a bit signature
 
 
@@ -52,19 +53,23 @@ def _need(n: int, percent: int) -> int:
 def frequent_shingles(docs: DataFrame, n: int, rare: int = RARE, most: int = MOST_FREQUENT) -> np.ndarray:
     """Hashes of frequent shingles, at most ``most``, sorted.
 
-    Each batch counts the documents of all its shingles and hands on those that
-    four of them have. The bar is the mean that ``most`` shingles could have, so
+    Each run of documents with some two million shingles counts all of them and
+    hands on those that four documents have. The bar is the mean that ``most`` shingles could have, so
     no more than ``most`` pass it. Any set gives right results; a good one keeps
     common passages out of the prefixes.
     """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sets = [found for _, found in shingle_sets(batch.column("text"), n)]
-            if sets:
-                keys, counts = np.unique(np.concatenate(sets), return_counts=True)
-                often = counts >= _LOCAL
-                yield pa.RecordBatch.from_arrays([pa.array(keys[often].view(np.int64)), pa.array(counts[often])], names=["key", "n"])
+            sets, size = [], 0
+            for i, found in shingle_sets(batch.column("text"), n):
+                sets.append(found)
+                size += len(found)
+                if size >= _COUNTED or i + 1 == batch.num_rows:
+                    keys, counts = np.unique(np.concatenate(sets), return_counts=True)
+                    often = counts >= _LOCAL
+                    yield pa.RecordBatch.from_arrays([pa.array(keys[often].view(np.int64)), pa.array(counts[often])], names=["key", "n"])
+                    sets, size = [], 0
 
     counted = docs.select(F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")).mapInArrow(count, "key bigint, n bigint")
     counted = stored(counted.groupBy("key").agg(F.sum("n").alias("n")), "shingle_counts")
@@ -119,30 +124,31 @@ def _spread(total: Column, percent: int) -> Column:
     return total - 2 * F.ceil(F.lit(percent) * total / F.lit(100 + percent))
 
 
-def verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, n: int, percent: int) -> DataFrame:
-    """The pairs ``(a, b)`` of nodes that link. Bit signatures rule most out; the others' whole texts are read.
+def _picked(df: DataFrame, ids: DataFrame, on: list[str]) -> DataFrame:
+    """Rows of ``df`` whose ``on`` are in the stored table ``ids``, which is broadcast if it has at most 2**20 rows."""
+    if ids.count() <= BROADCAST_ROWS:
+        return df.join(F.broadcast(ids), on, "left_semi")
+    return join_unique(df, ids, on, "left_semi")
 
-    The ids to be read are broadcast if they are at most 2**20, else texts are
-    joined to them.
-    """
-    spark = pairs.sparkSession
-    marks = lambda c: nodes.select(F.col("doc_id").alias(c), *[F.col(x).alias(f"{c}_{x}") for x in ("text_hash", "size", "bits")])
-    signed = join_unique(join_unique(pairs.select("a", "b").distinct(), marks("a"), "a"), marks("b"), "b")
+
+def verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, n: int, percent: int) -> DataFrame:
+    """The pairs ``(a, b)`` of nodes that link. Bit signatures rule most out; the others' whole texts are read."""
+    pairs = stored(pairs.select("a", "b").distinct(), "pairs")
+    ids = stored(pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct(), "pair_ids")
+    known = _picked(nodes.select("doc_id", "text_hash", "size", "bits"), ids, ["doc_id"])
+    marks = lambda c: known.select(F.col("doc_id").alias(c), *[F.col(x).alias(f"{c}_{x}") for x in ("text_hash", "size", "bits")])
+    signed = join_unique(join_unique(pairs, marks("a"), "a"), marks("b"), "b")
     differ = F.aggregate(F.zip_with("a_bits", "b_bits", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, x: s + x)
     pairs = stored(
         signed.where(differ <= _spread(F.col("a_size") + F.col("b_size"), percent)).select("a", "a_text_hash", "b", "b_text_hash"), "candidates"
     )
     if pairs.isEmpty():
-        return spark.createDataFrame([], "a bigint, b bigint")
+        return pairs.select("a", "b")
     used = pairs.select(F.col("a").alias("doc_id"), F.col("a_text_hash").alias("text_hash")).union(pairs.select("b", "b_text_hash"))
-    used = stored(used.distinct(), "used")
     texts = docs.select(
         F.col("doc_id").cast("bigint"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")
     ).withColumn("text_hash", F.xxhash64("text"))
-    if used.count() <= BROADCAST_ROWS:
-        chosen = texts.join(F.broadcast(used), ["doc_id", "text_hash"], "left_semi")
-    else:
-        chosen = join_unique(texts, used, ["doc_id", "text_hash"], "left_semi")
+    chosen = _picked(texts, stored(used.distinct(), "used"), ["doc_id", "text_hash"])
     # repeated rows have one text
     chosen = stored(chosen.groupBy("doc_id", "text_hash").agg(F.first("text").alias("text")), "texts")
     side = lambda c: chosen.select(F.col("doc_id").alias(c), F.col("text_hash").alias(f"{c}_text_hash"), F.col("text").alias(f"{c}_text"))
@@ -212,15 +218,25 @@ def _member_pairs(keyed: DataFrame, current: DataFrame, percent: int) -> DataFra
     return dealt(left, "rows", "columns").groupBy(*keys).cogroup(dealt(right, "columns", "rows").groupBy(*keys)).applyInPandas(compare, "a bigint, b bigint")
 
 
-def _candidates(entries: DataFrame, current: DataFrame, percent: int, rare: int) -> tuple[DataFrame, DataFrame]:
+def _candidates(entries: DataFrame, current: DataFrame, percent: int, rare: int, single: bool) -> tuple[DataFrame, DataFrame]:
     """Pairs from the keys that few documents or few classes have, and the entries of the other keys."""
     hits = stored(join_unique(entries, _spanning(entries), "key"), "index")
     many = hits.where(F.col("n") > rare)
     classes = stored(many.select("key", "class").distinct().groupBy("key").agg(F.count("*").alias("classes")), "key_classes")
     few = join_unique(many, classes.where(F.col("classes") <= rare), "key", "left_semi").select("key", "class")
     rest = join_unique(many, classes.where(F.col("classes") > rare), "key", "left_semi").drop("n")
-    light = _document_pairs(hits.where(F.col("n") <= rare), percent).select(F.col("a_doc_id").alias("a"), F.col("b_doc_id").alias("b")).distinct()
-    return light.union(_member_pairs(few, current, percent)), rest
+    shared = _document_pairs(hits.where(F.col("n") <= rare), percent).groupBy(
+        F.col("a_doc_id").alias("a"), F.col("b_doc_id").alias("b"), "a_size", "b_size"
+    ).agg(F.count("*").alias("n"))
+    if single:
+        # what two sets share is at most the light and the other keys of both prefixes, and the longer rest of the sets
+        others = stored(many.groupBy("doc_id").agg(F.count("*").alias("f")), "other_keys")
+        for side in ("a", "b"):
+            shared = join_unique(shared, others.select(F.col("doc_id").alias(side), F.col("f").alias(f"{side}_f")), side, "left")
+        rest_of = lambda c: F.greatest(F.ceil(F.col(c) * percent / 100) - _K, F.lit(0))
+        most = F.col("n") + F.coalesce(F.least("a_f", "b_f"), F.lit(0)) + F.greatest(rest_of("a_size"), rest_of("b_size"))
+        shared = shared.where(most * (100 + percent) >= percent * (F.col("a_size") + F.col("b_size")))
+    return shared.select("a", "b").union(_member_pairs(few, current, percent)), rest
 
 
 def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80, rare: int = RARE) -> DataFrame:
@@ -249,7 +265,9 @@ def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80, rare: int =
     def classed(df: DataFrame) -> DataFrame:
         """Nodes with their class by the links so far."""
         found = components(links).select(F.col("node").alias("doc_id"), "component")
-        return join_unique(df, found, "doc_id", "left").withColumn("class", F.coalesce("component", "doc_id")).drop("component")
+        small = found.count() <= BROADCAST_ROWS
+        joined = df.join(F.broadcast(found), "doc_id", "left") if small else join_unique(df, found, "doc_id", "left")
+        return joined.withColumn("class", F.coalesce("component", "doc_id")).drop("component")
 
     def add(pairs: DataFrame) -> DataFrame:
         return stored(links.union(verified(pairs, nodes, docs, n, percent)), "links")
@@ -268,22 +286,22 @@ def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80, rare: int =
         links = add(stars)
 
     # single shingles of the prefixes
-    current = stored(classed(nodes.select("doc_id", "size", "prefix", "bits")), "classed")
+    current = classed(nodes.select("doc_id", "size", "prefix", "bits"))
     entries = current.select("doc_id", "size", "class", F.explode("prefix").alias("key"))
-    pairs, rest = _candidates(entries, current, percent, rare)
+    pairs, rest = _candidates(entries, current, percent, rare, single=True)
     links = add(pairs)
 
     # pairs of frequent shingles; what still has many classes is compared class by class
     heavy = stored(rest.groupBy("doc_id", "size").agg(F.sort_array(F.collect_list("key")).alias("keys")), "frequent")
     if not heavy.isEmpty():
-        current = stored(classed(nodes.select("doc_id", "size", "bits")), "classed")
+        current = classed(nodes.select("doc_id", "size", "bits"))
         later = F.transform("keys", lambda x, i: F.transform(F.slice("keys", i + 2, F.size("keys")), lambda y: F.xxhash64(x, y)))
         combined = join_unique(heavy, current.select("doc_id", "class"), "doc_id").select("doc_id", "size", "class", F.explode(F.flatten(later)).alias("key"))
-        pairs, rest = _candidates(combined, current, percent, rare)
+        pairs, rest = _candidates(combined, current, percent, rare, single=False)
         links = add(pairs)
         rest = stored(rest.select("key", "doc_id"), "rest")
         if not rest.isEmpty():
-            current = stored(classed(nodes.select("doc_id", "size", "bits")), "classed")
+            current = classed(nodes.select("doc_id", "size", "bits"))
             links = add(_member_pairs(join_unique(rest, current.select("doc_id", "class"), "doc_id").select("key", "class"), current, percent))
 
     found = components(links).select(F.col("node").alias("doc_id"), "component")

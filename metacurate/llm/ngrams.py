@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 
 _BASE = 0x9E3779B97F4A7C15  # odd, so that it has an inverse modulo 2**64
-_STEP = 1 << 21  # bytes of text handled at once; a longer text is handled alone
+_STEP = 1 << 19  # bytes of text handled at once; a longer text is handled alone
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
