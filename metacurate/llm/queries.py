@@ -2,5 +2,5 @@
 
 from __future__ import annotations
 
-from metacurate.llm import jaccard, licences, packing, pieces, pii, quality, secrets, topk, warc  # noqa: F401
+from metacurate.llm import jaccard, licences, lm, packing, pieces, pii, quality, secrets, topk, warc  # noqa: F401
 from metacurate.llm.registry import QUERIES, SQL  # noqa: F401
