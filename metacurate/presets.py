@@ -128,15 +128,6 @@ URL_FIELDS = {
     ],
 }
 
-# Value -> ontology term of the term curation.
-TERM_MAP = {
-    "male": "http://purl.obolibrary.org/obo/PATO_0000384",
-    "female": "http://purl.obolibrary.org/obo/PATO_0000383",
-    "liver": "http://purl.obolibrary.org/obo/UBERON_0002107",
-    "late embryo": "http://purl.obolibrary.org/obo/UBERON_0007220",
-    "embryo": "http://purl.obolibrary.org/obo/UBERON_0000068",
-}
-
 # Relationship types, group accession form.
 PARENT_RELATION = "derived from"
 MEMBER_RELATION = "has member"
