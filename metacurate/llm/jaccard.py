@@ -13,8 +13,8 @@ signatures and are verified on the whole texts.
 What is wanted are the classes that links form, so documents that are in one
 class already are never compared: equal sets are one node from the start, a few
 rounds link the members of a family to leaders, and keys all of whose documents
-are in one class are dropped. A key of many documents but few classes gives pairs
-of classes, whose members are compared block by block.
+are in one class are dropped. The documents of a key that many have are compared
+by their bit signatures, block by block, and only pairs that can link become rows.
 """
 
 from __future__ import annotations
@@ -37,7 +37,7 @@ from metacurate.operators.joins import join_unique
 RARE = 64  # documents or classes of a key that are compared pair by pair
 ROUNDS = 2
 MOST_FREQUENT = 1 << 18  # shingles whose frequency the order knows of, 2 MB
-BLOCK = 1024
+BLOCK = 512
 BROADCAST_ROWS = 1 << 20
 _K = 2
 _LOCAL = 4
@@ -180,63 +180,70 @@ def _document_pairs(entries: DataFrame, percent: int) -> DataFrame:
     return left.join(right, "key").where((F.col("a_doc_id") < F.col("b_doc_id")) & (F.col("a_class") != F.col("b_class")) & close)
 
 
-def _member_pairs(keyed: DataFrame, current: DataFrame, percent: int) -> DataFrame:
-    """Pairs of members of classes that have a key in common, as far as their bit signatures let them link.
+def _block_pairs(keyed: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
+    """Pairs of documents of different classes with a key in common, as far as their bit signatures let them link.
 
-    ``keyed`` is ``key, class``. Members of two classes meet in blocks, which
-    bounds a task whatever the size of the classes.
+    ``keyed`` is ``key, n, doc_id, size, class`` with the number of documents of the key. They meet in
+    blocks of some 512, which bounds a task whatever the number is; pairs that cannot link never become rows.
     """
-    rows = keyed.distinct()
-    both = rows.withColumnRenamed("class", "low").join(rows.withColumnRenamed("class", "high"), "key").where("low < high")
-    pairs = stored(both.select("low", "high").distinct(), "class_pairs")
-    members = current.select("class", "doc_id", "size", "bits")
-    left = join_unique(members.withColumnRenamed("class", "low"), pairs.select("low").distinct(), "low", "left_semi")
-    right = pairs.join(members.withColumnRenamed("class", "high"), "high").drop("high")
-    blocks = lambda df, c: df.groupBy("low").agg(F.ceil(F.count("*") / BLOCK).alias(c))
-    counts = stored(blocks(left, "rows").join(blocks(right, "columns"), "low"), "blocks")
-
-    def dealt(df: DataFrame, own: str, other: str) -> DataFrame:
-        other_block = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col(other) - 1)).alias(other)
-        split = join_unique(df, counts, "low").select("low", F.pmod(F.xxhash64("doc_id"), F.col(own)).alias(own), other_block, "doc_id", "size", "bits")
-        return split.select("low", "rows", "columns", "doc_id", "size", "bits").toDF("low", "rows", "columns", "doc_id", "size", "bits")  # names of its own
-
-    def compare(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
-        if a.empty or b.empty:
-            return pd.DataFrame({"a": [], "b": []}, dtype="int64")
-        a_bits, b_bits = np.stack(a["bits"].to_numpy()), np.stack(b["bits"].to_numpy())
-        a_size, a_id = a["size"].to_numpy(), a["doc_id"].to_numpy()
-        out = []
-        for bits, size, doc in zip(b_bits, b["size"].to_numpy(), b["doc_id"].to_numpy(), strict=True):
-            total = a_size + size
-            differ = np.bitwise_count((a_bits ^ bits).view(np.uint64)).sum(axis=1)
-            close = differ <= total - 2 * -(-percent * total // (100 + percent))
-            close &= 100 * np.minimum(a_size, size) >= percent * np.maximum(a_size, size)
-            out.append((a_id[close], np.full(close.sum(), doc)))
-        return pd.DataFrame({"a": np.concatenate([x for x, _ in out]), "b": np.concatenate([y for _, y in out])})
-
-    keys = ["low", "rows", "columns"]
-    return dealt(left, "rows", "columns").groupBy(*keys).cogroup(dealt(right, "columns", "rows").groupBy(*keys)).applyInPandas(compare, "a bigint, b bigint")
-
-
-def _candidates(entries: DataFrame, current: DataFrame, percent: int, rare: int, single: bool) -> tuple[DataFrame, DataFrame]:
-    """Pairs from the keys that few documents or few classes have, and the entries of the other keys."""
+    blocks = F.ceil(F.col("n") / BLOCK)
+    signed = join_unique(keyed, nodes.select("doc_id", "bits"), "doc_id")
+    placed = signed.select("key", "doc_id", "size", "class", "bits", F.pmod(F.xxhash64("doc_id"), blocks).alias("own"), blocks.alias("blocks"))
+    dealt = placed.withColumn("other", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1))).select(
+        "key", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), "own", "doc_id", "size", "class", "bits"
+    )
+
+    def close(one: tuple, many: tuple) -> np.ndarray:
+        doc, size, bits = many
+        total = size + one[1]
+        differ = np.bitwise_count((bits ^ one[2]).view(np.uint64)).sum(axis=1)
+        fits = differ <= total - 2 * -(-percent * total // (100 + percent))
+        return doc[fits & (100 * np.minimum(size, one[1]) >= percent * np.maximum(size, one[1]))]
+
+    def compare(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+        _, low, high = key
+        rows = rows.sort_values("class", kind="stable")
+        columns = rows["doc_id"].to_numpy(), rows["size"].to_numpy(), np.stack(rows["bits"].to_numpy())
+        own, classes = rows["own"].to_numpy(), rows["class"].to_numpy()
+        left, right = (tuple(c[own == block] for c in (*columns, classes)) for block in (low, high))
+        starts = np.flatnonzero(np.r_[True, left[3][1:] != left[3][:-1]]) if len(left[3]) else np.zeros(0, np.int64)
+        a, b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        for start, end in zip(starts, np.r_[starts[1:], len(left[3])], strict=False):
+            mine = tuple(c[start:end] for c in left[:3])
+            # the other classes; within one block the later ones, so that each pair is met once
+            cuts = np.searchsorted(right[3], left[3][start], "left"), np.searchsorted(right[3], left[3][start], "right")
+            for span in (slice(cuts[1], None), *([slice(0, cuts[0])] if low != high else [])):
+                theirs = tuple(c[span] for c in right[:3])
+                few, many = (mine, theirs) if len(mine[0]) <= len(theirs[0]) else (theirs, mine)
+                for one in zip(*few, strict=True):
+                    found = close(one, many)
+                    a.append(np.minimum(found, one[0]))
+                    b.append(np.maximum(found, one[0]))
+        return pd.DataFrame({"a": np.concatenate(a), "b": np.concatenate(b)})
+
+    return dealt.groupBy("key", "low", "high").applyInPandas(compare, "a bigint, b bigint")
+
+
+def _candidates(entries: DataFrame, nodes: DataFrame, percent: int, rare: int, single: bool) -> tuple[DataFrame, DataFrame | None]:
+    """Pairs from the keys that more than one class has. Single shingles of many classes give none; their entries are returned."""
     hits = stored(join_unique(entries, _spanning(entries), "key"), "index")
     many = hits.where(F.col("n") > rare)
-    classes = stored(many.select("key", "class").distinct().groupBy("key").agg(F.count("*").alias("classes")), "key_classes")
-    few = join_unique(many, classes.where(F.col("classes") <= rare), "key", "left_semi").select("key", "class")
-    rest = join_unique(many, classes.where(F.col("classes") > rare), "key", "left_semi").drop("n")
     shared = _document_pairs(hits.where(F.col("n") <= rare), percent).groupBy(
         F.col("a_doc_id").alias("a"), F.col("b_doc_id").alias("b"), "a_size", "b_size"
     ).agg(F.count("*").alias("n"))
-    if single:
-        # what two sets share is at most the light and the other keys of both prefixes, and the longer rest of the sets
-        others = stored(many.groupBy("doc_id").agg(F.count("*").alias("f")), "other_keys")
-        for side in ("a", "b"):
-            shared = join_unique(shared, others.select(F.col("doc_id").alias(side), F.col("f").alias(f"{side}_f")), side, "left")
-        rest_of = lambda c: F.greatest(F.ceil(F.col(c) * percent / 100) - _K, F.lit(0))
-        most = F.col("n") + F.coalesce(F.least("a_f", "b_f"), F.lit(0)) + F.greatest(rest_of("a_size"), rest_of("b_size"))
-        shared = shared.where(most * (100 + percent) >= percent * (F.col("a_size") + F.col("b_size")))
-    return shared.select("a", "b").union(_member_pairs(few, current, percent)), rest
+    if not single:
+        return shared.select("a", "b").union(_block_pairs(many, nodes, percent)), None
+    classes = stored(many.select("key", "class").distinct().groupBy("key").agg(F.count("*").alias("classes")), "key_classes")
+    few = join_unique(many, classes.where(F.col("classes") <= rare), "key", "left_semi")
+    rest = join_unique(many, classes.where(F.col("classes") > rare), "key", "left_semi").drop("n")
+    # what two sets share is at most the light and the other keys of both prefixes, and the longer rest of the sets
+    others = stored(many.groupBy("doc_id").agg(F.count("*").alias("f")), "other_keys")
+    for side in ("a", "b"):
+        shared = join_unique(shared, others.select(F.col("doc_id").alias(side), F.col("f").alias(f"{side}_f")), side, "left")
+    rest_of = lambda c: F.greatest(F.ceil(F.col(c) * percent / 100) - _K, F.lit(0))
+    most = F.col("n") + F.coalesce(F.least("a_f", "b_f"), F.lit(0)) + F.greatest(rest_of("a_size"), rest_of("b_size"))
+    shared = shared.where(most * (100 + percent) >= percent * (F.col("a_size") + F.col("b_size")))
+    return shared.select("a", "b").union(_block_pairs(few, nodes, percent)), rest
 
 
 def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80, rare: int = RARE) -> DataFrame:
@@ -286,23 +293,18 @@ def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80, rare: int =
         links = add(stars)
 
     # single shingles of the prefixes
-    current = classed(nodes.select("doc_id", "size", "prefix", "bits"))
+    current = classed(nodes.select("doc_id", "size", "prefix"))
     entries = current.select("doc_id", "size", "class", F.explode("prefix").alias("key"))
-    pairs, rest = _candidates(entries, current, percent, rare, single=True)
+    pairs, rest = _candidates(entries, nodes, percent, rare, single=True)
     links = add(pairs)
 
-    # pairs of frequent shingles; what still has many classes is compared class by class
+    # pairs of frequent shingles
     heavy = stored(rest.groupBy("doc_id", "size").agg(F.sort_array(F.collect_list("key")).alias("keys")), "frequent")
     if not heavy.isEmpty():
-        current = classed(nodes.select("doc_id", "size", "bits"))
         later = F.transform("keys", lambda x, i: F.transform(F.slice("keys", i + 2, F.size("keys")), lambda y: F.xxhash64(x, y)))
-        combined = join_unique(heavy, current.select("doc_id", "class"), "doc_id").select("doc_id", "size", "class", F.explode(F.flatten(later)).alias("key"))
-        pairs, rest = _candidates(combined, current, percent, rare, single=False)
+        combined = classed(heavy).select("doc_id", "size", "class", F.explode(F.flatten(later)).alias("key"))
+        pairs, _ = _candidates(combined, nodes, percent, rare, single=False)
         links = add(pairs)
-        rest = stored(rest.select("key", "doc_id"), "rest")
-        if not rest.isEmpty():
-            current = classed(nodes.select("doc_id", "size", "bits"))
-            links = add(_member_pairs(join_unique(rest, current.select("doc_id", "class"), "doc_id").select("key", "class"), current, percent))
 
     found = components(links).select(F.col("node").alias("doc_id"), "component")
     named = join_unique(nodes.select("fingerprint", "doc_id"), found, "doc_id", "left").select(
