@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -16,6 +17,7 @@ from metacurate.functions.messages import (
     strip_date,
 )
 from metacurate.functions.values import joined_text
+from metacurate.operators.checkpoints import stored
 from metacurate.operators.groups import DEFAULT_PER_ROW, joined_groups
 from metacurate.operators.joins import drop_matching, keep_matching
 from metacurate.presets import CANDIDATE_PATTERNS, NOISE_MESSAGES
@@ -120,6 +122,25 @@ def error_lines(
     return message_parts(packed, full_message)
 
 
+def _under_headers(
+    headers: DataFrame, lines: DataFrame, on: str, all_headers: bool, all_lines: bool = False
+) -> DataFrame:
+    """Report lines with the fields of their header.
+
+    Headers without lines and lines without a header are added by anti joins:
+    AQE splits a hot group in an inner join, but not in an outer one.
+    """
+    if all_headers or all_lines:
+        lines = stored(lines, "report_lines")
+    parts = [headers.join(lines, on)]
+    if all_headers:
+        parts.append(drop_matching(headers, lines, on))
+    if all_lines:
+        parts.append(drop_matching(lines, headers, on))
+    out = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    return out.select(*headers.columns, *REPORT)
+
+
 def group_error_report(
     log: DataFrame,
     members: DataFrame,
@@ -144,10 +165,7 @@ def group_error_report(
         )
         rows = rows.unionByName(loose)
     lines = error_lines(rows, "group_id", per_row, full_message)
-    # headers on the left keeps groups without errors, lines on the left keeps the NULL group
-    how = {(False, False): "inner", (True, False): "left", (False, True): "right", (True, True): "full"}
-    out = headers.join(lines, "group_id", how[include_all, include_ungrouped])
-    return out.select(*headers.columns, *REPORT)
+    return _under_headers(headers, lines, "group_id", include_all, include_ungrouped)
 
 
 def dataset_headers(datasets: DataFrame) -> DataFrame:
@@ -192,8 +210,7 @@ def dataset_error_report(
     messages = log_messages(log, full_message=full_message, **options)
     reported = keep_matching(members, headers, "dataset")
     lines = error_lines(affected(messages, reported, "dataset"), "dataset", per_row, full_message)
-    out = headers.join(lines, "dataset", "left" if include_all else "inner")
-    return out.select(*headers.columns, *REPORT)
+    return _under_headers(headers, lines, "dataset", include_all)
 
 
 def unmet(datasets: DataFrame, standard: str, column: str = "standardMet") -> DataFrame:
