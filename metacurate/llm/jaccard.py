@@ -78,18 +78,24 @@ def frequent_shingles(docs: DataFrame, n: int, rare: int = RARE, most: int = MOS
     return np.sort(found.column("key").to_numpy().view(np.uint64))
 
 
+def _parity(places: np.ndarray, width: int) -> np.ndarray:
+    """For each of ``width`` places the parity of its count, in 64-bit words."""
+    return np.packbits((np.bincount(places, minlength=width) & 1).astype(np.uint8)).view(np.int64)
+
+
 def signatures(docs: DataFrame, n: int, percent: int, frequent: np.ndarray) -> DataFrame:
     """Signature of each row's shingle set.
 
     ``doc_id, text_hash, size, fingerprint`` of the set, its ``prefix`` in the
     global order, its ``least`` three hashes, and ``bits``: the parity of how
     many shingles fall on each of 1024 bits, so that the bits in which two sets
-    differ are at most the shingles in which they do.
+    differ are at most the shingles in which they do. ``wide`` is the same with a
+    bit for each shingle or more, a power of two, for sets of over 2048 shingles.
     """
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sizes, prints, prefixes, bounds, least, bits = [], [], [], [0], [], []
+            sizes, prints, prefixes, bounds, least, bits, wide = [], [], [], [0], [], [], []
             for _, found in shingle_sets(batch.column("text"), n):
                 sizes.append(len(found))
                 prints.append(blake2b(found.tobytes(), digest_size=16).digest())
@@ -100,22 +106,25 @@ def signatures(docs: DataFrame, n: int, percent: int, frequent: np.ndarray) -> D
                 prefixes.append(np.concatenate([found[~common], found[common]])[:length])
                 bounds.append(bounds[-1] + len(prefixes[-1]))
                 least.append(np.pad(found[:3], (0, 3 - len(found[:3]))))
-                odd = np.bincount((found >> np.uint64(54)).astype(np.int64), minlength=64 * _WORDS) & 1
-                bits.append(np.packbits(odd.astype(np.uint8)).view(np.int64))
+                bits.append(_parity((found >> np.uint64(54)).astype(np.int64), 64 * _WORDS))
+                width = 1 << len(found).bit_length()
+                wide.append(_parity((found & np.uint64(width - 1)).astype(np.int64), width) if len(found) > 128 * _WORDS else None)
             if sizes:
                 flat = lambda parts: pa.array(np.concatenate(parts).view(np.int64))
                 even = lambda width: pa.array(np.arange(len(sizes) + 1) * width, pa.int32())
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("doc_id"), batch.column("text_hash"), pa.array(sizes, pa.int64()), pa.array(prints, pa.binary()),
                      pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), flat(prefixes)),
-                     pa.ListArray.from_arrays(even(3), flat(least)), pa.ListArray.from_arrays(even(_WORDS), flat(bits))],
-                    names=["doc_id", "text_hash", "size", "fingerprint", "prefix", "least", "bits"],
+                     pa.ListArray.from_arrays(even(3), flat(least)), pa.ListArray.from_arrays(even(_WORDS), flat(bits)),
+                     pa.array(wide, pa.list_(pa.int64()))],
+                    names=["doc_id", "text_hash", "size", "fingerprint", "prefix", "least", "bits", "wide"],
                 )
 
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     return docs.select(F.col("doc_id").cast("bigint"), text.alias("text"), F.xxhash64(text).alias("text_hash")).mapInArrow(
         sign,
-        "doc_id bigint, text_hash bigint, size bigint, fingerprint binary, prefix array<bigint>, least array<bigint>, bits array<bigint>",
+        "doc_id bigint, text_hash bigint, size bigint, fingerprint binary, prefix array<bigint>, least array<bigint>, bits array<bigint>, "
+        "wide array<bigint>",
     )
 
 
@@ -124,6 +133,23 @@ def _spread(total: Column, percent: int) -> Column:
     return total - 2 * F.ceil(F.lit(percent) * total / F.lit(100 + percent))
 
 
+def _close(percent: int) -> Column:
+    """Whether sets of ``a_size`` and ``b_size`` shingles can link."""
+    return (F.lit(100) * F.least("a_size", "b_size")) >= (F.lit(percent) * F.greatest("a_size", "b_size"))
+
+
+def _differ(a: Column, b: Column) -> Column:
+    """In how many bits two signatures of one width differ."""
+    return F.aggregate(F.zip_with(a, b, lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, x: s + x)
+
+
+def _narrowed(a: Column, b: Column) -> Column:
+    """Wide signature ``a``, folded to the width of ``b`` if that has half of its own. Sets that can link have no other widths."""
+    words = F.array_size(b)
+    halves = F.zip_with(F.slice(a, 1, words), F.slice(a, words + 1, words), lambda x, y: x.bitwiseXOR(y))
+    return F.when(F.array_size(a) > words, halves).otherwise(a)
+
+
 def _picked(df: DataFrame, ids: DataFrame, on: list[str]) -> DataFrame:
     """Rows of ``df`` whose ``on`` are in the stored table ``ids``, which is broadcast if it has at most 2**20 rows."""
     if ids.count() <= BROADCAST_ROWS:
@@ -135,13 +161,14 @@ def verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, n: int, percen
     """The pairs ``(a, b)`` of nodes that link. Bit signatures rule most out; the others' whole texts are read."""
     pairs = stored(pairs.select("a", "b").distinct(), "pairs")
     ids = stored(pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct(), "pair_ids")
-    known = _picked(nodes.select("doc_id", "text_hash", "size", "bits"), ids, ["doc_id"])
-    marks = lambda c: known.select(F.col("doc_id").alias(c), *[F.col(x).alias(f"{c}_{x}") for x in ("text_hash", "size", "bits")])
+    known = _picked(nodes.select("doc_id", "text_hash", "size", "bits", "wide"), ids, ["doc_id"])
+    marks = lambda c: known.select(F.col("doc_id").alias(c), *[F.col(x).alias(f"{c}_{x}") for x in ("text_hash", "size", "bits", "wide")])
     signed = join_unique(join_unique(pairs, marks("a"), "a"), marks("b"), "b")
-    differ = F.aggregate(F.zip_with("a_bits", "b_bits", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, x: s + x)
-    pairs = stored(
-        signed.where(differ <= _spread(F.col("a_size") + F.col("b_size"), percent)).select("a", "a_text_hash", "b", "b_text_hash"), "candidates"
-    )
+    spread = _spread(F.col("a_size") + F.col("b_size"), percent)
+    able = signed.where(_close(percent) & (_differ(F.col("a_bits"), F.col("b_bits")) <= spread))
+    a, b = F.col("a_wide"), F.col("b_wide")
+    able = able.where(F.coalesce(_differ(_narrowed(a, b), _narrowed(b, a)), F.lit(0)) <= spread)
+    pairs = stored(able.select("a", "a_text_hash", "b", "b_text_hash"), "candidates")
     if pairs.isEmpty():
         return pairs.select("a", "b")
     used = pairs.select(F.col("a").alias("doc_id"), F.col("a_text_hash").alias("text_hash")).union(pairs.select("b", "b_text_hash"))
@@ -176,8 +203,8 @@ def _document_pairs(entries: DataFrame, percent: int) -> DataFrame:
     """Pairs of documents of different classes with a key in common, in id order; one row per key."""
     left = entries.select("key", *[F.col(c).alias(f"a_{c}") for c in ("doc_id", "size", "class")])
     right = entries.select("key", *[F.col(c).alias(f"b_{c}") for c in ("doc_id", "size", "class")])
-    close = (F.lit(100) * F.least("a_size", "b_size")) >= (F.lit(percent) * F.greatest("a_size", "b_size"))
-    return left.join(right, "key").where((F.col("a_doc_id") < F.col("b_doc_id")) & (F.col("a_class") != F.col("b_class")) & close)
+    other = (F.col("a_doc_id") < F.col("b_doc_id")) & (F.col("a_class") != F.col("b_class"))
+    return left.join(right, "key").where(other & _close(percent))
 
 
 def _block_pairs(keyed: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
@@ -262,7 +289,7 @@ def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80, rare: int =
     rows = stored(signatures(docs, n, percent, frequent_shingles(docs, n, rare)), "signatures")
     sets = rows.where("doc_id IS NOT NULL AND size > 0")
     # equal sets are one node, named by their smallest document
-    whole = F.struct("doc_id", "text_hash", "size", "prefix", "least", "bits")
+    whole = F.struct("doc_id", "text_hash", "size", "prefix", "least", "bits", "wide")
     nodes = stored(sets.groupBy("fingerprint").agg(F.min(whole).alias("r")).select("fingerprint", "r.*"), "nodes")
     again = sets.groupBy("doc_id").agg(F.min("fingerprint").alias("low"), F.max("fingerprint").alias("high")).where("low <> high").select("doc_id")
     repeated = join_unique(join_unique(sets.select("doc_id", "fingerprint"), again, "doc_id", "left_semi"),

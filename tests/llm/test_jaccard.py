@@ -74,6 +74,20 @@ def test_chain(spark):
     check(spark, rows, 3, 90)
 
 
+def test_long_documents(spark):
+    rnd = random.Random(8)
+    vocabulary = [f"w{i}" for i in range(5000)]
+    texts = []
+    for length in (1990, 2060, 3900, 4200, 9000):  # on both sides of the widths of the signatures
+        for edits in (length // 120, length // 60, length // 52):
+            texts += family(rnd, vocabulary, length, 3, edits)
+        base = texts[-1].split()
+        texts += [" ".join(base[: len(base) * part // 100]) for part in (89, 90, 91, 95)]
+    rnd.shuffle(texts)
+    check(spark, list(enumerate(texts)), 3, 90)
+    check(spark, list(enumerate(texts)), 5, 80, rare=3)
+
+
 def test_edges(spark):
     rows = [
         (1, None), (2, ""), (3, " \n\t"), (4, "one"), (5, "ONE"), (6, "one two"), (None, "one two"), (7, "one two"), (8, "two one"),
