@@ -297,8 +297,10 @@ def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80, rare: int =
     links = stored(repeated.select(F.col("doc_id").alias("a"), "b").distinct(), "links")
 
     def classed(df: DataFrame) -> DataFrame:
-        """Nodes with their class by the links so far."""
+        """Nodes with their class by the links so far, of which one link from each node to its class is kept."""
+        nonlocal links
         found = components(links).select(F.col("node").alias("doc_id"), "component")
+        links = found.where("doc_id <> component").select(F.col("doc_id").alias("a"), F.col("component").alias("b"))
         small = found.count() <= BROADCAST_ROWS
         joined = df.join(F.broadcast(found), "doc_id", "left") if small else join_unique(df, found, "doc_id", "left")
         return joined.withColumn("class", F.coalesce("component", "doc_id")).drop("component")
