@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -203,32 +203,21 @@ def gap_counts(targets: DataFrame, counts: DataFrame) -> DataFrame:
     )
 
 
-def rule_lists(rules: DataFrame, sections: Sequence[str], limit: int = 10_000) -> dict[str, list[str]]:
-    """Field names per section, on the driver. A rule set of more than ``limit`` rules is an error."""
-    rows = rules.where(F.col("section").isin(list(sections))).select("section", "field").distinct()
-    found = rows.limit(limit + 1).collect()
-    if len(found) > limit:
-        raise ValueError(f"more than {limit} rules")
-    lists: dict[str, list[str]] = {s: [] for s in sections}
-    for row in sorted(found):
-        lists[row["section"]].append(row["field"])
-    return lists
+def rule_lists(rules: DataFrame, sections: Sequence[str]) -> DataFrame:
+    """The distinct field names of each section, ``(section, fields)``."""
+    wanted = rules.where(F.col("section").isin(list(sections)) & F.col("field").isNotNull())
+    return wanted.groupBy("section").agg(F.array_sort(F.collect_set("field")).alias("fields"))
 
 
-def missing_fields(docs: DataFrame, fields: Mapping[str, Sequence[str]]) -> DataFrame:
+def missing_fields(docs: DataFrame, lists: DataFrame) -> DataFrame:
     """Documents ``(id, doc)`` lacking a listed top-level field, one row ``(section, field, id)`` each.
 
-    The lists are part of the plan (see ``rule_lists``): no join and no shuffle.
+    ``lists`` is ``(section, fields)`` of ``rule_lists``, of any size. It is one value
+    (a scalar subquery) next to each document, so the documents are not shuffled.
     """
     present = F.map_keys(F.map_filter(as_object(F.col("doc")), lambda _, v: is_present(v)))
-    held = docs.select("id", F.coalesce(present, F.array().cast("array<string>")).alias("held"))
-    lists = F.array(
-        *[
-            F.struct(F.lit(s).alias("section"), F.array(*[F.lit(f) for f in names]).alias("fields"))
-            for s, names in fields.items()
-            if names
-        ]
-    )
-    return held.select("id", "held", F.inline(lists)).select(
+    every = lists.agg(F.collect_list(F.struct("section", "fields")).alias("lists")).scalar()
+    held = docs.select("id", F.coalesce(present, F.array().cast("array<string>")).alias("held"), every.alias("lists"))
+    return held.select("id", "held", F.inline("lists")).select(
         "section", F.explode(F.array_except("fields", "held")).alias("field"), "id"
     )

@@ -25,7 +25,7 @@ def inline_types(edges: DataFrame) -> DataFrame:
     return edges.withColumn("type", F.when(F.col("type") == INLINE, own).otherwise(F.col("type")))
 
 
-def expand(edges: DataFrame, root: str = "", max_depth: int | None = None) -> DataFrame:
+def expand(edges: DataFrame, root: str = "") -> DataFrame:
     """All nodes reachable from the root elements, once per path.
 
     ``edges`` is ``(file, parent, name, type, …)``; the children of a node are the
@@ -33,12 +33,13 @@ def expand(edges: DataFrame, root: str = "", max_depth: int | None = None) -> Da
     ``path`` (types from the root down to its parent) and ``depth``. A type that
     is already on the path is not entered again, so cycles end.
 
-    Each level is one join of the previous level to the edges, cut off by a
-    reliable checkpoint: lineage does not grow with depth, and a lost executor
+    The edges are derived once and stored. Each level is one join of the previous
+    level to them, cut off by a reliable checkpoint: lineage does not grow with depth, and a lost executor
     re-reads files instead of recomputing the levels above.
     """
     columns = edges.columns
     carried = [c for c in columns if c != "file"]
+    edges = stored(edges, "edges")
     level = stored(
         edges.where(F.col("parent") == root)
         .withColumn("path", F.array().cast("array<string>"))
@@ -46,7 +47,7 @@ def expand(edges: DataFrame, root: str = "", max_depth: int | None = None) -> Da
     )
     levels = [level]
     depth = 0
-    while max_depth is None or depth < max_depth:
+    while True:
         depth += 1
         # siblings of one type lead to the same children on the same path: entered once
         entered = level.where(

@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from metacurate.functions.text import clean_description
-from metacurate.operators.checkpoints import stored
 from metacurate.operators.hierarchy import expand, inline_types, is_mandatory, path_labels
 from metacurate.operators.vocabulary import allowed_for
 
@@ -21,7 +20,7 @@ def mandatory_fields(
     description unless ``describe_all``; absent descriptions and values are NULL.
     """
     wanted = inline_types(edges.where(is_mandatory())).drop("min_occurs", "use")
-    nodes = stored(expand(wanted), "nodes")
+    nodes = expand(wanted)
     labelled = allowed_for(path_labels(nodes), allowed, common_file)
     description = clean_description(F.col("description"))
     kept = description != ""

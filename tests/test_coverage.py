@@ -131,9 +131,14 @@ def test_counts_are_nested(profile):
         assert r["n_meaningful"] <= r["n_present"] <= totals[r["scope"], r["material"]]
 
 
-def test_empty_ruleset_limits(rules):
-    with pytest.raises(ValueError, match="more than 1 rules"):
-        ops.rule_lists(rules, ["standard", "organism"], limit=1)
+def test_missing_ids_of_no_rules_and_of_many(spark, rules, organisms):
+    assert missing_documents(organisms, rules.where("false")).count() == 0
+    many = spark.range(11_000).select(
+        F.lit("organism").alias("section"), F.format_string("f%05d", "id").alias("field"), F.lit("mandatory").alias("status")
+    )
+    n = organisms.count()
+    got = missing_documents(organisms, many).groupBy("field").count()
+    assert rows(got.groupBy("count").agg(F.count("*").alias("fields"))) == [(n, 11_000)]
 
 
 def test_column_coverage(spark):
