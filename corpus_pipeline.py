@@ -27,10 +27,21 @@ from metacurate.operators.joins import join_unique  # noqa: E402
 SHINGLE_WORDS, SIMILAR_PERCENT = 5, 80
 
 
+def boxed(docs: DataFrame) -> DataFrame:
+    """``doc_id, text`` and ``_other`` with all other columns, whose names then clash with no operator's own."""
+    others = [docs[f"`{c}`"] for c in docs.columns if c not in ("doc_id", "text")]
+    return docs.select("doc_id", "text", F.struct(F.lit(0).alias("_none"), *others).alias("_other"))
+
+
+def unboxed(df: DataFrame, columns: list[str]) -> DataFrame:
+    """The ``columns`` that ``boxed`` put away."""
+    return df.select(*[F.col(c) if c in ("doc_id", "text") else F.col("_other").getField(c).alias(c) for c in columns])
+
+
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that neither the fixed rules nor the learned ones reject."""
-    verdicts = quality_verdicts(docs, table(spark, sf_dir, "labels"), keep=docs.columns)
-    return verdicts.where("kept").select(*docs.columns)
+    verdicts = quality_verdicts(boxed(docs), table(spark, sf_dir, "labels"), keep=["doc_id", "text", "_other"])
+    return unboxed(verdicts.where("kept"), docs.columns)
 
 
 def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -47,7 +58,7 @@ def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def remove_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, with each span of personal data replaced by its kind; ``n_chars`` follows the text."""
-    clean = redacted(find_pii(docs, docs.columns))
+    clean = unboxed(redacted(find_pii(boxed(docs), ["doc_id", "text", "_other"])), docs.columns)
     return clean.withColumn("n_chars", F.coalesce(F.length("text").cast("bigint"), F.col("n_chars"))).select(*docs.columns)
 
 
