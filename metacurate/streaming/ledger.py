@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,11 +14,12 @@ from metacurate.sources.schemas import LEDGER
 
 def read_ledger(spark: SparkSession, path: str) -> DataFrame:
     """Delivered seeds; an absent ledger is empty."""
-    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    exists = folder.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).exists(folder)
-    if not exists:
+    try:
+        return spark.read.schema(LEDGER).parquet(path)
+    except AnalysisException as failed:
+        if failed.getCondition() != "PATH_NOT_FOUND":
+            raise
         return spark.createDataFrame([], LEDGER)
-    return spark.read.schema(LEDGER).parquet(path)
 
 
 def pending_only(seeds: DataFrame, ledger: DataFrame, key: str, ledger_key: str = "seed_id") -> DataFrame:
