@@ -100,47 +100,108 @@ def _parse(data: bytes, at: int) -> tuple[int, dict[str, str], bytes] | str:
     return end + len(_END), headers, block
 
 
-def _member(data: bytes, at: int) -> tuple[int, bytes] | str:
-    """End and content of the gzip member at ``at``, or why it cannot be read."""
+def _before_damage(reader: zlib._Decompress, chunk: bytes) -> bytes:
+    """What a reader makes of a chunk before it fails."""
+    out = []
+    while len(chunk) > 1:  # down to the byte that fails
+        kept, half = reader.copy(), len(chunk) // 2
+        try:
+            out.append(reader.decompress(chunk[:half]))
+            chunk = chunk[half:]
+        except zlib.error:
+            reader, chunk = kept, chunk[:half]
+    size = 1 << 12
+    while size:
+        kept = reader.copy()
+        try:
+            out.append(reader.decompress(chunk, size))
+        except zlib.error:
+            reader, size = kept, size // 2
+            continue
+        chunk = reader.unconsumed_tail
+        if not out[-1] and not chunk:
+            break
+    return b"".join(out)
+
+
+def _member(data: bytes, at: int) -> tuple[int, bytes, str]:
+    """End and content of the gzip member at ``at``, and why it is not whole; the content is then what comes before the damage."""
     reader = zlib.decompressobj(31)
     out = []
-    for start in range(at, len(data), 1 << 20):
+    for start in range(at, len(data), 1 << 16):
+        chunk, kept = data[start : start + (1 << 16)], reader.copy()
         try:
-            out.append(reader.decompress(data[start : start + (1 << 20)]))
+            out.append(reader.decompress(chunk))
         except zlib.error as e:
-            return f"gzip member: {e}"
+            out.append(_before_damage(kept, chunk))
+            return len(data), b"".join(out), f"gzip member: {e}"
         if reader.eof:
-            return min(start + (1 << 20), len(data)) - len(reader.unused_data), b"".join(out)
-    return "gzip member does not end"
+            return start + len(chunk) - len(reader.unused_data), b"".join(out), ""
+    return len(data), b"".join(out), "gzip member does not end"
+
+
+def _reach(data: bytes, at: int, size: int) -> int:
+    """Where the first ``size`` bytes of content of the gzip member at ``at`` end in the archive."""
+    reader, step = zlib.decompressobj(31), 1 << 16
+    while step and at < len(data):
+        kept = reader.copy()
+        try:
+            n = len(reader.decompress(data[at : at + step]))
+        except zlib.error:  # behind those bytes
+            n = size
+        if n < size:
+            at, size = at + step, size - n
+        else:
+            reader, step = kept, step // 2
+    return min(at + 1, len(data))
+
+
+def _plain(data: bytes) -> Iterator[tuple[int, int, dict[str, str] | None, bytes, str]]:
+    """Records and gaps of the content of a gzip member."""
+    at, gap, why = 0, None, ""
+    while at < len(data):
+        record = _parse(data, at)
+        if isinstance(record, str):
+            if gap is None:
+                gap, why = at, record
+            following = _VERSION.search(data, at + 1)
+            at = following.start() if following else len(data)
+            continue
+        if gap is not None:
+            yield gap, at, None, b"", why
+            gap = None
+        yield at, *record, ""
+        at = record[0]
+    if gap is not None:
+        yield gap, at, None, b"", why
 
 
 def salvage(data: bytes) -> Iterator[tuple[int, int, dict[str, str] | None, bytes, str]]:
     """Records ``(start, end, headers, block, "")`` and gaps ``(start, end, None, b"", reason)`` of an archive.
 
     What fails a check is skipped up to the next gzip member or version line at
-    which a whole valid record starts; the bytes between are one gap.
+    which a valid record starts; the bytes between are one gap. The content of a
+    gzip member, also what comes before its damage, is searched alike. Its
+    records and the gaps between them have the place of the member; the reason
+    of such a gap tells the place in the content. A damaged member ends where its
+    last valid record does, and a gap follows it.
     """
     at, gap, why = 0, None, ""
     while at < len(data):
-        found: list[tuple[dict[str, str], bytes]] = []
+        found: list[tuple[int, int, dict[str, str] | None, bytes, str]] = []
+        damage = ""
         if data.startswith(b"\x1f\x8b\x08", at):
-            member = _member(data, at)
-            end, reason = (at, member) if isinstance(member, str) else (member[0], "")
-            inner = 0
-            while not reason and inner < len(member[1]):
-                record = _parse(member[1], inner)
-                if isinstance(record, str):
-                    reason = f"in gzip member: {record}"
-                else:
-                    inner = record[0]
-                    found.append(record[1:])
-            if not reason and not found:
-                reason = "empty gzip member"
+            end, content, damage = _member(data, at)
+            found = list(_plain(content))
+            last = max((stop for _, stop, headers, _, _ in found if headers is not None), default=0)
+            reason = "" if last else damage or (f"in gzip member: {found[0][4]}" if found else "empty gzip member")
+            if last and damage:
+                end, found = _reach(data, at, last), [f for f in found if f[1] <= last]
         else:
             record = _parse(data, at)
             end, reason = (at, record) if isinstance(record, str) else (record[0], "")
             if not reason:
-                found.append(record[1:])
+                found.append((at, *record, ""))
         if reason:
             if gap is None:
                 gap, why = at, reason
@@ -150,9 +211,13 @@ def salvage(data: bytes) -> Iterator[tuple[int, int, dict[str, str] | None, byte
         if gap is not None:
             yield gap, at, None, b"", why
             gap = None
-        for headers, block in found:
-            yield at, end, headers, block, ""
+        for start, stop, headers, block, inner in found:
+            yield at, end, headers, block, inner and f"in gzip member, bytes {start} to {stop}: {inner}"
         at = end
+        if damage:
+            gap, why = at, damage
+            following = _START.search(data, at)
+            at = following.start() if following else len(data)
     if gap is not None:
         yield gap, len(data), None, b"", why
 

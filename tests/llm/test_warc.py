@@ -2,6 +2,7 @@
 
 import gzip
 import hashlib
+import zlib
 
 from metacurate.llm.warc import page_records, read_archives, salvage, warc_records, write_warc
 
@@ -78,6 +79,48 @@ def test_salvage_members():
     assert sum(e - s for s, e, _ in got) == len(data)
 
 
+def incompressible(page, n=3000):
+    return record(page, "".join(hashlib.sha256(f"{page} {i}".encode()).hexdigest() for i in range(n // 64)))
+
+
+def test_salvage_members_of_several_records():
+    texts = [incompressible(i) for i in range(1, 21)]
+    texts[7] = texts[7].replace(b"sha256:", b"sha256:0")
+    after = gzip.compress(record(99, "after"))
+    others = [str(i) for i in range(1, 21) if i != 8]
+    whole = gzip.compress(b"".join(texts))
+    got = list(salvage(whole + after))
+    assert [h["warc-record-id"][10:-1] for _, _, h, _, _ in got if h] == [*others, "99"]
+    gaps = [(s, e, why) for s, e, h, _, why in got if h is None]
+    start = sum(map(len, texts[:7]))
+    assert gaps == [(0, len(whole), f"in gzip member, bytes {start} to {start + len(texts[7])}: block digest differs")]
+    # a wrong check sum: everything is there
+    crc = bytearray(whole)
+    crc[-6] ^= 1
+    got = outline(bytes(crc) + after)
+    assert [g[2] for g in got if g[2]] == [*others, "99"] and got[-2][2] is None and got[-2][1] == len(whole)
+    # cut: all records before the cut
+    content = b"".join(incompressible(i) for i in range(1, 21))
+    packed = gzip.compress(content)
+    for cut in (len(packed) - 1, len(packed) - 9, len(packed) // 2, len(packed) // 3):
+        there = zlib.decompressobj(31).decompress(packed[:cut])
+        n = there.count(b"WARC/1.1") - (not there.endswith(b"\r\n\r\n"))
+        got = outline(packed[:cut])
+        assert [g[2] for g in got] == [*(str(i) for i in range(1, n + 1)), None] and n > 4
+        assert got[-1][0] == got[0][1] and got[-1][1] == cut
+    # flipped bytes: every record that the stream still holds, none twice, and the next member
+    for level in (0, 6):
+        packed = gzip.compress(content, level)
+        for at in range(2000, len(packed) - 10, len(packed) // 17):
+            flipped = bytearray(packed)
+            flipped[at] ^= 0x10
+            got = [g[2] for g in outline(bytes(flipped) + after)]
+            kept = [g for g in got if g]
+            before = zlib.decompressobj(31).decompress(packed[:at - 8]).count(b"\r\n\r\nWARC/1.1")
+            assert kept[:before] == [str(i) for i in range(1, before + 1)]
+            assert len(set(kept)) == len(kept) < 21 and kept[-1] == "99" and None in got
+
+
 def test_gaps_are_logged(spark):
     files = spark.createDataFrame([("f", bytearray(record(1, "a") + b"??" + record(2, "b"))), ("g", None)], "path string, content binary")
     got = sorted((r["start"], r["stop"], r["kind"], r["reason"]) for r in read_archives(files).collect())
