@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from metacurate.llm.jaccard import near_duplicates  # noqa: E402
-from metacurate.llm.packing import pack_documents, public_vocabulary  # noqa: E402
+from metacurate.llm.packing import PUBLIC_SPECIAL, pack_documents, public_vocabulary  # noqa: E402
 from metacurate.llm.pii import find_pii, redacted  # noqa: E402
 from metacurate.llm.quality import quality_verdicts  # noqa: E402
 from metacurate.llm.registry import query, table  # noqa: E402
@@ -64,7 +64,7 @@ def remove_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of all documents and their places in training sequences."""
-    return pack_documents(docs, *public_vocabulary())
+    return pack_documents(docs, *public_vocabulary(), special=PUBLIC_SPECIAL)
 
 
 STAGES = [

@@ -14,7 +14,7 @@ from __future__ import annotations
 import base64
 import re
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterator, Mapping
 
 import numpy as np
 import pyarrow as pa
@@ -26,10 +26,12 @@ from metacurate.operators.checkpoints import stored
 
 LIMIT = 2048
 END_ID = 0
+NO_SPECIAL: Mapping[str, int] = {}
+PUBLIC_SPECIAL = {"<|endoftext|>": 50256}  # added token of byte_bpe_50k.json, not in its rank file
 _CACHE = 300_000
 _UNSAFE = re.compile(r" \s|\s ")
 
-_encoders: dict[tuple[str, str], "_Encoder"] = {}
+_encoders: dict[tuple, "_Encoder"] = {}
 
 
 class _Encoder(dict):
@@ -37,14 +39,16 @@ class _Encoder(dict):
 
     A space between two characters that are no white space is always a token
     boundary of the pattern, so the words on both sides can be encoded alone.
+    ``special`` texts are one token each wherever they stand.
     """
 
-    def __init__(self, ranks: str, pattern: str):
+    def __init__(self, ranks: str, pattern: str, special: Mapping[str, int]):
         import tiktoken
 
         with open(ranks, "rb") as lines:
             merges = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
-        self.encode = tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=merges, special_tokens={}).encode_ordinary
+        encoding = tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=merges, special_tokens=dict(special))
+        self.special, self.ordinary, self.encode = tuple(special), encoding.encode_ordinary, encoding.encode
 
     def __missing__(self, word: str) -> bytes:
         if len(self) >= _CACHE:
@@ -53,31 +57,35 @@ class _Encoder(dict):
         return found
 
     def whole(self, text: str) -> bytes:
-        return np.array(self.encode(text), "<u4").tobytes()
+        return np.array(self.ordinary(text), "<u4").tobytes()
 
     def ids(self, text: str) -> bytes:
+        if any(s in text for s in self.special):
+            return np.array(self.encode(text, allowed_special="all"), "<u4").tobytes()
         if _UNSAFE.search(text):
             return self.whole(text)
         head, *words = text.split(" ")
         return self.whole(head) + b"".join(map(self.__getitem__, words))
 
 
-def encoder(ranks: str, pattern: str) -> _Encoder:
+def encoder(ranks: str, pattern: str, special: Mapping[str, int] = NO_SPECIAL) -> _Encoder:
     """The encoder of this worker process."""
-    if (ranks, pattern) not in _encoders:
-        _encoders[ranks, pattern] = _Encoder(ranks, pattern)
-    return _encoders[ranks, pattern]
+    key = ranks, pattern, tuple(sorted(special.items()))
+    if key not in _encoders:
+        _encoders[key] = _Encoder(ranks, pattern, special)
+    return _encoders[key]
 
 
 def token_pieces(
-    docs: DataFrame, ranks: str, pattern: str, limit: int = LIMIT, end_id: int = END_ID, with_ids: bool = False
+    docs: DataFrame, ranks: str, pattern: str, limit: int = LIMIT, end_id: int = END_ID, with_ids: bool = False, special: Mapping[str, int] = NO_SPECIAL
 ) -> DataFrame:
     """Tokenise ``docs(doc_id, text)`` and cut what is longer than ``limit`` into pieces of it.
 
     Each document is its ids followed by ``end_id``; a null text is empty, so it
     is the end id alone. Of a document of several pieces the first takes the
     remainder, all others are full. ``ranks`` is the file of token ranks and
-    ``pattern`` the pre-tokenisation pattern. ``with_ids`` adds the ids. A null
+    ``pattern`` the pre-tokenisation pattern; ``special`` texts become their one
+    id wherever they stand. ``with_ids`` adds the ids. A null
     ``doc_id`` stays null and repeated rows are documents of their own.
     """
     fields = [pa.field("doc_id", pa.int64()), pa.field("piece", pa.int32()), pa.field("start", pa.int64()),
@@ -88,7 +96,7 @@ def token_pieces(
     end = np.array([end_id], "<u4").tobytes()
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(ranks, pattern)
+        encode = encoder(ranks, pattern, special)
         for batch in batches:
             out: list[tuple] = []
             for doc, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
@@ -234,13 +242,13 @@ def pack_pieces(pieces: DataFrame, limit: int = LIMIT) -> DataFrame:
     return ordered.mapInArrow(place, schema)
 
 
-def pack_documents(docs: DataFrame, ranks: str, pattern: str, limit: int = LIMIT) -> DataFrame:
+def pack_documents(docs: DataFrame, ranks: str, pattern: str, limit: int = LIMIT, special: Mapping[str, int] = NO_SPECIAL) -> DataFrame:
     """Tokenise, cut and pack documents; see ``token_pieces`` and ``pack_pieces``."""
-    return pack_pieces(token_pieces(docs, ranks, pattern, limit), limit)
+    return pack_pieces(token_pieces(docs, ranks, pattern, limit, special=special), limit)
 
 
 def public_vocabulary() -> tuple[str, str]:
-    """Ranks and pattern of the public byte-level vocabulary; its ids are those of ``byte_bpe_50k.json``."""
+    """Ranks and pattern of the public byte-level vocabulary; with ``PUBLIC_SPECIAL`` its ids are those of ``byte_bpe_50k.json``."""
     import public_tokenizers
 
     return public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
@@ -248,5 +256,5 @@ def public_vocabulary() -> tuple[str, str]:
 
 @query("op1_pack_documents")
 def op1_pack_documents(spark: SparkSession, sf: str) -> DataFrame:
-    packed = pack_documents(table(spark, sf, "documents"), *public_vocabulary())
+    packed = pack_documents(table(spark, sf, "documents"), *public_vocabulary(), special=PUBLIC_SPECIAL)
     return packed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")

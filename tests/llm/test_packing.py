@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from metacurate.llm.packing import best_fit_plan, pack_documents, pack_pieces, public_vocabulary, token_pieces
+from metacurate.llm.packing import best_fit_plan, op1_pack_documents, pack_documents, pack_pieces, public_vocabulary, token_pieces
 
 SCHEMA = "doc_id bigint, text string, lang string, sequence_id string, length string, _row int"
 TEXTS = [
@@ -115,3 +115,16 @@ def test_empty_table_and_ids(spark):
     assert pack_documents(empty, *public_vocabulary()).count() == 0
     row = token_pieces(spark.createDataFrame([(1, "a b")], "doc_id bigint, text string"), *public_vocabulary(), with_ids=True).first()
     assert list(struct.unpack("<3I", bytes(row["ids"]))) == reference_ids("a b")
+
+
+def test_ids_with_the_added_token(spark, tmp_path):
+    tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    end = "<|endoftext|>"
+    texts = ["a <|endoftext|> b", end, end * 3, f"x  {end}  \n y", f"word{end}word", f" {end}", f"{end} ", "<|endoftext|", f"a b{end}\n\nc d", f"it{end}'s", "no literal here"]
+    rnd = random.Random(4)
+    texts += ["".join(rnd.choice([end, " ", "\n", "a", "'s", "12", "é", "<|", "word "]) for _ in range(12)) for _ in range(300)]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    got = {r["doc_id"]: (r["length"], r["ids_crc32"]) for r in op1_pack_documents(spark, str(tmp_path)).collect()}
+    for i, text in enumerate(texts):
+        ids = [*tokenizer.encode(text, add_special_tokens=False).ids, 0]
+        assert got[i] == (len(ids), zlib.crc32(struct.pack(f"<{len(ids)}I", *ids))), text
