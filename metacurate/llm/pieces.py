@@ -1,12 +1,13 @@
 """SentencePiece encoding with seeded merge-dropout, and lossless decoding.
 
 A merge-type model joins neighbouring symbols, best score first, leftmost among
-equals. Every candidate merge has a key: the seed, the variant, the word, its
-place and the two symbols. A keyed hash of it decides whether the agenda skips
-that candidate for good, so a segmentation can be repeated on any machine, and
-texts of another variant are cut differently. No piece of the model has a space
-inside, so words with the spaces before them are encoded one by one; many words
-go through the agenda at once, one merge of each word a round.
+equals. Every candidate merge has a key: the seed, the document, which of its
+words it is in, the place in the word and the two symbols. A keyed hash of it
+decides whether the agenda skips that candidate for good, so a segmentation can
+be repeated on any machine, and every occurrence of a word is cut on its own. No
+piece of the model has a space inside, so words with the spaces before them are
+encoded one by one; many words go through the agenda at once, one merge of each
+word a round.
 """
 
 from __future__ import annotations
@@ -24,14 +25,14 @@ from pyspark.sql import functions as F
 from metacurate.llm.ngrams import mix
 from metacurate.llm.registry import query, table
 
-SEED, DROPOUT, VARIANTS = 17, 0.1, 4
+SEED, DROPOUT = 17, 0.1
 SPACE_MARK = "▁"
 _UNIT = re.compile(" *[^ ]+| +")
 _LONG = 200  # words of more characters have an agenda of their own
-_CACHE = 250_000
-_GROUP = 512  # documents whose new words are encoded together
+_GROUP = 64  # documents that are split into words together
+_CHARS = 100_000  # characters whose words are encoded together
 _MASK = (1 << 64) - 1
-_PLACE, _LEFT, _RIGHT = 0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9
+_PLACE, _LEFT, _RIGHT, _WORD = 0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5
 
 _models: dict[str, "Pieces"] = {}
 
@@ -75,7 +76,6 @@ class Pieces:
         }
         self.keys = np.array(sorted(self.merges), np.int64)
         self.merged = np.array([self.merges[k] for k in self.keys.tolist()], np.int64)
-        self.caches: dict[tuple, dict[str, bytes]] = {}
 
     def _finish(self, char: int, piece: int) -> list[int]:
         return [piece] if piece >= 0 else self.byte_ids[list(chr(char).encode("utf-8", "surrogatepass"))].tolist()
@@ -110,7 +110,7 @@ class Pieces:
         out = [x for c, i in zip(chars, ids, strict=True) if i != -2 for x in self._finish(c, i)]
         return np.array(out, "<u4").tobytes()
 
-    def encode_words(self, words: list[str], keys: list[int], bar: int) -> list[bytes]:
+    def encode_words(self, words: list[str], keys: list[int] | np.ndarray, bar: int) -> list[bytes]:
         """Many words at once; each round makes the best remaining merge of each."""
         chars = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
         word = np.repeat(np.arange(len(words)), [len(w) for w in words])
@@ -153,26 +153,25 @@ class Pieces:
         flat = ids.astype("<u4").tobytes()
         return [flat[4 * a : 4 * b] for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)]
 
-    def encode(self, texts: list[str], variants: list[int], seed: int, dropout: float) -> list[bytes]:
-        """Ids of each text as little-endian 32-bit integers."""
+    def encode(self, texts: list[str], names: list[object], seed: int, dropout: float) -> list[bytes]:
+        """Ids of each text as little-endian 32-bit integers; the hash is keyed by the text's name and the word's number in it."""
         bar = min(int(dropout * 2**64), _MASK)
-        if sum(map(len, self.caches.values())) > _CACHE:
-            self.caches.clear()
         split = [_UNIT.findall(" " + t) if t else [] for t in texts]
-        caches = [self.caches.setdefault((seed, dropout, v), {}) for v in variants]
-        new: dict[tuple[int, str], dict[str, bytes]] = {}
-        for words, cache, v in zip(split, caches, variants, strict=True):
-            for w in set(words).difference(cache):
-                new[v, w] = cache
-        short = [(v, w) for v, w in new if len(w) <= _LONG]
-        key = lambda v, w: keyed(seed, v, w)
-        if short:
-            for (v, w), ids in zip(short, self.encode_words([w for _, w in short], [key(v, w) for v, w in short], bar), strict=True):
-                new[v, w][w] = ids
-        for (v, w), cache in new.items():
-            if len(w) > _LONG:
-                cache[w] = self.encode_long(w, key(v, w), bar)
-        return [b"".join(map(cache.__getitem__, words)) for words, cache in zip(split, caches, strict=True)]
+        words = [w for ws in split for w in ws]
+        counts = np.array([len(ws) for ws in split], np.int64)
+        ends = np.cumsum(counts)
+        number = (np.arange(len(words)) - np.repeat(ends - counts, counts)).astype(np.uint64)
+        keys = mix(np.repeat(np.array([keyed(seed, n) for n in names], np.uint64), counts) + number * np.uint64(_WORD))
+        sizes = np.array([len(w) for w in words], np.int64)
+        ids = [b""] * len(words)
+        for i in np.flatnonzero(sizes > _LONG).tolist():
+            ids[i] = self.encode_long(words[i], int(keys[i]), bar)
+        short = np.flatnonzero(sizes <= _LONG)
+        group = np.cumsum(sizes[short]) // _CHARS
+        for some in np.split(short, np.flatnonzero(np.diff(group)) + 1) if len(short) else []:
+            for i, cut in zip(some.tolist(), self.encode_words([words[i] for i in some.tolist()], keys[some], bar), strict=True):
+                ids[i] = cut
+        return [b"".join(ids[end - n : end]) for end, n in zip(ends.tolist(), counts.tolist(), strict=True)]
 
     def decode(self, ids: bytes) -> str:
         """The text of some ids; the space that leads the first word is not part of it."""
@@ -187,12 +186,13 @@ def pieces(path: str) -> Pieces:
     return _models[path]
 
 
-def encode_documents(docs: DataFrame, model: str, seed: int = SEED, dropout: float = DROPOUT, variants: int = VARIANTS) -> DataFrame:
+def encode_documents(docs: DataFrame, model: str, seed: int = SEED, dropout: float = DROPOUT) -> DataFrame:
     """``doc_id, text, ids`` of ``docs(doc_id, text)``; ids are little-endian 32-bit integers in one binary.
 
-    A document's variant is a keyed hash of its id, modulo ``variants``; a word
-    is cut alike in all documents of a variant. ``dropout`` 0 gives the plain
-    segmentation. Null and empty texts have no ids. Every text decodes to itself.
+    Every occurrence of a word is cut on its own, by its document's id and its
+    number in the text; rows with equal ids and texts are cut alike. ``dropout`` 0
+    gives the plain segmentation. Null and empty texts have no ids. Every text
+    decodes to itself.
     """
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -200,8 +200,7 @@ def encode_documents(docs: DataFrame, model: str, seed: int = SEED, dropout: flo
         for whole in batches:
             for start in range(0, whole.num_rows, _GROUP):
                 batch = whole.slice(start, _GROUP)
-                chosen = [keyed(seed, doc) % variants for doc in batch.column(0).to_pylist()]
-                ids = found.encode([t or "" for t in batch.column(1).to_pylist()], chosen, seed, dropout)
+                ids = found.encode([t or "" for t in batch.column(1).to_pylist()], batch.column(0).to_pylist(), seed, dropout)
                 yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(ids, pa.binary())], names=["doc_id", "text", "ids"])
 
     return docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string")).mapInArrow(encode, "doc_id bigint, text string, ids binary")

@@ -57,3 +57,27 @@ def test_documents(spark):
     assert len(again) == 1
     empty = spark.createDataFrame([], SCHEMA)
     assert P.decode_documents(P.encode_documents(empty, P.public_model()), P.public_model()).count() == 0
+
+
+def test_occurrences_are_cut_on_their_own(spark):
+    model = P.Pieces(P.public_model())
+    word, n = "internationalization", 200
+    alone = model.encode([word] * n, list(range(n)), 1, 0.3)
+    assert len(set(alone)) > 20
+    one = [len(model.encode([" ".join([word] * k)], [7], 1, 0.3)[0]) for k in range(1, n)]
+    assert len({b - a for a, b in zip([0, *one], one, strict=False)}) > 4
+    rows = [(i, word, "x", "y") for i in range(n)]
+    got = P.encode_documents(spark.createDataFrame(rows, SCHEMA), P.public_model(), dropout=0.3).collect()
+    assert len({bytes(r["ids"]) for r in got}) > 20
+    long = "a" * 300
+    assert len(set(model.encode([long] * 50, list(range(50)), 1, 0.3))) > 20
+
+
+def test_dropout_rate_and_groups():
+    model = P.Pieces(P.public_model())
+    cut = model.encode(["ab"] * 4000, list(range(4000)), 3, 0.1)  # the pieces of " ab" at most
+    dropped = sum(c != model.encode(["ab"], [0], 3, 0.0)[0] for c in cut) / 4000
+    assert 0.05 < dropped < 0.35
+    many = texts() * 30
+    names = list(range(len(many)))
+    assert model.encode(many, names, 1, 0.2) == [model.encode([t], [i], 1, 0.2)[0] for t, i in zip(many, names, strict=True)]
