@@ -2,5 +2,19 @@
 
 from __future__ import annotations
 
-from metacurate.llm import jaccard, licences, lm, packing, pieces, pii, quality, secrets, topk, warc  # noqa: F401
+from metacurate.llm import (  # noqa: F401
+    codes,
+    jaccard,
+    licences,
+    lm,
+    merkle,
+    packing,
+    pieces,
+    pii,
+    quality,
+    secrets,
+    simhash,
+    topk,
+    warc,
+)
 from metacurate.llm.registry import QUERIES, SQL  # noqa: F401
