@@ -33,7 +33,7 @@ _SUM = "decimal(38,0)"
 def dictionary(column: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The distinct integers of a dimension in order, and each row's place among them."""
     low, high = column.min(), column.max()
-    if high - low >= _DENSE:
+    if column.dtype == object or high - low >= _DENSE:
         return np.unique(column, return_inverse=True)
     present = np.zeros(int(high - low) + 1, bool)
     present[column - low] = True
