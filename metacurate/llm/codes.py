@@ -63,7 +63,7 @@ def _blocks(column: pa.Array, width: int) -> np.ndarray:
     values = column.values.to_numpy(zero_copy_only=False)[ends[0] : ends[-1]]
     sizes = np.diff(ends)
     if (sizes == width).all():
-        out = values.reshape(-1, width)
+        out = values.reshape(len(column), width)
     else:
         out = np.zeros((len(column), width), np.int64)
         out[np.arange(width) < sizes[:, None]] = values
