@@ -6,14 +6,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from bindings.curation import _documents, _worklist
-from bindings.logs import _GROUPED, _event_log, _item_log, _order_log, group_report
+from bindings.logs import _GROUPED, _dataset_members, _event_log, _item_log, _members, _order_log
 from bindings.registry import query, table
 from bindings.selection import _SELECTED, manifest
 from metacurate.functions.values import at_path
 from metacurate.operators.checkpoints import new_folder
 from metacurate.operators.curation import curation_payload, remove_field
+from metacurate.operators.entities import group_headers
+from metacurate.operators.ranks import ranked
 from metacurate.operators.vocabulary import rule_entries
-from metacurate.plans.reports import curation_candidates
+from metacurate.plans.reports import curation_candidates, dataset_error_lines, dataset_headers, group_error_lines, unmet
 from metacurate.presets import MANIFEST_COLUMNS
 from metacurate.sinks import writers
 from metacurate.sources import readers
@@ -255,16 +257,126 @@ def rule_file(spark: SparkSession, sf: str) -> DataFrame:
     return spark.read.schema(schema).json(path).select("file", "kind", F.inline("entries"))
 
 
+def _printed(spark: SparkSession, path: str, records: str) -> DataFrame:
+    """The lines of a written report in order, each affected id on a place of its own, ``(place, item)``."""
+    begun = F.lit(f"Affected {records} records: ")
+    value = F.col("value")
+    items = (
+        F.when(value.startswith(begun), F.concat(F.array(F.rtrim(begun)), F.split(F.replace("value", begun), ", ")))
+        .when(value.startswith(", "), F.split(F.substring(value, 3, 2147483647), ", "))
+        .otherwise(F.array(value))
+    )
+    lines = spark.read.text(path).select(
+        F.input_file_name().alias("file"), F.input_file_block_start().alias("start"),
+        F.monotonically_increasing_id().alias("line"), F.posexplode(items).alias("pos", "item"),
+    )
+    return ranked(lines, [], ["file", "start", "line", "pos"], rank="place").select("place", "item")
+
+
+def _page(headers: list[str], shown: str, lines: str, records: str) -> str:
+    """SQL for the printed report: ``shown`` holds the groups, ``lines`` ``(g, severity, msg, id)``."""
+    parts = [f"SELECT g, 0 AS section, '' AS severity, '' AS msg, {i} AS line, '' AS id, {h} AS item FROM {shown}" for i, h in enumerate(headers)]
+    texts = [
+        "''", "'List of fields that are in ' || severity || ': ' || string_split(msg, ':')[1]",
+        "'Summary of ' || severity || ': ' || string_split(msg, ':')[2]", f"'Affected {records} records:'",
+    ]
+    messages = f"(SELECT DISTINCT g, severity, msg FROM {lines})"
+    parts += [f"SELECT g, 1, severity, msg, {i}, '', {t} FROM {messages}" for i, t in enumerate(texts)]
+    parts += [f"SELECT g, 1, severity, msg, 9, id, id FROM {lines}"]
+    parts += [f"SELECT g, 2, '', '', {i}, '', '' FROM {shown}" for i in range(4)]
+    order = "g, section, severity, msg, line, id"
+    return f"SELECT row_number() OVER (ORDER BY {order}) - 1 AS place, item FROM ({' UNION ALL '.join(parts)})"
+
+
+def _group_records(spark: SparkSession, sf: str) -> DataFrame:
+    """Group records of nations, with two contacts, one of which has no e-mail, and one organisation twice."""
+    nations = table(spark, sf, "nation").join(table(spark, sf, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
+    contact = "struct<Name:string,`E-mail`:string>"
+    desk = F.struct(F.concat("n_name", F.lit(" desk")).alias("Name"), F.concat(F.lower("n_name"), F.lit("@lab.org")).alias("E-mail"))
+    office = F.struct(F.col("r_name").alias("Name"), F.lit(None).cast("string").alias("E-mail"))
+    organisation = F.struct(F.concat(F.lit("Institute of "), "r_name").alias("Name"))
+    return nations.select(
+        F.concat(F.lit("G"), F.col("n_nationkey").cast("string")).alias("accession"),
+        F.col("n_name").alias("name"),
+        F.create_map(F.lit("Submission Title"), F.array(F.struct(F.concat(F.lit("samples of "), "n_name").alias("text")))).alias("characteristics"),
+        F.lit("2018-01-01").alias("releaseDate"),
+        F.lit("2019-02-03").alias("updateDate"),
+        F.when(F.col("n_regionkey") == 1, F.array(office)).otherwise(F.array(desk, office)).cast(f"array<{contact}>").alias("contact"),
+        F.array(organisation, organisation).alias("organization"),
+    )
+
+
+GROUP_TITLES = [
+    ("Submission id", "group_id"), ("Submission name", "name"), ("Submission title", "title"), ("Release date", "release_date"),
+    ("Update date", "update_date"), ("Submitters", "contacts"), ("Submitter emails", "emails"), ("Submitter institution", "organizations"),
+]
+_GROUP_HEADER = [
+    "'Submission id: ' || g", "'Submission name: ' || n_name", "'Submission title: samples of ' || n_name",
+    "'Release date: 2018-01-01'", "'Update date: 2019-02-03'",
+    "'Submitters: ' || CASE WHEN n_regionkey = 1 THEN '' ELSE n_name || ' desk, ' END || r_name",
+    "CASE WHEN n_regionkey <> 1 THEN 'Submitter emails: ' || lower(n_name) || '@lab.org' END",
+    "'Submitter institution: Institute of ' || r_name",
+]
+
+
 @query(
     "sink_report",
     f"""
-    WITH {_GROUPED}
-    SELECT 'Group id: ' || group_id AS line, CAST(count(*) AS BIGINT) AS n FROM hd JOIN r USING (group_id) GROUP BY ALL
+    WITH {_GROUPED},
+    shown AS (SELECT 'G' || n_nationkey AS g, n_name, n_regionkey, r_name FROM nation JOIN region ON n_regionkey = r_regionkey
+              WHERE 'G' || n_nationkey IN (SELECT group_id FROM a)),
+    ids AS (SELECT group_id AS g, severity, msg, id FROM a WHERE group_id IN (SELECT g FROM shown)),
+    page AS ({_page(_GROUP_HEADER, "shown", "ids", "sample")})
+    -- a group without e-mails has no such line
+    SELECT row_number() OVER (ORDER BY place) - 1 AS place, item FROM page WHERE item IS NOT NULL
     """,
 )
 def report_file(spark: SparkSession, sf: str) -> DataFrame:
-    """Header lines of the written report: one per block of a group."""
+    """Every line of the written report by group, in the order of the files."""
     path = new_folder(spark, "report")
-    writers.write_report(group_report(spark, sf), [("Group id", "group_id")], "group_id", "sample", path)
-    lines = spark.read.text(path).where(F.col("value").startswith("Group id"))
-    return lines.groupBy(F.col("value").alias("line")).agg(F.count("*").alias("n"))
+    headers = group_headers(_group_records(spark, sf))
+    lines = group_error_lines(_order_log(spark, sf), _members(spark, sf), per_row=40)
+    writers.write_report(headers, lines, GROUP_TITLES, "group_id", "sample", path)
+    return _printed(spark, path, "sample")
+
+
+DATASET_TITLES = [
+    ("Study id", "dataset"), ("Secondary accession", "secondary_accession"), ("Title", "title"), ("Animals", "animals"),
+    ("Instruments", "instruments"), ("Centres", "centres"),
+]
+_DATASET_HEADER = [
+    "'Study id: ' || g", "'Secondary accession: S' || g", "'Title: ' || c_name",
+    "'Animals: ' || lower(c_mktsegment) || ', ' || upper(c_mktsegment)", "'Instruments: ' || c_mktsegment", "'Centres: '",
+]
+
+
+@query(
+    "sink_dataset_report",
+    f"""
+    WITH shown AS (SELECT CAST(c_custkey AS VARCHAR) AS g, c_name, c_mktsegment FROM customer
+                   WHERE c_mktsegment NOT IN ('MACHINERY', 'BUILDING')),
+    ids AS (SELECT DISTINCT CAST(o_custkey AS VARCHAR) AS g, 'error' AS severity, 'flag:R returned' AS msg,
+                   CAST(l_orderkey AS VARCHAR) AS id
+            FROM lineitem JOIN orders ON l_orderkey = o_orderkey
+            WHERE l_returnflag = 'R' AND CAST(o_custkey AS VARCHAR) IN (SELECT g FROM shown))
+    {_page(_DATASET_HEADER, "shown", "ids", "experiment")}
+    """,
+)
+def dataset_report_file(spark: SparkSession, sf: str) -> DataFrame:
+    """Every line of the written report by dataset; datasets without errors have their header as well."""
+    segment = F.col("c_mktsegment")
+    customer = table(spark, sf, "customer").where(segment != "MACHINERY")
+    documents = customer.select(
+        F.col("c_custkey").cast("string").alias("id"),
+        F.when(segment == "BUILDING", "core").alias("standardMet"),
+        F.concat(F.lit("S"), F.col("c_custkey").cast("string")).alias("secondaryAccession"),
+        F.col("c_name").alias("title"),
+        F.array(F.struct(F.lower(segment).alias("text")), F.struct(F.upper(segment).alias("text"))).alias("species"),
+        F.array(segment).alias("instrument"),
+        F.array().cast("array<string>").alias("centerName"),
+    )
+    headers = dataset_headers(unmet(documents, "core"))
+    lines = dataset_error_lines(_item_log(spark, sf), _dataset_members(spark, sf), headers, per_row=3)
+    path = new_folder(spark, "dataset-report")
+    writers.write_report(headers, lines, DATASET_TITLES, "dataset", "experiment", path, include_all=True)
+    return _printed(spark, path, "experiment")

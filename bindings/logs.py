@@ -6,10 +6,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from bindings.registry import query, table
+from metacurate.operators.checkpoints import stored
 from metacurate.operators.entities import group_ids, project_samples
 from metacurate.plans.reports import (
     curation_candidates,
     dataset_error_report,
+    group_error_lines,
     group_error_report,
     log_messages,
     message_parts,
@@ -17,7 +19,7 @@ from metacurate.plans.reports import (
     not_imported_errors,
     unmet,
 )
-from metacurate.sinks.writers import report_text
+from metacurate.sinks.writers import report_lines
 from metacurate.sources.schemas import CHARACTERISTIC, RELATIONSHIP
 
 _NOISE = ["seq:attribute not in rule set"]
@@ -147,10 +149,8 @@ _GROUPED = f"""
           UNION ALL
           SELECT NULL, severity, msg, id FROM msg WHERE id NOT IN (SELECT id FROM mem)),
     k AS (SELECT *, count(*) OVER (PARTITION BY group_id, severity, msg) AS n,
-                 CAST('0x' || substr(md5(id), 1, 8) AS BIGINT) AS h FROM a),
-    r AS (SELECT group_id, severity, msg, n,
-                 CASE WHEN n > {_PER_ROW} THEN h % ((n + {_PER_ROW} - 1) // {_PER_ROW}) ELSE 0 END AS part,
-                 string_agg(id, ', ' ORDER BY id) AS ids
+                 row_number() OVER (PARTITION BY group_id, severity, msg ORDER BY id) AS place FROM a),
+    r AS (SELECT group_id, severity, msg, n, (place - 1) // {_PER_ROW} AS part, string_agg(id, ', ' ORDER BY id) AS ids
           FROM k GROUP BY ALL),
     hd AS (SELECT 'G' || n_nationkey AS group_id, n_name AS name FROM nation)
 """
@@ -192,18 +192,23 @@ def group_report_all(spark: SparkSession, sf: str) -> DataFrame:
 @query(
     "report_text",
     f"""
-    WITH {_GROUPED}
-    SELECT group_id, severity, msg, part,
-           'Group id: ' || group_id || chr(10) || 'Group title: ' || name || chr(10)
-           || 'List of fields that are in ' || severity || ': ' || string_split(msg, ':')[1] || chr(10)
-           || 'Summary of ' || severity || ': ' || string_split(msg, ':')[2] || chr(10)
-           || 'Affected sample records: ' || ids AS value
-    FROM hd JOIN r USING (group_id)
+    WITH {_GROUPED},
+    shown AS (SELECT * FROM hd WHERE group_id IN (SELECT group_id FROM r))
+    SELECT group_id, 0 AS section, NULL AS severity, NULL AS msg, NULL AS part,
+           'Group id: ' || group_id || chr(10) || 'Group title: ' || name AS value FROM shown
+    UNION ALL
+    SELECT group_id, 1, severity, msg, part,
+           CASE WHEN part = 0 THEN chr(10) || 'List of fields that are in ' || severity || ': ' || string_split(msg, ':')[1]
+                || chr(10) || 'Summary of ' || severity || ': ' || string_split(msg, ':')[2]
+                || chr(10) || 'Affected sample records: ' || ids ELSE ', ' || ids END
+    FROM shown JOIN r USING (group_id)
+    UNION ALL
+    SELECT group_id, 2, NULL, NULL, NULL, repeat(chr(10), 3) FROM shown
     """,
 )
 def report_blocks(spark: SparkSession, sf: str) -> DataFrame:
-    report = group_report(spark, sf)
-    return report_text(report, [("Group id", "group_id"), ("Group title", "name")], "group_id", "sample")
+    lines = stored(group_error_lines(_order_log(spark, sf), _members(spark, sf), per_row=_PER_ROW))
+    return report_lines(_headers(spark, sf), lines, [("Group id", "group_id"), ("Group title", "name")], "group_id", "sample")
 
 
 @query(
@@ -277,11 +282,10 @@ _ITEM_LINES = """
           FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey
           WHERE l_returnflag = 'R'),
     k AS (SELECT dataset, c_mktsegment, c_name, CAST(l_orderkey AS VARCHAR) AS id,
-                 count(*) OVER (PARTITION BY dataset) AS n FROM x),
+                 count(*) OVER (PARTITION BY dataset) AS n,
+                 row_number() OVER (PARTITION BY dataset ORDER BY CAST(l_orderkey AS VARCHAR)) AS place FROM x),
     d AS (SELECT dataset, c_mktsegment, c_name, 'error' AS severity, 'flag:R returned' AS msg, 'flag' AS field,
-                 'R returned' AS detail, n,
-                 CASE WHEN n > 1000 THEN CAST('0x' || substr(md5(id), 1, 8) AS BIGINT) % ((n + 999) // 1000)
-                      ELSE 0 END AS part,
+                 'R returned' AS detail, n, (place - 1) // 1000 AS part,
                  string_agg(id, ', ' ORDER BY id) AS ids
           FROM k GROUP BY ALL)
 """

@@ -124,9 +124,8 @@ def union_of_lists(spark: SparkSession, sf: str) -> DataFrame:
       FROM (SELECT p_name, min({'s': p_size, 'p': p_partkey}) AS first FROM part GROUP BY p_name)
       UNION ALL
       SELECT 'o_orderpriority', o_orderpriority, 0, min(o_orderkey) FROM orders GROUP BY o_orderpriority),
-    k AS (SELECT *, count(*) OVER (PARTITION BY c) AS n,
-                 CAST('0x' || substr(md5(v), 1, 8) AS BIGINT) AS h FROM u)
-    SELECT c AS "column", CAST(n AS BIGINT) AS n, h % ((n + 15) // 16) AS part,
+    k AS (SELECT *, count(*) OVER (PARTITION BY c) AS n, row_number() OVER (PARTITION BY c ORDER BY s, p, v) AS place FROM u)
+    SELECT c AS "column", CAST(n AS BIGINT) AS n, (place - 1) // 16 AS part,
            string_agg(v, '|' ORDER BY s, p, v) AS "values"
     FROM k GROUP BY ALL
     """,
@@ -259,10 +258,10 @@ def mandatory_nodes(spark: SparkSession, sf: str) -> DataFrame:
     """
     WITH c AS (
       SELECT r_name AS file, c_mktsegment AS kind, c_name AS name, n_name AS path,
-             count(*) OVER (PARTITION BY r_name, c_mktsegment) AS n
+             count(*) OVER (PARTITION BY r_name, c_mktsegment) AS n,
+             row_number() OVER (PARTITION BY r_name, c_mktsegment ORDER BY c_name) AS place
       FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey)
-    SELECT file, kind, n, CASE WHEN n > 20 THEN CAST('0x' || substr(md5(name), 1, 8) AS BIGINT) % ((n + 19) // 20)
-                          ELSE 0 END AS part,
+    SELECT file, kind, n, (place - 1) // 20 AS part,
            '[' || string_agg('{"name":"' || name || '","path":"' || path || '"}', ',' ORDER BY name) || ']' AS entries
     FROM c GROUP BY ALL
     """,

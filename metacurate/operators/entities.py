@@ -58,7 +58,7 @@ def group_members(groups: DataFrame, relation: str = MEMBER_RELATION) -> DataFra
 
 
 def group_headers(groups: DataFrame) -> DataFrame:
-    """Display fields of group records: names, dates, contacts, e-mails, organisations."""
+    """Display fields of group records: names, dates, contacts, e-mails, organisations; no e-mail at all gives NULL."""
 
     def first_text(name: str) -> Column:
         return F.try_element_at(F.try_element_at("characteristics", F.lit(name)), F.lit(1))["text"]
@@ -70,7 +70,7 @@ def group_headers(groups: DataFrame) -> DataFrame:
         F.col("releaseDate").alias("release_date"),
         F.col("updateDate").alias("update_date"),
         F.array_join(F.transform("contact", lambda c: c["Name"]), ", ").alias("contacts"),
-        F.array_join(F.transform("contact", lambda c: c["E-mail"]), ", ").alias("emails"),
+        F.nullif(F.array_join(F.transform("contact", lambda c: c["E-mail"]), ", "), F.lit("")).alias("emails"),
         F.array_join(F.array_distinct(F.transform("organization", lambda o: o["Name"])), ", ").alias(
             "organizations"
         ),

@@ -4,23 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-DEFAULT_PER_ROW = 1000
-DEFAULT_SALTS = 32
-
-
-def stable_hash(c: Column) -> Column:
-    """First 32 bits of the MD5 of the text form: the same on every engine and every run."""
-    return F.conv(F.substring(F.md5(c.cast("string").cast("binary")), 1, 8), 16, 10).cast("bigint")
+from metacurate.operators.checkpoints import stored
+from metacurate.operators.ranks import ranked
 
-
-def large_groups(
-    rows: DataFrame, keys: Sequence[str], limit: int, total: str = "n"
-) -> DataFrame:
-    """Groups of more than ``limit`` rows with their size; counted with map-side combining."""
-    return rows.groupBy(*keys).agg(F.count("*").alias(total)).where(F.col(total) > limit)
+DEFAULT_PER_ROW = 1000
 
 
 def pack_groups(
@@ -33,40 +23,28 @@ def pack_groups(
     total: str = "n",
     part: str = "part",
     per_row: int = DEFAULT_PER_ROW,
-    salts: int = DEFAULT_SALTS,
 ) -> DataFrame:
-    """Collect the distinct items of each group in order, about ``per_row`` to an output row.
+    """Collect the distinct items of each group in order, ``per_row`` to an output row.
 
-    A group of at most ``per_row`` items is one row (``part`` 0). A larger one
-    is spread over ``ceil(n / per_row)`` rows by a hash of the item, each row in
-    order, so every item is kept and no task holds a whole hot group. ``item``
-    identifies an element within its group; ``order`` columns, if given, are
-    collected in front of it and a ``carry`` column behind it, as a struct.
+    Items are sorted by the ``order`` columns, if given, and by themselves; row
+    ``part`` of a group holds the items from place ``part * per_row`` on, so the
+    rows of a group in order of ``part`` are the sorted group. All groups follow
+    this one rule: every item is kept, and no task holds more of a group than
+    its share of the sorted rows. ``total`` is the full size of the group in
+    every row. ``item`` identifies an element within its group; ``order`` columns
+    are collected in front of it and a ``carry`` column behind it, as a struct.
 
-    Only the large groups, at most one per ``per_row`` input rows, are joined
-    back; that join is salted, so a hot group's rows go to ``salts`` tasks.
+    The rows are stored once, because sorting by range reads them twice.
     """
-    large = large_groups(rows, keys, per_row).select(
-        *[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)],
-        F.col("n").alias("_size"),
-        F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(salts - 1).cast("bigint"))).alias("_large_salt"),
-    )
-    salted = rows.withColumn("_salt", F.pmod(F.xxhash64(item), F.lit(salts)))
-    on = F.col("_salt") == F.col("_large_salt")
-    for i, k in enumerate(keys):
-        on = on & F.col(k).eqNullSafe(F.col(f"_k{i}"))
-    parts = F.ceil(F.col("_size") / F.lit(per_row)).cast("bigint")
-    placed = salted.join(large, on, "left").withColumn(
-        part, F.when(F.col("_size").isNull(), F.lit(0)).otherwise(F.pmod(stable_hash(F.col(item)), parts))
-    )
     columns = [*(order or []), item, *([carry] if carry else [])]
+    placed = ranked(
+        stored(rows.select(*keys, *columns), "groups"), keys, [*(order or []), item], rank="_place", total="_size"
+    )
     element = F.struct(*columns) if len(columns) > 1 else F.col(item)
-    # input already partitioned by some of the keys must not keep a hot group together
-    return placed.repartition(*keys, part).groupBy(*keys, part).agg(
-        # a small group is whole in its only row; for a large one the size is in every row
-        F.coalesce(F.max("_size"), F.count("*")).alias(total),
-        F.array_sort(F.collect_list(element)).alias(into),
+    packed = placed.groupBy(*keys, F.expr(f"_place DIV {per_row}").alias(part)).agg(
+        F.max("_size").alias(total), F.array_sort(F.collect_list(F.struct("_place", element.alias("e")))).alias(into)
     )
+    return packed.withColumn(into, F.transform(into, lambda x: x["e"]))
 
 
 def joined_groups(
@@ -77,7 +55,7 @@ def joined_groups(
     into: str = "items",
     **options,
 ) -> DataFrame:
-    """Distinct items of each group, sorted and joined to text; see ``pack_groups`` for large groups."""
+    """Distinct items of each group, sorted and joined to text, ``per_row`` to an output row; see ``pack_groups``."""
     packed = pack_groups(rows, keys, item, into=into, **options)
     return packed.withColumn(into, F.array_join(into, sep))
 

@@ -7,7 +7,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from metacurate.operators.checkpoints import stored
 from metacurate.operators.groups import joined_groups, pack_groups
 from metacurate.operators.joins import keep_matching
 from metacurate.presets import COMMON_PREFIX
@@ -66,13 +65,8 @@ def vocabulary_union(lists: DataFrame, column: str = "column") -> DataFrame:
 
 
 def vocabulary_lines(union: DataFrame, column: str = "column", per_row: int = 1000) -> DataFrame:
-    """First-seen-order value lists, ``(column, part, n, values)``; long lists take several rows.
-
-    The union is stored first: sizing the lists and collecting them both read it.
-    """
-    packed = pack_groups(
-        stored(union), [column], "value", order=["list_pos", "value_pos"], into="items", per_row=per_row
-    )
+    """First-seen-order value lists, ``(column, part, n, values)``; long lists take several rows, in order of ``part``."""
+    packed = pack_groups(union, [column], "value", order=["list_pos", "value_pos"], into="items", per_row=per_row)
     return packed.select(column, "part", "n", F.transform("items", lambda i: i["value"]).alias("values"))
 
 

@@ -116,7 +116,7 @@ def error_lines(
 ) -> DataFrame:
     """Affected ids per group and message, sorted and joined, with the full count ``n``.
 
-    Messages with more than ``per_row`` ids take several rows.
+    Messages with more than ``per_row`` ids take several rows, which in order of ``part`` are the sorted list.
     """
     packed = joined_groups(rows, [group, *MESSAGE], "id", sep=", ", into="ids", per_row=per_row)
     return message_parts(packed, full_message)
@@ -141,21 +141,17 @@ def _under_headers(
     return out.select(*headers.columns, *REPORT)
 
 
-def group_error_report(
+def group_error_lines(
     log: DataFrame,
     members: DataFrame,
-    headers: DataFrame,
-    include_all: bool = False,
     include_ungrouped: bool = False,
     per_row: int = DEFAULT_PER_ROW,
     full_message: bool = False,
     **options,
 ) -> DataFrame:
-    """Error report by group: header fields, message, affected ids.
+    """Messages and affected ids by group; those of records without a group under a NULL group if asked for.
 
-    ``members`` is ``(group_id, id)``, ``headers`` has ``group_id`` and display
-    fields. Groups without errors appear only with ``include_all``; records
-    without a group only with ``include_ungrouped``, under a NULL group.
+    ``members`` is ``(group_id, id)``.
     """
     messages = log_messages(log, full_message=full_message, **options)
     rows = affected(messages, members, "group_id")
@@ -164,7 +160,26 @@ def group_error_report(
             F.lit(None).cast("string").alias("group_id"), *MESSAGE, "id"
         )
         rows = rows.unionByName(loose)
-    lines = error_lines(rows, "group_id", per_row, full_message)
+    return error_lines(rows, "group_id", per_row, full_message)
+
+
+def group_error_report(
+    log: DataFrame,
+    members: DataFrame,
+    headers: DataFrame,
+    include_all: bool = False,
+    include_ungrouped: bool = False,
+    per_row: int = DEFAULT_PER_ROW,
+    full_message: bool = False,
+    **options,
+) -> DataFrame:
+    """Error report by group: header fields, message, affected ids.
+
+    ``members`` is ``(group_id, id)``, ``headers`` has ``group_id`` and display
+    fields. Groups without errors appear only with ``include_all``; records
+    without a group only with ``include_ungrouped``, under a NULL group.
+    """
+    lines = group_error_lines(log, members, include_ungrouped, per_row, full_message, **options)
     return _under_headers(headers, lines, "group_id", include_all, include_ungrouped)
 
 
@@ -192,6 +207,22 @@ def dataset_experiments(datasets: DataFrame) -> DataFrame:
     )
 
 
+def dataset_error_lines(
+    log: DataFrame,
+    members: DataFrame,
+    headers: DataFrame,
+    per_row: int = DEFAULT_PER_ROW,
+    full_message: bool = False,
+    **options,
+) -> DataFrame:
+    """Messages and affected ids of the datasets that ``headers`` holds; ``members`` is ``(dataset, id)``."""
+    options.setdefault("strip_dates", False)
+    options.setdefault("noise", [])
+    messages = log_messages(log, full_message=full_message, **options)
+    reported = keep_matching(members, headers, "dataset")
+    return error_lines(affected(messages, reported, "dataset"), "dataset", per_row, full_message)
+
+
 def dataset_error_report(
     log: DataFrame,
     members: DataFrame,
@@ -205,11 +236,7 @@ def dataset_error_report(
 
     ``members`` is ``(dataset, id)``; ``headers`` holds the datasets to report on.
     """
-    options.setdefault("strip_dates", False)
-    options.setdefault("noise", [])
-    messages = log_messages(log, full_message=full_message, **options)
-    reported = keep_matching(members, headers, "dataset")
-    lines = error_lines(affected(messages, reported, "dataset"), "dataset", per_row, full_message)
+    lines = dataset_error_lines(log, members, headers, per_row, full_message, **options)
     return _under_headers(headers, lines, "dataset", include_all)
 
 

@@ -8,10 +8,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from metacurate.functions.text import words_from_camel
+from metacurate.operators.checkpoints import stored
+from metacurate.operators.joins import keep_matching
 from metacurate.presets import COVERAGE_STATUSES, SECTIONS
 
 
@@ -72,32 +74,60 @@ def write_candidates(candidates: DataFrame, path: str, mode: str = "errorifexist
     candidates.select(F.concat_ws("\t", "sample", "field").alias("value")).write.mode(mode).text(path)
 
 
-def report_text(report: DataFrame, header: Sequence[tuple[str, str]], group: str, records: str) -> DataFrame:
-    """Report rows as text blocks ``(group, …, value)``: titled header lines, message, affected records."""
-    titled = [F.concat(F.lit(f"{title}: "), F.col(c).cast("string")) for title, c in header]
-    message = F.when(
-        F.col("severity").isNotNull(),
-        F.concat_ws(
-            "\n",
-            F.format_string("List of fields that are in %s: %s", "severity", "field"),
-            F.format_string("Summary of %s: %s", "severity", "detail"),
-            F.concat(F.lit(f"Affected {records} records: "), F.col("ids")),
-        ),
-    )
-    return report.select(
-        group, "severity", "msg", "part", F.concat_ws("\n", *titled, message).alias("value")
+def report_lines(
+    headers: DataFrame,
+    lines: DataFrame,
+    titles: Sequence[tuple[str, str]],
+    group: str,
+    records: str,
+    include_all: bool = False,
+) -> DataFrame:
+    """A report as text, ``(group, section, severity, msg, part, value)``, which sorted by these columns is the page.
+
+    Each group has its header once (``titles`` are title and column; a NULL
+    column has no line), then its messages, each behind an empty line, then four
+    empty lines. ``lines`` is ``(group, severity, msg, field, detail, part,
+    ids)``: a message starts with part 0, and the further parts of its ids
+    continue the list, each on a line of its own that starts with the comma.
+
+    Groups of either side that the other does not have are left out, except for
+    headers if ``include_all`` and for lines of no group at all, which come
+    first and have no header.
+    """
+    place = [group, "section", "severity", "msg", "part"]
+    header = F.concat_ws("\n", *[F.concat(F.lit(f"{title}: "), F.col(f"`{c}`").cast("string")) for title, c in titles])
+    begun = F.format_string(
+        f"\nList of fields that are in %s: %s\nSummary of %s: %s\nAffected {records} records: %s",
+        *[F.coalesce(c, F.lit("")) for c in ("severity", "field", "severity", "detail", "ids")],
     )
+    text = F.when(F.col("part") == 0, begun).otherwise(F.concat(F.lit(", "), "ids"))
+    shown = headers if include_all else keep_matching(headers, lines, group)
+    known = keep_matching(lines, headers, group).unionByName(lines.where(F.col(group).isNull()))
+
+    def frame(section: int, value: Column) -> DataFrame:
+        none = F.lit(None).cast("string")
+        return shown.select(
+            group, F.lit(section).alias("section"), none.alias("severity"), none.alias("msg"),
+            F.lit(None).cast("bigint").alias("part"), value.alias("value"),
+        )
+
+    body = known.select(group, F.lit(1).alias("section"), "severity", "msg", "part", text.alias("value"))
+    return frame(0, header).unionByName(body).unionByName(frame(2, F.lit("\n\n\n"))).select(*place, "value")
 
 
 def write_report(
-    report: DataFrame, header: Sequence[tuple[str, str]], group: str, records: str, path: str,
+    headers: DataFrame,
+    lines: DataFrame,
+    titles: Sequence[tuple[str, str]],
+    group: str,
+    records: str,
+    path: str,
+    include_all: bool = False,
     mode: str = "errorifexists",
 ) -> None:
-    """Error report as text, in group and message order."""
-    blocks = report_text(report, header, group, records)
-    ordered(blocks, group, "severity", "msg", "part").select(
-        F.concat("value", F.lit("\n")).alias("value")
-    ).write.mode(mode).text(path)
+    """The report of ``report_lines`` as text files, in order of group, message and id. The lines are computed once."""
+    page = report_lines(headers, stored(lines, "report_lines"), titles, group, records, include_all)
+    ordered(page, group, "section", "severity", "msg", "part").select("value").write.mode(mode).text(path)
 
 
 def write_rule_entries(entries: DataFrame, path: str, mode: str = "errorifexists") -> None:

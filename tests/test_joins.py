@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 from conftest import rows
 from metacurate.operators import joins as j
 from metacurate.operators.lookups import lookup_with_fallback
-from metacurate.plans.reports import not_imported_errors
+from metacurate.plans.reports import group_error_report, not_imported_errors
 
 
 def test_semi_and_anti_joins(spark):
@@ -68,12 +68,34 @@ def test_a_hot_key_is_split(skewed, how):
     assert split_joins(df) == 1
 
 
-def test_a_hot_dataset_is_split(skewed):
-    log = skewed.select(
+def _log(skewed):
+    return skewed.select(
         F.col("v").alias("id"), F.col("k").alias("dataset"), F.lit("error").alias("overall"),
         F.lit("(ERROR)f:x").alias("detail"),
     )
+
+
+def test_a_hot_dataset_is_spread(spark, skewed):
     imported = skewed.where("k <> 'hot' and v < 'v5'").select(F.col("k").alias("dataset"))
-    report = not_imported_errors(log, imported, per_row=500)
+    report = not_imported_errors(_log(skewed), imported, per_row=500)
+    hot = report.where("dataset = 'hot'").select(F.spark_partition_id().alias("p"), F.size(F.split("ids", ", ")).alias("n"))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", False)  # the rows are few
+    try:
+        tasks = rows(hot.groupBy("p").agg(F.sum("n")))
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert sum(n for _, n in tasks) == 20000
+    assert len(tasks) > 3
+
+
+@pytest.mark.parametrize(("include_all", "include_ungrouped"), [(False, False), (True, False), (True, True)])
+def test_a_hot_group_under_its_header_is_split(skewed, include_all, include_ungrouped):
+    members = skewed.where("v < 'v8'").select(F.col("k").alias("group_id"), F.col("v").alias("id"))
+    headers = members.select("group_id").distinct().withColumn("name", F.concat(F.lit("group "), "group_id"))
+    report = group_error_report(
+        _log(skewed), members, headers, include_all=include_all, include_ungrouped=include_ungrouped, per_row=1
+    )
     assert split_joins(report) >= 1
-    assert report.where("dataset = 'hot'").agg(F.sum(F.size(F.split("ids", ", ")))).first()[0] == 20000
+    known = members.where("group_id = 'hot'").count()
+    assert report.where("group_id = 'hot' AND name = 'group hot'").count() == known
+    assert report.where("group_id IS NULL").count() == (60000 - members.count() if include_ungrouped else 0)

@@ -65,17 +65,17 @@ def test_payload_and_candidate_files(spark, tmp_path):
 
 
 def test_report_file_is_sorted(spark, tmp_path):
-    report = spark.createDataFrame(
-        [(g, "t", "error", m, m.split(":")[0], m.split(":")[1], 1, 0, "A") for g in ("G2", "G1") for m in ("b:x", "a:y")],
-        "group_id string, name string, severity string, msg string, field string, detail string, n int, part int, "
-        "ids string",
+    found = spark.createDataFrame(
+        [(g, "error", m, m.split(":")[0], m.split(":")[1], p, f"A{p}") for g in ("G2", "G1") for m in ("b:x", "a:y") for p in (1, 0)],
+        "group_id string, severity string, msg string, field string, detail string, part bigint, ids string",
     )
-    w.write_report(report.repartition(3), [("Group", "group_id")], "group_id", "sample", str(tmp_path / "r"))
-    heads = [x for x in lines(tmp_path / "r") if x.startswith(("Group", "List"))]
-    assert heads == [
-        "Group: G1", "List of fields that are in error: a", "Group: G1", "List of fields that are in error: b",
-        "Group: G2", "List of fields that are in error: a", "Group: G2", "List of fields that are in error: b",
-    ]
+    headers = spark.createDataFrame([("G1",), ("G2",), ("G3",)], "group_id string")
+    w.write_report(headers, found.repartition(3), [("Group", "group_id")], "group_id", "sample", str(tmp_path / "r"))
+    block = [
+        "", "List of fields that are in error: a", "Summary of error: y", "Affected sample records: A0", ", A1",
+        "", "List of fields that are in error: b", "Summary of error: x", "Affected sample records: A0", ", A1",
+    ]
+    assert lines(tmp_path / "r") == ["Group: G1", *block, *[""] * 4, "Group: G2", *block, *[""] * 4]
 
 
 def test_rule_and_vocabulary_files(spark, tmp_path):

@@ -1,9 +1,9 @@
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import rows
+from conftest import rows, values
 from metacurate.plans import reports as rp
-from metacurate.sinks.writers import report_text
+from metacurate.sinks.writers import report_lines
 
 LOG = [
     ("A", "organism", "error",
@@ -114,16 +114,38 @@ def test_ids_are_sorted_and_split(spark):
     assert row["n"] == 50 and row["ids"] == ", ".join(f"i{i:02d}" for i in range(50))
     parts = rp.group_error_report(log, members, headers, per_row=10).collect()
     assert len(parts) == 5 and {p["n"] for p in parts} == {50}
-    assert sorted(i for p in parts for i in p["ids"].split(", ")) == [f"i{i:02d}" for i in range(50)]
+    parts.sort(key=lambda p: p["part"])
+    assert [i for p in parts for i in p["ids"].split(", ")] == [f"i{i:02d}" for i in range(50)]
 
 
-def test_report_text(log, groups):
-    report = rp.group_error_report(log, *groups).where(f"group_id = 'G2'")
-    (row,) = report_text(report, [("Group id", "group_id"), ("Title", "name")], "group_id", "sample").collect()
-    assert row["value"].split("\n") == [
-        "Group id: G2", "Title: two", f"List of fields that are in error: {AGE}",
-        "Summary of error: no text provided", "Affected sample records: C",
+def page(headers, lines, **options):
+    found = report_lines(headers, lines, [("Group id", "group_id"), ("Title", "name")], "group_id", "sample", **options)
+    return values(found.orderBy("group_id", "section", "severity", "msg", "part").select("value"))
+
+
+def test_report_lines(log, groups):
+    members, headers = groups
+    lines = rp.group_error_lines(log, members)
+    assert "\n".join(page(headers.where("group_id = 'G2'"), lines)).split("\n") == [
+        "Group id: G2", "Title: two", "", f"List of fields that are in error: {AGE}",
+        "Summary of error: no text provided", "Affected sample records: C", "", "", "", "",
     ]
+    heads = [v for v in page(headers, lines) if v.startswith("Group id")]
+    assert [h.split("\n")[0] for h in heads] == ["Group id: G1", "Group id: G2"]  # once, however many messages
+    every = [v.split("\n")[0] for v in page(headers, lines, include_all=True) if v.startswith("Group id")]
+    assert every == ["Group id: G1", "Group id: G2", "Group id: G3"]
+    loose = page(headers, rp.group_error_lines(log, members, include_ungrouped=True))
+    assert loose[0].endswith("records: D")  # no group, no header
+
+
+def test_a_long_list_of_ids_is_continued(spark):
+    headers = spark.createDataFrame([("G", None)], "group_id string, name string")
+    rows_ = [("G", "error", "f:x", f"i{i}") for i in range(5)]
+    lines = rp.error_lines(spark.createDataFrame(rows_, "group_id string, severity string, msg string, id string"), "group_id", per_row=2)
+    text = page(headers, lines)
+    assert text[0] == "Group id: G"  # no line for a header that is NULL
+    assert "".join(text[1:4]).split("\n")[-1] == "Affected sample records: i0, i1, i2, i3, i4"
+    assert text[2:4] == [", i2, i3", ", i4"]
 
 
 @pytest.fixture
