@@ -19,7 +19,7 @@ from metacurate.functions.messages import (
 from metacurate.functions.values import joined_text
 from metacurate.operators.checkpoints import stored
 from metacurate.operators.groups import DEFAULT_PER_ROW, joined_groups
-from metacurate.operators.joins import drop_matching, keep_matching
+from metacurate.operators.joins import drop_matching, join_unique, keep_matching
 from metacurate.presets import CANDIDATE_PATTERNS, NOISE_MESSAGES
 
 MESSAGE = ["severity", "msg"]
@@ -132,7 +132,7 @@ def _under_headers(
     """
     if all_headers or all_lines:
         lines = stored(lines, "report_lines")
-    parts = [headers.join(lines, on)]
+    parts = [join_unique(lines, headers, on)]
     if all_headers:
         parts.append(drop_matching(headers, lines, on))
     if all_lines:

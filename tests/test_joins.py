@@ -30,6 +30,7 @@ SKEW = {
     "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "10KB",
     "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "10KB",
+    "spark.sql.adaptive.coalescePartitions.enabled": "false",  # the rows are few
 }
 
 
@@ -75,15 +76,11 @@ def _log(skewed):
     )
 
 
-def test_a_hot_dataset_is_spread(spark, skewed):
+def test_a_hot_dataset_is_spread(skewed):
     imported = skewed.where("k <> 'hot' and v < 'v5'").select(F.col("k").alias("dataset"))
     report = not_imported_errors(_log(skewed), imported, per_row=500)
     hot = report.where("dataset = 'hot'").select(F.spark_partition_id().alias("p"), F.size(F.split("ids", ", ")).alias("n"))
-    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", False)  # the rows are few
-    try:
-        tasks = rows(hot.groupBy("p").agg(F.sum("n")))
-    finally:
-        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    tasks = rows(hot.groupBy("p").agg(F.sum("n")))
     assert sum(n for _, n in tasks) == 20000
     assert len(tasks) > 3
 
