@@ -238,6 +238,43 @@ def schema_vocabularies(spark: SparkSession, sf: str) -> DataFrame:
     return found.select("tag", F.array_join("allowed", "|").alias("allowed"), "use")
 
 
+@query(
+    "source_nested_schemas",
+    """
+    WITH c AS (SELECT p_brand, p_type, string_agg(DISTINCT p_name, '|' ORDER BY p_name) AS names FROM part GROUP BY ALL),
+    s AS (SELECT p_brand, p_type, string_agg(DISTINCT lpad(CAST(p_size AS VARCHAR), 3, '0'), '|'
+                 ORDER BY lpad(CAST(p_size AS VARCHAR), 3, '0')) AS sizes FROM part GROUP BY ALL)
+    SELECT p_brand || '>' || p_type AS owners, names AS allowed, 'choice' AS form FROM c
+    UNION ALL
+    SELECT p_brand || '>' || p_type || '>size', sizes, 'enumeration' FROM s
+    """,
+)
+def nested_schemas(spark: SparkSession, sf: str) -> DataFrame:
+    """Elements inside elements: each type of a brand is a choice of names beside an enumeration of sizes."""
+    part = table(spark, sf, "part")
+    size = F.lpad(F.col("p_size").cast("string"), 3, "0")
+    element, value = F.format_string('<xs:element name="%s"/>', "p_name"), F.format_string('<xs:enumeration value="%s"/>', size)
+    types = part.groupBy("p_brand", "p_type").agg(
+        F.array_join(F.array_sort(F.collect_set(element)), "").alias("names"), F.array_join(F.array_sort(F.collect_set(value)), "").alias("sizes")
+    )
+    inner = F.format_string(
+        '<xs:element name="%s"><xs:complexType><xs:sequence><xs:choice>%s</xs:choice><xs:element name="size"><xs:simpleType>'
+        '<xs:restriction base="xs:string">%s</xs:restriction></xs:simpleType></xs:element></xs:sequence></xs:complexType></xs:element>',
+        "p_type", "names", "sizes",
+    )
+    brands = types.groupBy("p_brand").agg(F.array_join(F.array_sort(F.collect_list(inner)), "").alias("types"))
+    document = F.format_string(
+        '<?xml version="1.0"?><xs:schema><xs:complexType name="%s"><xs:sequence>%s</xs:sequence></xs:complexType></xs:schema>', "p_brand", "types"
+    )
+    path = new_folder(spark, "schemas")
+    brands.select(document.alias("value"), F.col("p_brand").alias("document")).write.partitionBy("document").text(path)
+    lists = readers.read_schema_lists(spark, path)
+    form = F.when(F.size("owners") == 2, "choice").otherwise("enumeration")
+    return lists.select(
+        F.array_join("owners.name", ">").alias("owners"), F.array_join("allowed", "|").alias("allowed"), form.alias("form")
+    )
+
+
 @query(
     "sink_rule_entries",
     """

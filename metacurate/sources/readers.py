@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from metacurate.functions.text import lower_camel
+from metacurate.operators.checkpoints import stored
 from metacurate.presets import FIELD_ALIASES
 from metacurate.sources import schemas
 
@@ -159,64 +160,93 @@ def read_table(spark: SparkSession, path: str, columns: Sequence[str] | None = N
     return df.select(*columns) if columns else df
 
 
-_ENUMERATION = "struct<`xs:enumeration`:array<struct<_value:string>>>"
-_RESTRICTED = f"struct<`xs:restriction`:{_ENUMERATION}>"
-_NAMED = "array<struct<_name:string>>"
-_CHOICE = f"struct<`xs:element`:{_NAMED}>"
+# put in front of attribute values, which a variant would else turn into numbers and truth values
+_MARK = "\ue000"
+_ATTRIBUTE = r"""(\s[\w:.-]+\s*=\s*["'])"""
+_PROLOGUE = r"^\s*<\?xml[^>]*\?>"
+_OWNER = "struct<name:string,use:string,depth:int>"
 
 
-def read_schema_vocabularies(spark: SparkSession, path, prefix: str = "xs") -> DataFrame:
-    """Allowed values kept in XML schema documents, ``(file, tag, allowed, use)``.
+def read_xml_documents(spark: SparkSession, path) -> DataFrame:
+    """XML documents as ``(file, doc)``, one variant each; attributes are texts that start with a mark (see ``unmarked``).
 
-    Covers named simple types, enumerations written inside an attribute or
-    element, and choices of elements inside a named type or an element. The
-    declared array schema makes a single value and many values alike. A row tag
-    nested in a row of the same tag is not seen, so every form is read by the tag
-    that encloses it.
+    A document is one value, so its size is bounded by a row's; documents are read in parallel.
     """
+    text = F.regexp_replace(F.regexp_replace("value", _PROLOGUE, ""), _ATTRIBUTE, f"$1{_MARK}")
+    file = F.element_at(F.split(F.col("_metadata.file_path"), "/"), -1)
+    return spark.read.text(path, wholetext=True).select(file.alias("file"), F.from_xml(text, "variant").alias("doc"))
 
-    def rows(tag: str, schema: str) -> DataFrame:
-        schema = schema.replace("xs:", f"{prefix}:")
-        reader = spark.read.format("xml").option("rowTag", f"{prefix}:{tag}").schema(schema)
-        file = F.element_at(F.split(F.col("_metadata.file_path"), "/"), -1)
-        return reader.load(path).withColumn("file", file)
-
-    def values(*steps: str):
-        node = F.col(steps[0].replace("xs:", f"{prefix}:"))
-        for step in steps[1:]:
-            node = node[step.replace("xs:", f"{prefix}:")]
-        return node
-
-    def pick(df: DataFrame, allowed, use=None) -> DataFrame:
-        out = df.select(
-            "file",
-            F.col("_name").alias("tag"),
-            allowed.alias("allowed"),
-            (use if use is not None else F.lit(None).cast("string")).alias("use"),
-        )
-        return out.where(F.col("tag").isNotNull() & (F.size("allowed") > 0))
 
-    simple = rows("simpleType", f"_name string, `xs:restriction` {_ENUMERATION}")
-    attribute = rows("attribute", f"_name string, _use string, `xs:simpleType` {_RESTRICTED}")
-    element = rows(
-        "element",
-        f"_name string, `xs:simpleType` {_RESTRICTED}, `xs:complexType` struct<`xs:choice`:{_CHOICE}>",
+def unmarked(value: Column) -> Column:
+    """An attribute's text as written."""
+    return F.replace(value, F.lit(_MARK), F.lit(""))
+
+
+def one_or_many(node: Column) -> Column:
+    """The values of a variant that holds one value or an array of them."""
+    return F.coalesce(F.try_variant_get(node, "$", "array<variant>"), F.array(node))
+
+
+def _attribute(node: Column, name: str) -> Column:
+    return unmarked(F.try_variant_get(node, f"$._{name}", "string"))
+
+
+def read_schema_lists(spark: SparkSession, path, prefix: str = "xs") -> DataFrame:
+    """All enumerations and choices of XML schema documents, ``(file, owners, place, allowed)``.
+
+    ``owners`` are the named nodes around a list, outermost first, ``(name, use,
+    depth)``; ``place`` the positions that lead to it. Documents are scanned once
+    and descended level by level: the children of a level's nodes are the next
+    level, stored, so each node is looked at once at any depth.
+    """
+    named = F.struct(
+        _attribute(F.col("node"), "name").alias("name"), _attribute(F.col("node"), "use").alias("use"), F.size("place").alias("depth")
+    ).cast(_OWNER)
+    owners = F.when(named["name"].isNotNull(), F.array_append("owners", named)).otherwise(F.col("owners"))
+
+    def with_owners(nodes: DataFrame) -> DataFrame:
+        return stored(nodes.withColumn("owners", owners), "xml_nodes")
+
+    documents = read_xml_documents(spark, path)
+    level = with_owners(
+        documents.select(
+            "file", F.lit("").alias("kind"), F.array().cast("array<int>").alias("place"), F.array().cast(f"array<{_OWNER}>").alias("owners"),
+            F.col("doc").alias("node"),
+        )
     )
-    complex_type = rows("complexType", f"_name string, `xs:choice` {_CHOICE}")
-    inline = values("xs:simpleType", "xs:restriction", "xs:enumeration")["_value"]
-    parts = [
-        pick(simple, values("xs:restriction", "xs:enumeration")["_value"]),
-        pick(attribute, inline, F.col("_use")),
-        pick(
-            element,
-            F.coalesce(inline, values("xs:complexType", "xs:choice", "xs:element")["_name"]),
-        ),
-        pick(complex_type, values("xs:choice", "xs:element")["_name"]),
-    ]
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out
+
+    def listed(tag: str, attribute: str) -> Column:
+        values = one_or_many(F.try_variant_get("node", f'$["{prefix}:{tag}"]', "variant"))
+        return F.filter(F.transform(values, lambda v: _attribute(v, attribute)), lambda v: v.isNotNull())
+
+    # a choice lists its elements, any other node its enumerated values
+    allowed = F.when(F.col("kind") == f"{prefix}:choice", listed("element", "name")).otherwise(listed("enumeration", "value"))
+    found = None
+    while not level.isEmpty():
+        lists = level.select("file", "owners", "place", allowed.alias("allowed")).where(F.size("allowed") > 0)
+        found = lists if found is None else found.unionByName(lists)
+        children = level.lateralJoin(spark.tvf.variant_explode(F.col("node").outer())).where(~F.col("key").startswith("_"))
+        items = children.select("file", F.col("key").alias("kind"), "place", "owners", "pos", F.posexplode(one_or_many(F.col("value"))).alias("i", "node"))
+        nested = items.where(F.schema_of_variant("node").startswith("OBJECT"))
+        level = with_owners(nested.select("file", "kind", F.concat("place", F.array("pos", "i")).alias("place"), "owners", "node"))
+    return found if found is not None else level.select("file", "owners", "place", F.array().cast("array<string>").alias("allowed"))
+
+
+def read_schema_vocabularies(spark: SparkSession, path, prefix: str = "xs", inherit: bool = False) -> DataFrame:
+    """Allowed values kept in XML schema documents, ``(file, tag, allowed, use)``, one row a file and name.
+
+    Covers enumerations and choices of elements at any depth, below named simple
+    and complex types, elements and attributes. A list belongs to the nearest
+    named node around it; with ``inherit`` also to those further out, which then
+    have the nearest of the lists inside them. If a file uses a name for several
+    nodes with a list, the outermost one counts, and the first of equally deep ones.
+    """
+    lists = read_schema_lists(spark, path, prefix)
+    chosen = F.col("owners") if inherit else F.slice("owners", -1, 1)
+    owned = lists.where(F.size("owners") > 0).select("file", "place", "allowed", F.explode(chosen).alias("owner"))
+    first = F.struct(F.col("owner.depth").alias("depth"), F.size("place").alias("below"), "place")
+    value = F.min_by(F.struct("allowed", F.col("owner.use").alias("use")), first).alias("v")
+    return owned.groupBy("file", F.col("owner.name").alias("tag")).agg(value).select("file", "tag", "v.allowed", "v.use")
 
 
 def field_status(use: Column) -> Column:

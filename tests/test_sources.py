@@ -180,6 +180,48 @@ def test_schema_vocabularies(spark, put):
     assert rows(status) == [("filetype", "optional")]
 
 
+NESTED = """<xs:schema xmlns:xs="http://www.w3.org/2001/XMLSchema">
+  <xs:element name="OUTER"><xs:complexType><xs:sequence>
+    <xs:element name="MIDDLE"><xs:complexType><xs:sequence><xs:element name="INNER">
+      <xs:simpleType><xs:restriction base="xs:string"><xs:enumeration value="003"/><xs:enumeration value='true'/><xs:enumeration value="1.0"/>
+      </xs:restriction></xs:simpleType>
+    </xs:element></xs:sequence></xs:complexType></xs:element>
+    <xs:element name="KIND"><xs:complexType><xs:choice>
+      <xs:element name="ONE"/><xs:element name="TWO"><xs:complexType><xs:attribute name="level" use="optional">
+        <xs:simpleType><xs:restriction base="xs:string"><xs:enumeration value="a &lt; b"/></xs:restriction></xs:simpleType>
+      </xs:attribute></xs:complexType></xs:element>
+    </xs:choice></xs:complexType></xs:element>
+  </xs:sequence></xs:complexType></xs:element>
+  <xs:simpleType name="level"><xs:restriction base="xs:string"><xs:enumeration value="top"/></xs:restriction></xs:simpleType>
+  <xs:simpleType name="free"><xs:restriction base="xs:string"/></xs:simpleType>
+</xs:schema>
+"""
+
+
+def test_nested_schema_vocabularies(spark, put):
+    path = put("n.xsd", NESTED)
+    own = [
+        ("n.xsd", "INNER", ["003", "true", "1.0"], None),  # as written
+        ("n.xsd", "KIND", ["ONE", "TWO"], None),
+        ("n.xsd", "level", ["top"], None),  # the outer node of that name
+    ]
+    assert rows(r.read_schema_vocabularies(spark, path)) == own
+    deep = rows(r.read_schema_lists(spark, path).select("owners.name", "allowed"))
+    assert (["OUTER", "KIND", "TWO", "level"], ["a < b"]) in deep
+    got = dict(rows(r.read_schema_vocabularies(spark, path, inherit=True), "tag", "allowed"))
+    assert got["OUTER"] == ["ONE", "TWO"]  # the nearest list inside
+    assert got["MIDDLE"] == ["003", "true", "1.0"] and got["TWO"] == ["a < b"]
+
+
+def test_each_schema_document_is_scanned_once(spark, put, monkeypatch):
+    reads = []
+    original = r.read_xml_documents
+    monkeypatch.setattr(r, "read_xml_documents", lambda *a: reads.append(1) or original(*a))
+    found = r.read_schema_vocabularies(spark, put("n.xsd", NESTED))
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert reads == [1] and "FileScan text" not in plan and "FileScan xml" not in plan
+
+
 def test_table(spark, tmp_path):
     spark.createDataFrame([(1, 2)], "a int, b int").write.parquet(str(tmp_path / "t"))
     assert r.read_table(spark, str(tmp_path / "t"), ["b"]).columns == ["b"]
