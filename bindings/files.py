@@ -5,17 +5,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from bindings.audits import _COVERAGE, _profile, _rules
 from bindings.curation import _documents, _worklist
 from bindings.logs import _GROUPED, _dataset_members, _event_log, _item_log, _members, _order_log
 from bindings.registry import query, table
 from bindings.selection import _SELECTED, manifest
+from metacurate.functions.text import words_from_camel
 from metacurate.functions.values import at_path
 from metacurate.operators.checkpoints import new_folder
 from metacurate.operators.curation import curation_payload, remove_field
-from metacurate.operators.entities import group_headers
+from metacurate.operators.entities import group_headers, group_members
+from metacurate.operators.lookups import lookup_with_fallback
 from metacurate.operators.ranks import ranked
 from metacurate.operators.vocabulary import rule_entries
 from metacurate.plans.reports import curation_candidates, dataset_error_lines, dataset_headers, group_error_lines, unmet
+from metacurate.plans.coverage import coverage_audit
 from metacurate.presets import MANIFEST_COLUMNS
 from metacurate.sinks import writers
 from metacurate.sources import readers
@@ -275,6 +279,196 @@ def nested_schemas(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def _ruleset_file(df: DataFrame, section: str, label: str) -> str:
+    """A rule document of ``(section, material, name, mandatory)`` rows, sections and rules in order of their names."""
+    rule = F.struct("name", "mandatory")
+    groups = df.groupBy(section, "material").agg(F.array_sort(F.collect_list(rule)).alias("rules"))
+    condition = F.struct(F.struct(F.when(F.col("material").isNotNull(), F.array("material", F.lit("other"))).alias("Material")).alias("attribute_value_match"))
+    group = F.struct(F.col(section).alias("name"), condition.alias("condition"), "rules")
+    path = new_folder(df.sparkSession, label)
+    groups.agg(F.array_sort(F.collect_list(group)).alias("rule_groups")).select(F.to_json(F.struct("rule_groups")).alias("value")).write.text(path)
+    return path
+
+
+@query(
+    "source_ruleset",
+    """
+    WITH g AS (SELECT p_brand, CASE WHEN p_brand < 'Brand#2' THEN min(p_type) END AS material,
+                      row_number() OVER (ORDER BY p_brand) - 1 AS section_pos FROM part GROUP BY p_brand),
+    r AS (SELECT p_brand, p_name, CASE WHEN max(p_size) > 25 THEN 'mandatory' ELSE 'optional' END AS status FROM part GROUP BY ALL),
+    n AS (SELECT *, row_number() OVER (PARTITION BY p_brand ORDER BY p_name) - 1 AS rule_pos, string_split(p_name, ' ') AS w FROM r)
+    SELECT coalesce(material, p_brand) AS section,
+           CASE WHEN p_name = 'red widget' THEN 'description' ELSE w[1] || upper(w[2][1]) || w[2][2:] END AS field,
+           status, CAST(section_pos AS INTEGER) AS section_pos, CAST(rule_pos AS INTEGER) AS rule_pos
+    FROM n JOIN g USING (p_brand)
+    """,
+)
+def ruleset(spark: SparkSession, sf: str) -> DataFrame:
+    """Rule groups of brands, some with a condition that names the section."""
+    part = table(spark, sf, "part")
+    first = part.groupBy("p_brand").agg(F.min("p_type").alias("material"))
+    rules = part.groupBy("p_brand", F.col("p_name").alias("name")).agg(
+        F.when(F.max("p_size") > 25, "mandatory").otherwise("optional").alias("mandatory")
+    )
+    named = rules.join(first, "p_brand").withColumn("material", F.when(F.col("p_brand") < "Brand#2", F.col("material")))
+    return readers.read_ruleset(spark, _ruleset_file(named, "p_brand", "ruleset"), aliases={"redWidget": "description"})
+
+
+@query(
+    "sink_coverage",
+    f"""
+    WITH {_COVERAGE},
+    d AS (SELECT section, status, field, total, n, p, CASE WHEN total > 0 THEN n / total END AS r, CASE WHEN total > 0 THEN p / total END AS q,
+                 list_position(['standard', 'organism', 'specimen from organism', 'pool of specimens', 'cell specimen', 'cell culture', 'cell line'],
+                               section) AS s FROM c),
+    a AS (SELECT section, status, r, q, s + 3 AS s FROM d WHERE total > 0
+          UNION ALL
+          SELECT CASE WHEN s <= 2 THEN 'animal' ELSE 'specimen' END, status, r, q, CASE WHEN s <= 2 THEN 2 ELSE 3 END FROM d WHERE total > 0
+          UNION ALL SELECT 'overall', status, r, q, 1 FROM d WHERE total > 0)
+    SELECT 'detail' AS block, row_number() OVER (ORDER BY s, status DESC) - 1 AS place, section, status,
+           CASE field WHEN 'birthDate' THEN 'birth date' ELSE field END AS field, CAST(total AS BIGINT) AS total, CAST(n AS BIGINT) AS "count",
+           round(r, 6) AS excluding, CAST(p AS BIGINT) AS present, round(q, 6) AS including
+    FROM d
+    UNION ALL
+    SELECT 'averages', row_number() OVER (ORDER BY s, status DESC) - 1, section, status, NULL, NULL, NULL, round(avg(r), 6), NULL, round(avg(q), 6)
+    FROM a GROUP BY section, status, s
+    """,
+)
+def coverage_file(spark: SparkSession, sf: str) -> DataFrame:
+    """From a rule document over the documents to the lines of the written report, in order."""
+    organism = F.col("section") == "organism"
+    # one section is named by its condition, and one field is written under its other name
+    rules = _rules(spark).select(
+        F.when(organism, "animal").otherwise(F.col("section")).alias("section"), F.when(organism, F.col("section")).alias("material"),
+        F.when(F.col("field") == "description", "Sample Description").otherwise(words_from_camel(F.col("field"))).alias("name"),
+        F.col("status").alias("mandatory"),
+    )
+    read = readers.read_ruleset(spark, _ruleset_file(rules, "section", "rules"))
+    report = coverage_audit(_profile(spark, sf), read)
+    path = new_folder(spark, "coverage")
+    writers.write_coverage(report.detail, report.averages, path)
+    head = "section string, status string"
+
+    def block(name: str, columns: str, *picked) -> DataFrame:
+        lines = spark.read.schema(f"{head}, {columns}").option("sep", "\t").option("header", True).option("nullValue", "NA").csv(f"{path}/{name}")
+        at = lines.withColumns({"_file": F.input_file_name(), "_start": F.input_file_block_start(), "_line": F.monotonically_increasing_id()})
+        placed = ranked(at, [], ["_file", "_start", "_line"], rank="place")
+        return placed.select(F.lit(name).alias("block"), "place", "section", "status", *picked)
+
+    detail = block(
+        "detail", "field string, total bigint, count bigint, excluding double, present bigint, including double",
+        "field", "total", "count", F.round("excluding", 6).alias("excluding"), "present", F.round("including", 6).alias("including"),
+    )
+    averages = block(
+        "averages", "excluding double, including double", F.round("excluding", 6).alias("excluding"), F.round("including", 6).alias("including")
+    )
+    return detail.unionByName(averages, allowMissingColumns=True)
+
+
+@query(
+    "source_lookups",
+    """
+    SELECT o_orderkey, CASE WHEN o_orderpriority = '1-URGENT' THEN 'manual ' || o_orderkey
+                            WHEN o_orderstatus <> 'F' THEN 'auto ' || o_orderkey
+                            WHEN o_orderpriority = '2-HIGH' THEN 'late ' || o_orderkey END AS control
+    FROM orders
+    """,
+)
+def lookup_files(spark: SparkSession, sf: str) -> DataFrame:
+    """Three ordered files: the first has empty values, which count as absent, and a key may be in several."""
+    orders = table(spark, sf, "orders")
+    key = F.col("o_orderkey").cast("string")
+
+    def written(name: str, condition: str, empty: str = "false") -> str:
+        path = new_folder(spark, name)
+        value = F.when(F.expr(empty), "").otherwise(F.concat(F.lit(f"{name} "), key))
+        orders.where(condition).select(key.alias("key"), value.alias("value")).write.json(path)
+        return path
+
+    paths = [
+        written("manual", "o_orderpriority IN ('1-URGENT', '2-HIGH')", "o_orderpriority = '2-HIGH'"),
+        written("auto", "o_orderstatus <> 'F'"),
+        written("late", "o_orderpriority = '2-HIGH'"),
+    ]
+    lookups = readers.read_lookups(spark, paths, layout="lines")
+    found = lookup_with_fallback(orders.withColumn("key", key), lookups, "key", "control")
+    return found.select("o_orderkey", "control")
+
+
+@query(
+    "source_groups",
+    """
+    SELECT 'G' || c_nationkey AS group_id, n_name AS name, n_name || ' desk, ' || n_name AS contacts,
+           CASE WHEN n_regionkey <> 1 THEN lower(n_name) || '@lab.org' END AS emails, 'Lab' AS organizations, 'C' || c_custkey AS id
+    FROM customer JOIN nation ON c_nationkey = n_nationkey
+    """,
+)
+def group_records(spark: SparkSession, sf: str) -> DataFrame:
+    """Group records, written with their members and read again."""
+    nation = table(spark, sf, "nation")
+    group = F.concat(F.lit("G"), F.col("c_nationkey").cast("string"))
+
+    def relation(kind: str, source):
+        target = F.concat(F.lit("C"), F.col("c_custkey").cast("string"))
+        return F.struct(F.lit(kind).alias("type"), source.alias("source"), target.alias("target"))
+
+    members = table(spark, sf, "customer").select("c_nationkey", F.explode(F.array(
+        relation("has member", group), relation("has member", group), relation("derived from", group), relation("has member", F.lit("X")),
+    )).alias("r"))
+    listed = members.groupBy("c_nationkey").agg(F.collect_list("r").alias("relationships"))
+    mail = F.when(F.col("n_regionkey") != 1, F.concat(F.lower("n_name"), F.lit("@lab.org")))
+    contacts = F.array(
+        F.struct(F.concat("n_name", F.lit(" desk")).alias("Name"), mail.alias("E-mail")),
+        F.struct(F.col("n_name").alias("Name"), F.lit(None).cast("string").alias("E-mail")),
+    )
+    lab = F.struct(F.lit("Lab").alias("Name"))
+    path = new_folder(spark, "groups")
+    nation.join(listed, F.col("c_nationkey") == F.col("n_nationkey")).select(
+        F.concat(F.lit("G"), F.col("n_nationkey").cast("string")).alias("accession"), F.col("n_name").alias("name"),
+        contacts.alias("contact"), F.array(lab, lab).alias("organization"), "relationships",
+    ).write.json(path)
+    records = readers.read_groups(spark, path)
+    headers = group_headers(records).select("group_id", "name", "contacts", "emails", "organizations")
+    return headers.join(group_members(records), "group_id")
+
+
+@query(
+    "sink_ruleset_fields",
+    """
+    SELECT 'column ' || p_type AS name, 'sheet of ' || p_type AS expected_sheet, 'text' AS type,
+           string_agg(DISTINCT p_name, '|' ORDER BY p_name) AS valid_values, CASE WHEN p_type < 'M' THEN 'optional' END AS mandatory
+    FROM part GROUP BY p_type
+    """,
+)
+def ruleset_of_lists(spark: SparkSession, sf: str) -> DataFrame:
+    """A field list joined to the allowed values of a schema, written as rule-set entries and read again."""
+    part = table(spark, sf, "part")
+    types = part.groupBy("p_type").agg(F.array_sort(F.collect_set("p_name")).alias("names"))
+    listed = types.select(
+        F.explode(F.array(
+            F.concat_ws("\t", F.lit("#comment"), "p_type"),
+            F.concat_ws("\t", F.concat(F.lit("column "), "p_type"), F.concat(F.lit("sheet of "), "p_type"), F.lit("own.xsd"), "p_type"),
+            F.lit(""),
+        )).alias("value")
+    )
+    fields, schema = new_folder(spark, "field-list"), new_folder(spark, "schema")
+    listed.write.text(fields)
+    values = F.array_join(F.transform("names", lambda n: F.format_string('<xs:enumeration value="%s"/>', n)), "")
+    attribute = F.format_string(
+        '<xs:attribute name="%s" use="%s"><xs:simpleType><xs:restriction base="xs:string">%s</xs:restriction></xs:simpleType></xs:attribute>',
+        "p_type", F.when(F.col("p_type") < "M", "optional").otherwise("required"), values,
+    )
+    document = F.format_string("<xs:schema><xs:complexType>%s</xs:complexType></xs:schema>", F.array_join(F.collect_list(attribute), ""))
+    types.agg(document.alias("value")).write.text(schema)
+    allowed = readers.read_schema_vocabularies(spark, schema).select(
+        F.col("tag").alias("element"), "allowed", readers.field_status(F.col("use")).alias("mandatory")
+    )
+    path = new_folder(spark, "ruleset-fields")
+    writers.write_rule_entries(writers.ruleset_fields(readers.read_field_list(spark, fields).join(allowed, "element")), path)
+    read = spark.read.schema("name string, expected_sheet string, type string, valid_values array<string>, mandatory string").json(path)
+    return read.withColumn("valid_values", F.array_join("valid_values", "|"))
+
+
 @query(
     "sink_rule_entries",
     """

@@ -203,21 +203,17 @@ def gap_counts(targets: DataFrame, counts: DataFrame) -> DataFrame:
     )
 
 
-def rule_lists(rules: DataFrame, sections: Sequence[str]) -> DataFrame:
-    """The distinct field names of each section, ``(section, fields)``."""
-    wanted = rules.where(F.col("section").isin(list(sections)) & F.col("field").isNotNull())
-    return wanted.groupBy("section").agg(F.array_sort(F.collect_set("field")).alias("fields"))
+def missing_fields(docs: DataFrame, rules: DataFrame, sections: Sequence[str]) -> DataFrame:
+    """Documents ``(id, doc)`` lacking a top-level field that a section's rules name, one row ``(section, field, id)`` each.
 
-
-def missing_fields(docs: DataFrame, lists: DataFrame) -> DataFrame:
-    """Documents ``(id, doc)`` lacking a listed top-level field, one row ``(section, field, id)`` each.
-
-    ``lists`` is ``(section, fields)`` of ``rule_lists``, of any size. It is one value
-    (a scalar subquery) next to each document, so the documents are not shuffled.
+    The distinct ``(section, field)`` of the rules are joined to the documents
+    by section; the optimizer sends the smaller side, as a rule the rules.
     """
+    fields = rules.where(F.col("section").isin(list(sections)) & F.col("field").isNotNull()).select("section", "field").distinct()
     present = F.map_keys(F.map_filter(as_object(F.col("doc")), lambda _, v: is_present(v)))
-    every = lists.agg(F.collect_list(F.struct("section", "fields")).alias("lists")).scalar()
-    held = docs.select("id", F.coalesce(present, F.array().cast("array<string>")).alias("held"), every.alias("lists"))
-    return held.select("id", "held", F.inline("lists")).select(
-        "section", F.explode(F.array_except("fields", "held")).alias("field"), "id"
-    )
+    held = docs.select(
+        "id", F.coalesce(present, F.array().cast("array<string>")).alias("held"),
+        F.explode(F.array(*[F.lit(s) for s in sections])).alias("section"),
+    )
+    lacking = (held["section"] == fields["section"]) & ~F.array_contains(held["held"], fields["field"])
+    return held.join(fields, lacking).select(fields["section"], fields["field"], "id")

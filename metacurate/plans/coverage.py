@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from metacurate import presets
@@ -33,6 +33,32 @@ def document_profile(
     return stored(ops.field_counts(fields, empty_values))
 
 
+PROFILE = "scope string, container string, field string, material string, n bigint, n_meaningful bigint, n_present bigint"
+
+
+def add_to_profile(path: str, batch: str, organisms: DataFrame, specimens: DataFrame, **options) -> None:
+    """Count a batch of new documents, and only those, into the profile kept under ``path``.
+
+    A batch's counters are a folder of their own: counting a batch again, after
+    a failure or with corrected documents, replaces what it counted before.
+    Options are those of ``document_profile``.
+    """
+    if not batch or "/" in batch or "=" in batch:
+        raise ValueError(f"not a batch name: {batch!r}")
+    counters = document_profile(organisms, specimens, **options)
+    counters.write.mode("overwrite").parquet(f"{path.rstrip('/')}/batch={batch}")
+
+
+def merged_profile(spark: SparkSession, path: str) -> DataFrame:
+    """The profile of all documents counted so far, as ``document_profile`` of all of them would give.
+
+    Counters add up, so the work depends on field names and batches, not on documents.
+    """
+    batches = spark.read.schema(f"{PROFILE}, batch string").parquet(path)
+    sums = [F.sum(c).alias(c) for c in ("n", "n_meaningful", "n_present")]
+    return batches.groupBy("scope", "container", "field", "material").agg(*sums)
+
+
 class CoverageReport(NamedTuple):
     detail: DataFrame
     averages: DataFrame
@@ -64,5 +90,4 @@ def missing_documents(
 ) -> DataFrame:
     """Organism documents that lack a mandatory field, ``(section, field, id)``."""
     wanted = rules.where(F.col("status") == presets.MANDATORY_STATUS)
-    lists = ops.rule_lists(wanted, ["standard", organism_scope])
-    return ops.missing_fields(ops.prepare_documents(organisms, organism_scope), lists)
+    return ops.missing_fields(ops.prepare_documents(organisms, organism_scope), wanted, ["standard", organism_scope])

@@ -22,8 +22,10 @@ def ordered(df: DataFrame, *columns: str) -> DataFrame:
     return df.orderBy(*columns)
 
 
-def _position(column: str, values: Sequence[str]):
-    return F.array_position(F.array(*[F.lit(v) for v in values]), F.col(column))
+def _position(column: str, values: Sequence[str]) -> Column:
+    """Place in the list; values that are not in it come behind."""
+    place = F.array_position(F.array(*[F.lit(v) for v in values]), F.col(column))
+    return F.when(place > 0, place).otherwise(len(values) + 1)
 
 
 def write_manifest(manifest: DataFrame, path: str, delimiter: str = ",", mode: str = "errorifexists") -> None:
@@ -34,14 +36,23 @@ def write_manifest(manifest: DataFrame, path: str, delimiter: str = ",", mode: s
     manifest.select(*cells).write.mode(mode).options(**options).csv(path)
 
 
-def write_coverage(detail: DataFrame, averages: DataFrame, path: str, mode: str = "errorifexists") -> None:
-    """Coverage report: ``detail`` and ``averages`` as tab-separated files, ratios NA where undefined."""
+def write_coverage(
+    detail: DataFrame,
+    averages: DataFrame,
+    path: str,
+    sections: Sequence[str] = SECTIONS,
+    statuses: Sequence[str] = COVERAGE_STATUSES,
+    mode: str = "errorifexists",
+) -> None:
+    """Coverage report: ``detail`` and ``averages`` as tab-separated files, ratios NA where undefined.
+
+    Rows come in order of ``sections``, ``statuses`` and the rules; sections and
+    statuses that these lists do not name follow behind by name.
+    """
     na = F.lit("NA")
-    rows = detail.withColumn("_s", _position("section", SECTIONS)).withColumn(
-        "_t", _position("status", COVERAGE_STATUSES)
-    )
-    # sections and statuses outside the report order are not part of the report
-    rows = ordered(rows.where((F.col("_s") > 0) & (F.col("_t") > 0)), "_s", "_t", "section_pos", "rule_pos")
+    options = {"header": True, "sep": "\t"}
+    rows = detail.withColumns({"_s": _position("section", sections), "_t": _position("status", statuses)})
+    rows = ordered(rows, "_s", "section", "_t", "status", "section_pos", "rule_pos")
     rows.select(
         F.col("section").alias("Section"),
         F.col("status").alias("Status"),
@@ -51,17 +62,15 @@ def write_coverage(detail: DataFrame, averages: DataFrame, path: str, mode: str
         F.coalesce(F.col("ratio").cast("string"), na).alias("Percentage"),
         F.col("present").alias("Count including not provided"),
         F.coalesce(F.col("present_ratio").cast("string"), na).alias("Percentage including"),
-    ).write.mode(mode).option("header", True).option("sep", "\t").csv(f"{path}/detail")
-    order = ["overall", "animal", "specimen", *SECTIONS]
-    means = averages.withColumn("_s", _position("section", order)).withColumn(
-        "_t", _position("status", COVERAGE_STATUSES)
-    )
-    ordered(means.where((F.col("_s") > 0) & (F.col("_t") > 0)), "_s", "_t").select(
+    ).write.mode(mode).options(**options).csv(f"{path}/detail")
+    order = ["overall", "animal", "specimen", *sections]
+    means = averages.withColumns({"_s": _position("section", order), "_t": _position("status", statuses)})
+    ordered(means, "_s", "section", "_t", "status").select(
         F.col("section").alias("Section"),
         F.col("status").alias("Status"),
         F.col("excluding").alias("Excluding"),
         F.col("including").alias("Including"),
-    ).write.mode(mode).option("header", True).option("sep", "\t").csv(f"{path}/averages")
+    ).write.mode(mode).options(**options).csv(f"{path}/averages")
 
 
 def write_payloads(payloads: DataFrame, path: str, mode: str = "errorifexists") -> None:

@@ -1,4 +1,9 @@
-"""Pending-only processing: what the ledger holds is not delivered again."""
+"""Pending-only processing: what was delivered before is not delivered again.
+
+``deliver`` compares a table of seeds with a ledger table. ``deliver_stream``
+reads only the files that are new since the last run and keeps the delivered
+keys as state of a streaming query.
+"""
 
 from __future__ import annotations
 
@@ -7,6 +12,7 @@ from collections.abc import Callable
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from metacurate.operators.joins import drop_matching
 from metacurate.sources.schemas import LEDGER
@@ -46,3 +52,41 @@ def deliver(
     done = written.select(F.col(key).cast("string").alias("seed_id")).distinct()
     done.withColumn("completed_at", F.current_timestamp()).write.mode("append").parquet(ledger_path)
     return written
+
+
+def read_seed_stream(spark: SparkSession, path: str, schema: str, file_format: str = "parquet", **options) -> DataFrame:
+    """Seeds of a growing folder, as a stream that gives each file once."""
+    return spark.readStream.schema(schema).format(file_format).options(**options).load(path)
+
+
+def deliver_stream(
+    seeds: DataFrame, key: str, path: str, checkpoint: str, file_format: str = "parquet", **options
+) -> StreamingQuery:
+    """Deliver the seeds that arrived since the last run with this checkpoint, each key once; returns the finished query.
+
+    The ledger is the query's state, the keys delivered so far, partitioned by
+    key and updated with each batch, so a run reads its new seeds and not what
+    was delivered. Of rows that share a key in one run any one is delivered;
+    seeds without a key are left out. The files of a batch are published under
+    its number: a run that stopped after writing them, but before the
+    checkpoint noted so, repeats the batch without delivering anything twice.
+    Read the result with Spark from ``path``, which ignores unpublished files.
+
+    ``path`` and ``checkpoint`` belong together and have to be on shared
+    storage. The number of partitions of the state is that of the first run.
+    """
+    pending = seeds.where(F.col(key).isNotNull()).dropDuplicates([key])
+    query = (
+        pending.writeStream.format(file_format)
+        .options(**options)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start(path)
+    )
+    query.awaitTermination()
+    return query
+
+
+def delivered_rows(query: StreamingQuery) -> int:
+    """Number of keys that a finished run delivered."""
+    return sum(op["numRowsUpdated"] for p in query.recentProgress for op in p["stateOperators"])

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from conftest import rows
 from metacurate.functions.text import lower_camel
 from metacurate.operators import coverage as ops
-from metacurate.plans.coverage import coverage_audit, document_profile, gap_audit, missing_documents
+from metacurate.plans.coverage import add_to_profile, coverage_audit, document_profile, gap_audit, merged_profile, missing_documents
 from metacurate.sources.readers import read_hits, read_ruleset
 
 RULES = {
@@ -63,8 +63,13 @@ def organisms(spark, put):
 
 
 @pytest.fixture
-def profile(spark, put, organisms):
-    return document_profile(organisms, read_hits(spark, put("specimens.json", page(SPECIMENS))))
+def specimens(spark, put):
+    return read_hits(spark, put("specimens.json", page(SPECIMENS)))
+
+
+@pytest.fixture
+def profile(organisms, specimens):
+    return document_profile(organisms, specimens)
 
 
 def test_rules(rules):
@@ -113,6 +118,20 @@ def test_gaps(rules, profile):
     }
 
 
+def test_batches_of_documents_add_up(spark, organisms, specimens, profile, tmp_path):
+    path = str(tmp_path / "profile")
+    first = F.col("_id").isin("o1", "o2", "s1")
+    add_to_profile(path, "1", organisms.where(first), specimens.where(first))
+    assert rows(merged_profile(spark, path)) != rows(profile)
+    add_to_profile(path, "2", organisms, specimens)  # wrong documents
+    add_to_profile(path, "2", organisms.where(~first), specimens.where(~first))
+    assert rows(merged_profile(spark, path), *profile.columns) == rows(profile)
+    add_to_profile(path, "3", organisms.where("false"), specimens.where("false"))
+    assert rows(merged_profile(spark, path), *profile.columns) == rows(profile)
+    with pytest.raises(ValueError, match="batch name"):
+        add_to_profile(path, "a/b", organisms, specimens)
+
+
 def test_missing_documents(rules, organisms):
     got = rows(missing_documents(organisms, rules))
     assert got == [("organism", "sex", "o2"), ("organism", "sex", "o3"), ("organism", "sex", "o4")]

@@ -9,7 +9,7 @@ from conftest import rows, values
 from metacurate.operators.checkpoints import stored
 from metacurate.plans.url_audit import column_values, invalid_urls, url_audit, url_summary, url_values
 from metacurate.sinks import writers as w
-from metacurate.streaming.ledger import deliver, pending_only, read_ledger
+from metacurate.streaming.ledger import deliver, deliver_stream, delivered_rows, pending_only, read_ledger, read_seed_stream
 
 
 def lines(path):
@@ -50,10 +50,18 @@ def test_coverage_files(spark, tmp_path):
         "standard\toptional\ta\t4\t2\t0.5\t2\t0.5",
         "standard\toptional\tb\t0\t0\tNA\t0\tNA",
         "cell line\toptional\tnumber of passages\t4\t1\t0.25\t3\t0.75",
+        "unlisted\toptional\td\t4\t2\t0.5\t2\t0.5",  # behind those in the list
     ]
     assert [x for x in lines(tmp_path / "c" / "averages") if not x.startswith("Section")] == [
         "overall\trecommended\t0.5\t0.5", "overall\toptional\t0.4\t0.6", "standard\toptional\t0.5\t0.5",
     ]
+    w.write_coverage(detail, averages, str(tmp_path / "o"), sections=["cell line"], statuses=["optional"])
+    assert [x.split("\t")[0] for x in lines(tmp_path / "o" / "detail") if not x.startswith("Section")] == [
+        "cell line", "standard", "standard", "standard", "unlisted",
+    ]
+    assert [x.split("\t")[:2] for x in lines(tmp_path / "o" / "averages") if not x.startswith("Section")] == [
+        ["overall", "optional"], ["overall", "recommended"], ["standard", "optional"],
+    ]
 
 
 def test_payload_and_candidate_files(spark, tmp_path):
@@ -123,6 +131,47 @@ def test_a_failed_delivery_leaves_the_seeds_pending(spark, tmp_path):
     assert rows(pending_only(seeds, read_ledger(spark, ledger), "id")) == [("a",)]
 
 
+@pytest.fixture
+def stream(spark, tmp_path):
+    schema, seeds, out, state = "id string, v int", tmp_path / "seeds", str(tmp_path / "out"), str(tmp_path / "state")
+
+    def arrive(*rows_):
+        spark.createDataFrame(list(rows_), schema).coalesce(1).write.mode("append").parquet(str(seeds))
+
+    def run():
+        return delivered_rows(deliver_stream(read_seed_stream(spark, str(seeds), schema), "id", out, state))
+
+    return arrive, run, lambda: rows(spark.read.parquet(out)), tmp_path / "state"
+
+
+def test_a_stream_delivers_each_key_once(stream):
+    arrive, run, delivered, _ = stream
+    arrive(("a", 1), ("b", 2), (None, 9))
+    assert run() == 2
+    assert run() == 0  # nothing new
+    arrive(("b", 3), ("c", 4), ("c", 4))
+    arrive(("a", 5), ("d", 6))
+    assert run() == 2
+    assert delivered() == [("a", 1), ("b", 2), ("c", 4), ("d", 6)]
+
+
+def test_a_repeated_batch_delivers_nothing_twice(stream):
+    arrive, run, delivered, state = stream
+    arrive(("a", 1))
+    run()
+    arrive(("b", 2))
+    run()
+    before = delivered()
+    last = max((state / "commits").glob("[0-9]*"), key=lambda p: int(p.name))
+    last.unlink()  # as if the run had stopped before it noted the batch
+    (last.parent / f".{last.name}.crc").unlink(missing_ok=True)
+    run()
+    assert delivered() == before == [("a", 1), ("b", 2)]
+    arrive(("b", 3), ("c", 3))
+    run()
+    assert delivered() == [("a", 1), ("b", 2), ("c", 3)]
+
+
 DOCS = [
     {"id": "1", "standardMet": "core", "a b": {"x-y": {"url": "http://ok.com"}}, "p": "nope"},
     {"id": "2", "standardMet": "core", "a b": {"x-y": {"url": "not a url"}}, "p": 5},
