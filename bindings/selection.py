@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from bindings.registry import query, table
+from metacurate.operators.checkpoints import new_folder
 from metacurate.operators.conditions import (
     attribute_conditions,
     exclude_columns,
@@ -27,6 +28,7 @@ from metacurate.plans.manifest import (
     registration_manifest,
     select_runs,
 )
+from metacurate.sinks.writers import write_attributes
 from metacurate.streaming.ledger import pending_only
 
 
@@ -69,6 +71,31 @@ def attribute_pivot(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@query(
+    "attribute_table",
+    """
+    SELECT c_custkey, CASE WHEN c_acctbal > 5000 THEN 'high' END AS tier, CAST(c_nationkey AS VARCHAR) AS nation
+    FROM customer
+    WHERE c_mktsegment IN ('BUILDING', 'MACHINERY') AND NOT c_acctbal < 0
+    """,
+)
+def attribute_table(spark: SparkSession, sf: str) -> DataFrame:
+    """Conditions over attributes that were written as a table sorted by their folded names."""
+    customer = table(spark, sf, "customer")
+    tier = F.when(F.col("c_acctbal") > 5000, "high").when(F.col("c_acctbal") < 0, "debt")
+    columns = {"Segment": F.col("c_mktsegment"), "Tier": tier, "NATION": F.col("c_nationkey"), "title": F.col("c_name")}
+    path = new_folder(spark, "attributes")
+    write_attributes(unpivot_columns(customer, "c_custkey", columns), path, key="c_custkey")
+    return attribute_conditions(
+        customer.select("c_custkey"),
+        spark.read.parquet(path),
+        "c_custkey",
+        require={"segment": ["BUILDING", "MACHINERY"]},
+        exclude={"tier": "debt"},
+        output=["tier", "nation"],
+    )
+
+
 @query(
     "field_projection",
     """

@@ -7,10 +7,11 @@ from pyspark.sql import functions as F
 
 from bindings.registry import query, settings, table
 from metacurate.operators.entities import unpivot_columns
-from metacurate.operators.hierarchy import expand, is_mandatory, path_labels
+from metacurate.operators.hierarchy import expand, is_mandatory, path_dictionary, path_labels
 from metacurate.operators.vocabulary import (
     allowed_for,
     conformance,
+    offender_samples,
     rule_entries,
     type_names,
     vocabulary_lines,
@@ -50,6 +51,29 @@ def vocabulary_conformance(spark: SparkSession, sf: str) -> DataFrame:
     return conformance(values, terms)
 
 
+@query(
+    "offender_samples",
+    """
+    WITH v AS (
+      SELECT 'p_type' AS c, p_type AS value, p_partkey AS id FROM part WHERE p_type NOT IN ('STANDARD', 'PROMO', 'LARGE', 'SMALL')
+      UNION ALL
+      SELECT 'o_orderpriority', o_orderpriority, o_orderkey FROM orders WHERE o_orderpriority NOT IN ('1-URGENT', '2-HIGH', '3-MEDIUM')),
+    k AS (SELECT *, count(*) OVER (PARTITION BY c, value) AS n,
+                 row_number() OVER (PARTITION BY c, value ORDER BY md5(CAST(id AS VARCHAR))) AS place FROM v)
+    SELECT c AS "column", value, n, string_agg(CAST(id AS VARCHAR), ', ' ORDER BY place) AS ids FROM k WHERE place <= 5 GROUP BY ALL
+    """,
+)
+def samples_of_offenders(spark: SparkSession, sf: str) -> DataFrame:
+    allowed = settings(spark, "file tag allowed", _ALLOWED)
+    terms = vocabulary_terms(allowed, ["tag"]).withColumnRenamed("tag", "column")
+    parts = unpivot_columns(table(spark, sf, "part"), "p_partkey", ["p_type", "p_name"])
+    orders = unpivot_columns(table(spark, sf, "orders"), "o_orderkey", ["o_orderpriority"])
+    values = parts.select(F.col("name").alias("column"), "value", F.col("p_partkey").alias("id")).unionByName(
+        orders.select(F.col("name").alias("column"), "value", F.col("o_orderkey").alias("id"))
+    )
+    return offender_samples(values, terms, k=5).withColumn("ids", F.array_join(F.col("ids").cast("array<string>"), ", "))
+
+
 @query(
     "allowed_lookup",
     """
@@ -209,6 +233,34 @@ def hierarchy_paths(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@query(
+    "path_dictionary",
+    """
+    WITH RECURSIVE e AS (
+      SELECT '' AS parent, r_name AS name, 'R' || r_regionkey AS type FROM region
+      UNION ALL SELECT 'R' || n_regionkey, n_name, 'N' || n_nationkey FROM nation
+      UNION ALL SELECT 'N' || c_nationkey, c_name, c_mktsegment FROM customer
+      UNION ALL SELECT DISTINCT c_mktsegment, 'back ' || c_mktsegment, 'R0' FROM customer),
+    t AS (SELECT DISTINCT parent, type FROM e),
+    p AS (
+      SELECT type, [] :: VARCHAR[] AS path FROM t WHERE parent = ''
+      UNION
+      SELECT t.type, list_append(p.path, p.type) FROM p JOIN t ON t.parent = p.type WHERE NOT list_contains(p.path, p.type)),
+    -- paths that some node hangs from
+    d AS (SELECT DISTINCT list_append(p.path, p.type) AS path FROM p JOIN t ON t.parent = p.type WHERE NOT list_contains(p.path, p.type)),
+    u AS (SELECT type, name FROM e WHERE parent = '' UNION SELECT e.type, e.name FROM e JOIN p ON p.type = e.parent WHERE NOT list_contains(p.path, p.type))
+    SELECT md5(CAST(to_json(path) AS VARCHAR)) AS path_id, md5(CAST(to_json(path[:-2]) AS VARCHAR)) AS parent_id, path[-1] AS type,
+           CAST(len(path) AS INTEGER) AS depth, CAST(count(DISTINCT name) AS BIGINT) AS n_names, min(name) AS first_name
+    FROM d LEFT JOIN u ON u.type = path[-1] GROUP BY path
+    """,
+)
+def dictionary_of_paths(spark: SparkSession, sf: str) -> DataFrame:
+    """Paths in long form, with the names of their last type joined and counted."""
+    paths, names = path_dictionary(expand(_edges(spark, sf)))
+    used = names.groupBy("file", "type").agg(F.count("*").alias("n_names"), F.min("name").alias("first_name"))
+    return paths.join(used, ["file", "type"]).drop("file")
+
+
 @query(
     "hierarchy_labels",
     """

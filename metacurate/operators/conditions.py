@@ -67,6 +67,14 @@ def output_columns(df: DataFrame, names: Sequence[str]) -> DataFrame:
 # --- named attributes in long form: (key, pos, name, value), first occurrence counts ---
 
 
+NAME_KEY = "name_key"
+
+
+def folded_name(attributes: DataFrame) -> Column:
+    """Attribute names in lower case: the column that ``write_attributes`` adds, which reaches the scan, else computed."""
+    return F.col(NAME_KEY) if NAME_KEY in attributes.columns else F.lower("name")
+
+
 def first_attributes(attributes: DataFrame, key: str, names: Sequence[str]) -> DataFrame:
     """First value per entity and attribute, one column per requested name.
 
@@ -74,11 +82,9 @@ def first_attributes(attributes: DataFrame, key: str, names: Sequence[str]) -> D
     entity lacks the attribute, so that a present NULL value stays apart. The
     aggregate combines on the map side, however many rows one entity has.
     """
-    wanted = [n.lower() for n in names]
-    rows = attributes.where(F.lower("name").isin(wanted))
-    firsts = [
-        F.min(F.when(F.lower("name") == n.lower(), F.struct("pos", "value"))).alias(n) for n in names
-    ]
+    wanted, folded = [n.lower() for n in names], folded_name(attributes)
+    rows = attributes.where(folded.isin(wanted))
+    firsts = [F.min(F.when(folded == n.lower(), F.struct("pos", "value"))).alias(n) for n in names]
     return rows.groupBy(key).agg(*firsts)
 
 

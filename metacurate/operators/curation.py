@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from metacurate.functions.values import merged_value, truthy
+from metacurate.operators.joins import join_unique, keep_matching
 from metacurate.presets import PARENT_RELATION
 
 ATTRIBUTE = "struct<type:string,value:string,iri:array<string>,unit:string>"
@@ -54,10 +55,12 @@ def characteristic_rows(samples: DataFrame) -> DataFrame:
 def worklist_values(worklist: DataFrame, samples: DataFrame) -> DataFrame:
     """Merged current value of each listed field; a field the sample lacks gives nothing.
 
-    Joined on sample and field, so only the listed fields travel and a sample
-    listed for many fields is spread.
+    Fields that the list does not name for any sample are dropped beside the
+    scan; what is left is joined on sample and field, so that a sample listed for
+    many fields is spread.
     """
-    rows = worklist.select("sample", "field").join(characteristic_rows(samples), ["sample", "field"])
+    named = keep_matching(characteristic_rows(samples), worklist, "field")
+    rows = worklist.select("sample", "field").join(named, ["sample", "field"])
     return rows.select("sample", "field", merged_value(F.col("instances")).alias("m"))
 
 
@@ -90,7 +93,8 @@ def replace_term(
     """Replace the terms by the one mapped from the text.
 
     Returns the change records and the ``(sample, field, text)`` rows without a
-    mapping. ``term_map`` is a dict or a table ``(text, iri)``.
+    mapping. ``term_map`` is a dict or a table ``(text, iri)``; of a text that it
+    repeats the smallest term counts.
     """
     values = worklist_values(worklist, samples)
     if isinstance(term_map, Mapping):
@@ -98,8 +102,8 @@ def replace_term(
         mapping = F.create_map(*pairs) if pairs else F.lit(None).cast("map<string,string>")
         mapped = values.withColumn("_iri", F.try_element_at(mapping, F.col("m.text")))
     else:
-        terms = term_map.select(F.col("text").alias("_text"), F.col("iri").alias("_iri"))
-        mapped = values.join(terms, F.col("m.text") == F.col("_text"), "left").drop("_text")
+        terms = term_map.groupBy(F.col("text").alias("_text")).agg(F.min("iri").alias("_iri"))
+        mapped = join_unique(values.withColumn("_text", F.col("m.text")), terms, "_text", "left").drop("_text")
     field, m = F.col("field"), F.col("m")
     old_terms = F.coalesce(m["iri"], F.array().cast(_NO_TERMS))
     records = _records(

@@ -58,14 +58,3 @@ def joined_groups(
     """Distinct items of each group, sorted and joined to text, ``per_row`` to an output row; see ``pack_groups``."""
     packed = pack_groups(rows, keys, item, into=into, **options)
     return packed.withColumn(into, F.array_join(into, sep))
-
-
-def single_text(
-    rows: DataFrame, keys: Sequence[str], item: str, sep: str, into: str, limit: int = 10_000
-) -> DataFrame:
-    """One joined text per group, for labels. A group of more than ``limit`` items is an error."""
-    packed = joined_groups(rows, keys, item, sep, into=into, per_row=limit)
-    fits = F.when(F.col("n") <= limit, F.col(into)).otherwise(
-        F.raise_error(F.concat(F.lit(f"more than {limit} items to join: "), F.col("n").cast("string"))).cast("string")
-    )
-    return packed.select(*keys, fits.alias(into))

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+from typing import NamedTuple
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from metacurate.operators.checkpoints import stored
-from metacurate.operators.groups import single_text
 from metacurate.operators.joins import join_unique
 
 INLINE = "inline type"
@@ -69,17 +70,50 @@ def expand(edges: DataFrame, root: str = "") -> DataFrame:
     return out.select(*columns, "path", "depth")
 
 
+class PathDictionary(NamedTuple):
+    paths: DataFrame
+    names: DataFrame
+
+
+def path_id(path: Column) -> Column:
+    """Id of a path, the same wherever it is computed."""
+    return F.md5(F.to_json(path).cast("binary"))
+
+
+def path_dictionary(nodes: DataFrame) -> PathDictionary:
+    """The paths of expanded nodes in long form, in place of a text for each.
+
+    ``paths`` is ``(file, path_id, parent_id, type, depth)``: a path is the path
+    of its parent and one more type; the empty path has no row and is the parent
+    of those of one type. ``names`` is ``(file, type, name)``, the names that use
+    each type on a path, so the label of a path at any depth and with any number
+    of names is read by following ``parent_id`` and joining the names. Nodes find
+    their path by ``path_id(path)``.
+    """
+    distinct = nodes.select("file", "path").distinct().where(F.size("path") > 0)
+    steps = F.transform(
+        F.sequence(F.lit(1), F.size("path")),
+        lambda i: F.struct(
+            path_id(F.slice("path", 1, i)).alias("path_id"), path_id(F.slice("path", 1, i - 1)).alias("parent_id"),
+            F.get("path", i - 1).alias("type"), i.alias("depth"),
+        ),
+    )
+    paths = distinct.select("file", F.inline(steps)).distinct()
+    uses = nodes.select("file", "type", "name").distinct()
+    # only types on a path need names; a basic type may be used by any number of nodes
+    return PathDictionary(paths, join_unique(uses, paths.select("file", "type").distinct(), ["file", "type"], "left_semi"))
+
+
 def path_labels(nodes: DataFrame, sep: str = "::") -> DataFrame:
     """Add ``label``: the path with every type replaced by the ``|``-joined names that use it.
 
-    Works on the distinct paths, which siblings share.
+    A label is one text for display, in each node's row; where types have more
+    names than a text should hold, ``path_dictionary`` has them as rows. Works on
+    the distinct paths, which siblings share.
     """
     steps = nodes.select("file", "path").distinct()
     exploded = steps.select("file", "path", F.posexplode("path").alias("pos", "type"))
-    # only types on a path need names; a basic type may be used by any number of nodes
-    uses = nodes.select("file", "type", "name").distinct()
-    entered = join_unique(uses, exploded.select("file", "type").distinct(), ["file", "type"], "left_semi")
-    names = single_text(entered, ["file", "type"], "name", "|", "names")
+    names = path_dictionary(nodes).names.groupBy("file", "type").agg(F.array_join(F.array_sort(F.collect_set("name")), "|").alias("names"))
     named = join_unique(exploded, names, ["file", "type"], "left").select(
         "file", "path", F.struct("pos", F.coalesce("names", "type").alias("text")).alias("step")
     )

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType
 
 from metacurate.operators.groups import joined_groups, pack_groups
 from metacurate.operators.joins import keep_matching
@@ -18,8 +19,10 @@ def allowed_for(
     """Add the allowed values of each ``(file, name, type)`` node: by type, else by name.
 
     A type with the shared prefix is looked up without it in the shared file, and
-    so is its name. ``allowed`` is ``(file, tag, allowed)`` with unique tags.
+    so is its name. ``allowed`` is ``(file, tag, allowed)``; of a tag that a file
+    repeats the smallest list counts.
     """
+    allowed = allowed.groupBy("file", "tag").agg(F.min("allowed").alias("allowed"))
     shared = F.coalesce(F.col("type").startswith(prefix), F.lit(False))
     keyed = nodes.withColumns(
         {
@@ -54,6 +57,28 @@ def conformance(values: DataFrame, terms: DataFrame, column: str = "column") ->
     return governed.join(terms.select(column, "value"), [column, "value"], "left_anti")
 
 
+def offender_samples(
+    values: DataFrame, terms: DataFrame, k: int = 10, column: str = "column", key: str = "id"
+) -> DataFrame:
+    """Values outside their column's vocabulary, ``(column, value, n, ids)``: occurrences and ``k`` of the records.
+
+    ``values`` is ``(column, value, id)`` rows. The sample of a value is the
+    records with the smallest hash (MD5) of their id: every record has the same
+    chance, equal data give equal samples, and the smallest of parts are merged.
+    So each task passes on at most ``k`` records of a value before anything is
+    shuffled, however many there are; a record counts once in the sample.
+    """
+    given = values.where(F.col("value").isNotNull() & F.col(key).isNotNull())
+    hashed = given.select(column, "value", F.col(key).alias("_id"), F.md5(F.col(key).cast("string").cast("binary")).alias("_hash"))
+    order = Window.partitionBy(column, "value").orderBy("_hash", "_id")
+    smallest = hashed.withColumn("_place", F.dense_rank().over(order)).where(F.col("_place") <= k)
+    picked = smallest.groupBy(column, "value").agg(F.array_sort(F.collect_set(F.struct("_hash", "_id"))).alias("picked"))
+    found = conformance(values.select(column, "value"), terms, column)
+    none = F.array().cast(ArrayType(values.schema[key].dataType))
+    ids = F.coalesce(F.transform("picked", lambda p: p["_id"]), none).alias("ids")
+    return found.join(picked, [column, "value"], "left").select(column, "value", "n", ids)
+
+
 def vocabulary_union(lists: DataFrame, column: str = "column") -> DataFrame:
     """Distinct values per column over several lists, with the place each was first seen.
 

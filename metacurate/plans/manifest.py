@@ -12,10 +12,12 @@ from metacurate import presets
 from metacurate.functions.text import cross_references, project_label, term_reference
 from metacurate.functions.values import truthy
 from metacurate.operators.conditions import (
+    NAME_KEY,
     attribute_conditions,
     check_columns,
     entity_status,
     exclude_columns,
+    folded_name,
     instances_of,
     lenient_gate,
     multi_value_conditions,
@@ -98,14 +100,15 @@ def _selected(
 def _attributes_of(attributes: DataFrame | None, entity: str, key: str) -> DataFrame | None:
     if attributes is None:
         return None
+    folded = [NAME_KEY] if NAME_KEY in attributes.columns else []
     return attributes.where(F.col("entity") == entity).select(
-        F.col("entity_id").alias(key), "pos", "name", "value"
+        F.col("entity_id").alias(key), "pos", "name", "value", *folded
     )
 
 
 def target_of(attributes: DataFrame, key: str, name: str = presets.TARGET_ATTRIBUTE) -> DataFrame:
     """First truthy value of the target attribute per entity, ``(key, target)``."""
-    rows = attributes.where((F.lower("name") == name.lower()) & truthy(F.col("value")))
+    rows = attributes.where((folded_name(attributes) == name.lower()) & truthy(F.col("value")))
     return rows.groupBy(key).agg(F.min_by("value", "pos").alias("target"))
 
 

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from metacurate.functions.text import words_from_camel
 from metacurate.operators.checkpoints import stored
+from metacurate.operators.conditions import NAME_KEY
 from metacurate.operators.joins import keep_matching
 from metacurate.presets import COVERAGE_STATUSES, SECTIONS
 
@@ -83,6 +84,18 @@ def write_candidates(candidates: DataFrame, path: str, mode: str = "errorifexist
     candidates.select(F.concat_ws("\t", "sample", "field").alias("value")).write.mode(mode).text(path)
 
 
+def write_attributes(attributes: DataFrame, path: str, key: str = "entity_id", mode: str = "errorifexists") -> None:
+    """Attribute rows ``(key, name, …)`` as a Parquet table for conditions on attribute names.
+
+    The name is added in lower case; rows are sorted by it over all files, which
+    a hot name shares out by ``key``, and each row group has a bloom filter of
+    it, so a condition reads the row groups that can hold its names.
+    """
+    folded = attributes.withColumn(NAME_KEY, F.lower("name"))
+    placed = folded.repartitionByRange(NAME_KEY, key).sortWithinPartitions(NAME_KEY, key)
+    placed.write.mode(mode).option(f"parquet.bloom.filter.enabled#{NAME_KEY}", "true").parquet(path)
+
+
 def report_lines(
     headers: DataFrame,
     lines: DataFrame,

@@ -3,6 +3,7 @@ from pyspark.sql import functions as F
 
 from conftest import rows, values
 from metacurate.operators import conditions as c
+from metacurate.sinks import writers as w
 from metacurate.operators.entities import pivot_fields, unpivot_columns
 from metacurate.presets import SAMPLE_FIELDS
 
@@ -173,3 +174,33 @@ def test_pivot_fields_joins_names_that_differ_in_case(spark):
 def test_unpivot_skips_missing_values(spark):
     df = spark.createDataFrame([(1, "a", None), (2, None, 5)], "id int, x string, y int")
     assert rows(unpivot_columns(df, "id", ["x", "y"])) == [(1, 0, "x", "a"), (2, 1, "y", "5")]
+
+
+def scanned(df):
+    """Rows that the file scan gave."""
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan()
+    leaves = plan.collectLeaves()
+    return sum(leaves.apply(i).metrics().apply("numOutputRows").value() for i in range(leaves.size()))
+
+
+def test_a_written_attribute_table_is_pruned_by_name(spark, tmp_path):
+    names = F.concat(F.lit("Name "), (F.col("id") % 50).cast("string"))
+    many = spark.range(20_000).select(
+        (F.col("id") / 50).cast("bigint").alias("entity_id"), F.lit(0).alias("pos"), names.alias("name"), F.col("id").cast("string").alias("value")
+    )
+    spark.conf.set("parquet.block.size", 20_000)
+    try:
+        w.write_attributes(many, str(tmp_path / "a"))
+    finally:
+        spark.conf.unset("parquet.block.size")
+    table = spark.read.parquet(str(tmp_path / "a"))
+    wanted = table.where(c.folded_name(table) == "name 7").select("entity_id", "value")
+    plan = wanted._jdf.queryExecution().executedPlan().toString()
+    assert "EqualTo(name_key,name 7)" in plan
+    assert wanted.count() == 400
+    assert 400 <= scanned(wanted) < 10_000
+    entities = spark.range(400).select(F.col("id").alias("entity_id"))
+    options = dict(require={"NAME 7": ["7", "57"]}, output=["name 8"])
+    plain = c.attribute_conditions(entities, many, "entity_id", **options)
+    assert rows(c.attribute_conditions(entities, table, "entity_id", **options)) == rows(plain) == [(0, "8"), (1, "58")]

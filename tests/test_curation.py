@@ -142,3 +142,19 @@ def test_copy_from_parent(spark, samples):
 
 def test_samples_lacking(samples):
     assert rows(cu.samples_lacking(samples, "Sex"), "accession") == [("P1",), ("P2",), ("S3",), ("S4",), ("S5",)]
+
+
+def test_only_listed_fields_are_shuffled(spark, samples):
+    wanted = worklist(spark, ("S1", "Sex"))
+    found = cu.worklist_values(wanted, samples)
+    assert rows(found, "sample", "field") == [("S1", "Sex")]
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    below = plan.index("LeftSemi")
+    assert plan.index("Join Inner") < below < plan.index("Generate explode(characteristics")
+
+
+def test_of_a_repeated_text_one_term_counts(spark, samples):
+    terms = spark.createDataFrame([("male", "b"), ("male", "a")], "text string, iri string")
+    records, unmapped = cu.replace_term(worklist(spark, ("S1", "Sex"), ("S1", "note")), samples, terms)
+    assert [r["after"][0]["iri"] for r in records.collect()] == [["a"]]
+    assert rows(unmapped, "field") == [("note",)]

@@ -61,10 +61,3 @@ def test_pack_in_given_order(spark):
 def test_joined_groups(spark):
     df = spark.createDataFrame([("a", "2"), ("a", "10"), ("b", "1")], "k string, item string")
     assert rows(g.joined_groups(df, ["k"], "item", "|"), "k", "n", "items") == [("a", 2, "10|2"), ("b", 1, "1")]
-
-
-def test_single_text_refuses_groups_beyond_its_limit(spark, skewed):
-    small = skewed.where("k <> 'hot'")
-    assert dict(rows(g.single_text(small, ["k"], "item", "|", "t"), "k", "t"))["k7"] == "i00007|i00307|i00607"
-    with pytest.raises(Exception, match="more than 1000 items"):
-        g.single_text(skewed, ["k"], "item", "|", "t", limit=1000).collect()

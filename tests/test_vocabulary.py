@@ -1,10 +1,10 @@
+import hashlib
 import pytest
 from pyspark.sql import functions as F
 
 from conftest import rows
 from metacurate.operators import hierarchy as h
 from metacurate.operators import vocabulary as vo
-from metacurate.operators.groups import single_text
 from metacurate.plans.schema_fields import mandatory_fields
 from metacurate.sinks.writers import write_mandatory_fields
 
@@ -95,21 +95,57 @@ def test_expansion_and_labels(edges):
     }
 
 
-def test_labels_ignore_types_that_are_not_entered(spark, edges, monkeypatch):
+def test_path_dictionary(spark, edges):
     many = spark.range(30).select(
         F.lit("s.xsd").alias("file"), F.lit("OneType").alias("parent"), F.format_string("F%d", "id").alias("name"),
         F.lit("element").alias("kind"), F.lit("xs:string").alias("type"),
     )
     nodes = h.expand(h.inline_types(edges.select(many.columns).unionByName(many)))
-    limited = lambda *args: single_text(*args, limit=5)
-    monkeypatch.setattr(h, "single_text", limited)
-    assert "ITEM|ONE|OTHER" in {r[0] for r in rows(h.path_labels(nodes), "label")}
+    found = h.path_dictionary(nodes)
+    paths = {r["path_id"]: r for r in found.paths.collect()}
+    names = {}
+    for _, type_, name in rows(found.names, "file", "type", "name"):
+        names.setdefault(type_, []).append(name)
+    assert "xs:string" not in names  # no path goes through it, however many nodes use it
+
+    def label(i):
+        out = []
+        while i in paths:
+            out.insert(0, "|".join(sorted(names[paths[i]["type"]])))
+            assert paths[i]["depth"] == len(h_path(paths, i))
+            i = paths[i]["parent_id"]
+        return "::".join(out)
+
+    def h_path(paths, i):
+        return [] if i not in paths else [*h_path(paths, paths[i]["parent_id"]), paths[i]["type"]]
+
+    labelled = h.path_labels(nodes).select("label", h.path_id(F.col("path")).alias("i")).distinct()
+    assert all(label(r["i"]) == r["label"] for r in labelled.collect())
+    assert labelled.count() > 3
 
 
 def test_expansion_of_no_edges(edges):
     assert h.expand(edges.where("false")).count() == 0
 
 
+def test_of_a_repeated_tag_one_list_counts(spark):
+    nodes = spark.createDataFrame([("f", "n", "T")], "file string, name string, type string")
+    allowed = spark.createDataFrame([("f", "T", ["b"]), ("f", "T", ["a", "z"])], "file string, tag string, allowed array<string>")
+    assert rows(vo.allowed_for(nodes, allowed, "common"), "allowed") == [(["a", "z"],)]
+
+
+def test_offender_samples(spark):
+    ids = [f"r{i}" for i in range(500)]
+    data = [("c", "bad", i) for i in ids * 2] + [("c", "odd", "x"), ("c", "odd", None), ("c", "good", "y"), ("free", "any", "z"), ("c", None, "q")]
+    values = spark.createDataFrame(data, "column string, value string, id string").repartition(5)
+    terms = spark.createDataFrame([("c", "good")], "column string, value string")
+    got = {r["value"]: (r["n"], list(r["ids"])) for r in vo.offender_samples(values, terms, k=7).collect()}
+    smallest = sorted(ids, key=lambda i: hashlib.md5(i.encode()).hexdigest())[:7]
+    assert got == {"bad": (1000, smallest), "odd": (2, ["x"])}
+    plan = vo.offender_samples(values, terms, k=7)._jdf.queryExecution().executedPlan().toString()
+    assert "WindowGroupLimit" in plan and "Partial" in plan  # tasks pass on k records of a value at most
+
+
 def test_type_names(spark):
     nodes = spark.createDataFrame([("f", "T", "b"), ("f", "T", "a"), ("f", "T", "b"), ("f", "U", "c")],
                                   "file string, type string, name string")
