@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from bindings.registry import query, settings, table
 from metacurate.functions.values import at_path, is_meaningful, is_present, meaningful_text
+from metacurate.operators.checkpoints import new_folder
 from metacurate.operators.coverage import column_coverage, material_totals
 from metacurate.plans.coverage import coverage_audit, document_profile, gap_audit, missing_documents
 from metacurate.plans.url_audit import column_values, invalid_urls, url_summary, url_values
@@ -170,6 +171,28 @@ def document_coverage(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@query(
+    "ruled_coverage",
+    f"""
+    WITH {_COVERAGE}
+    SELECT section, status, field, CAST(total AS BIGINT) AS total, CAST(n AS BIGINT) AS "count", CAST(p AS BIGINT) AS present
+    FROM c
+    """,
+)
+def ruled_coverage(spark: SparkSession, sf: str) -> DataFrame:
+    """Coverage of documents kept as variants in a table, reading the paths that the rules name."""
+
+    def kept(docs: DataFrame, label: str) -> DataFrame:
+        path = new_folder(spark, label)
+        docs.write.parquet(path)
+        return spark.read.parquet(path)
+
+    rules = _rules(spark)
+    organisms, specimens = kept(_organisms(spark, sf), "organisms"), kept(_specimens(spark, sf), "specimens")
+    detail = coverage_audit(document_profile(organisms, specimens, rules=rules), rules).detail
+    return detail.select("section", "status", "field", "total", "count", "present")
+
+
 @query(
     "coverage_averages",
     f"""

@@ -136,6 +136,30 @@ def hits(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@query(
+    "source_hit_arrays",
+    """
+    SELECT CAST(doc_id AS VARCHAR) AS id, lang, CAST(length(text) AS BIGINT) AS size, md5(text) AS checksum
+    FROM documents
+    """,
+)
+def hit_arrays(spark: SparkSession, sf: str) -> DataFrame:
+    """Whole texts through array files of hits, one for each language and source, cut into byte ranges."""
+    source = F.struct(F.struct(F.col("lang").alias("text")).alias("material"), F.col("text").alias("body text"))
+    hit = F.to_json(F.struct(F.col("doc_id").cast("string").alias("_id"), source.alias("_source")))
+    arrays = table(spark, sf, "documents").groupBy("lang", "source").agg(
+        F.concat(F.lit("["), F.array_join(F.collect_list(hit), ",\n"), F.lit("]")).alias("value")
+    )
+    path = new_folder(spark, "hit-arrays")
+    arrays.write.partitionBy("lang", "source").text(path)
+    docs = readers.read_hits(spark, path, layout="split")
+    body = at_path(F.col("doc"), "body text")
+    return docs.select(
+        F.col("_id").alias("id"), at_path(F.col("doc"), "material.text").alias("lang"), F.length(body).cast("bigint").alias("size"),
+        F.md5(body.cast("binary")).alias("checksum"),
+    )
+
+
 @query(
     "source_samples",
     """

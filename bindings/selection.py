@@ -25,6 +25,7 @@ from metacurate.plans.manifest import (
     EntityConditions,
     Selection,
     first_files,
+    manifest_cells,
     registration_manifest,
     select_runs,
 )
@@ -478,7 +479,7 @@ def run_selection(spark: SparkSession, sf: str) -> DataFrame:
     """,
 )
 def manifest(spark: SparkSession, sf: str) -> DataFrame:
-    runs = select_runs(**_run_inputs(spark, sf), selection=_SELECTION)
+    runs = select_runs(**_run_inputs(spark, sf), selection=_SELECTION, sample_cells=manifest_cells())
     return registration_manifest(runs, project_prefix="LAB-", run_database="RUNS")
 
 

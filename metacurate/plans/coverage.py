@@ -21,18 +21,40 @@ def document_profile(
     organism_scope: str = ORGANISM,
     specimen_scope: str = SPECIMEN,
     empty_values: Sequence[str] = presets.EMPTY_VALUES,
+    rules: DataFrame | None = None,
 ) -> DataFrame:
     """Field and document counters of search hits ``(_id, doc)``, all that the audits need.
 
     One pass over the documents, run here: the counters are small and go to the
     checkpoint folder, so that any number of audits reads the documents once.
+    With ``rules`` only the fields that these name are looked at, by their paths;
+    the rules become part of the plan, so they are a document for people to read.
+    Without, all fields are counted, for audits of any rules.
     """
+    if rules is not None:
+        return stored(_ruled_profile(organisms, specimens, organism_scope, specimen_scope, empty_values, rules))
     fields = ops.document_fields(ops.prepare_documents(organisms, organism_scope), nested=False).unionByName(
         ops.document_fields(ops.prepare_documents(specimens, specimen_scope), nested=True)
     )
     return stored(ops.field_counts(fields, empty_values))
 
 
+def _ruled_profile(
+    organisms: DataFrame, specimens: DataFrame, organism_scope: str, specimen_scope: str, empty_values: Sequence[str], rules: DataFrame
+) -> DataFrame:
+    # shared fields stand inside the object for coverage and at the top level for gaps
+    targets = ops.rule_targets(rules, organism_scope, specimen_scope, shared=()).unionByName(
+        ops.rule_targets(rules, organism_scope, specimen_scope)
+    )
+    paths = targets.where(F.col("field").isNotNull()).select("scope", "container", "field").distinct().orderBy("scope", "container", "field")
+    found = [tuple(r) for r in paths.collect()]
+    parts = [
+        ops.ruled_counts(ops.prepare_documents(docs, scope), [(c, f) for s, c, f in found if s == scope], empty_values)
+        for docs, scope in ((organisms, organism_scope), (specimens, specimen_scope))
+    ]
+    return parts[0].unionByName(parts[1])
+
+
 PROFILE = "scope string, container string, field string, material string, n bigint, n_meaningful bigint, n_present bigint"
 
 

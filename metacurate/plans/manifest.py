@@ -124,6 +124,7 @@ def select_runs(
     attributes: DataFrame | None = None,
     selection: Selection = Selection(),
     check_runs: bool = False,
+    sample_cells: Mapping[str, Column] | None = None,
 ) -> DataFrame:
     """Runs that pass every condition, with their metadata: one lazy plan.
 
@@ -132,6 +133,11 @@ def select_runs(
     error status. A missing control keeps the run unless ``require_control``.
     ``check_runs`` first runs a job that fails if a collection names no run.
 
+    Runs come with the output attributes of their sample as ``entity_attributes``.
+    ``sample_cells`` (name and expression over that column, see
+    ``manifest_cells``) are computed once a sample entity, before it is joined to
+    its runs, and carried in its place.
+
     Each table is filtered and pruned before it is joined.
     """
     s = selection
@@ -171,6 +177,8 @@ def select_runs(
     ).select(
         F.col("id").alias("biosample_id"), output_instances(attrs, s.entity.output).alias("entity_attributes")
     )
+    if sample_cells is not None:
+        sample_entity = sample_entity.select("biosample_id", *[c.alias(name) for name, c in sample_cells.items()])
     experiment_entity = experiment_entities.where(strict_gate(entity_status(attrs))).select(
         F.col("id").alias("experiment_source_id")
     )
@@ -236,6 +244,16 @@ def first_value(attributes: Column, name: str) -> Column:
     return F.try_element_at(instances_of(attributes, name), F.lit(1))["value"]
 
 
+def manifest_cells(ontology_classes: Mapping[str, Sequence[str]] = presets.ONTOLOGY_CLASSES) -> dict[str, Column]:
+    """The manifest cells that depend on the sample alone, for ``select_runs(sample_cells=...)``."""
+    attrs = F.col("entity_attributes")
+    return {
+        "epigenome": first_value(attrs, presets.NAME_ATTRIBUTE),
+        "ontologies": ontology_terms(attrs, ontology_classes),
+        "species": first_value(attrs, presets.SPECIES_ATTRIBUTE),
+    }
+
+
 def registration_manifest(
     runs: DataFrame,
     project_prefix: str,
@@ -248,15 +266,16 @@ def registration_manifest(
     """Manifest rows of the selected runs, a projection.
 
     A control run (its assay is the input material) gets the control label and no
-    control id. Checksum and path are those of the first file.
+    control id. Checksum and path are those of the first file. Cells of the
+    sample that the runs carry already (``manifest_cells``) are taken as they are.
     """
     check_columns(runs, [assay, project_id])
-    attrs = F.col("entity_attributes")
+    sample = {n: F.col(n) if n in runs.columns else c for n, c in manifest_cells(ontology_classes).items()}
     is_control = F.coalesce(F.col(assay) == presets.CONTROL_ASSAY, F.lit(False))
     file = F.try_element_at("collection_files", F.lit(1))
     cells = {
         "accession": F.col("run_source_id"),
-        "epigenome": first_value(attrs, presets.NAME_ATTRIBUTE),
+        "epigenome": sample["epigenome"],
         "assay": F.when(is_control, F.lit(presets.CONTROL_LABEL)).otherwise(F.col(assay)),
         "br": F.col("experiment_id"),
         "tr": F.col("run_id"),
@@ -265,9 +284,9 @@ def registration_manifest(
         "local_url": file["name"],
         "analysis": F.col("library_strategy"),
         "Project/lab": project_label(project_prefix, F.coalesce(F.col(project_id).cast("string"), F.lit(""))),
-        "ontologies": ontology_terms(attrs, ontology_classes),
+        "ontologies": sample["ontologies"],
         "control_id": F.when(~is_control, F.col("input_run_id")),
-        "species": first_value(attrs, presets.SPECIES_ATTRIBUTE),
+        "species": sample["species"],
         "xrefs": cross_references([(run_database, F.col("run_source_id"))]),
     }
     return runs.select(*[cells[c].alias(c) for c in columns])

@@ -1,7 +1,8 @@
 """Entity files, lookups, logs, search hits, sample pages, rule sets, vocabularies, XML schemas.
 
-JSON inputs come in two layouts: ``lines`` (one record per line, splittable, the
-one to use for large data) and ``array`` (whole-file JSON, one task per file).
+JSON inputs come in three layouts: ``lines`` (one record per line, splittable),
+``array`` (whole-file JSON, one task per file) and ``split`` (files that are one
+array of objects, of any size, each read by many tasks).
 """
 
 from __future__ import annotations
@@ -15,13 +16,17 @@ from metacurate.functions.text import lower_camel
 from metacurate.operators.checkpoints import stored
 from metacurate.presets import FIELD_ALIASES
 from metacurate.sources import schemas
+from metacurate.sources.arrays import read_array_elements
 
-LAYOUTS = ("lines", "array")
+LAYOUTS = ("lines", "array", "split")
 
 
 def _json(spark: SparkSession, path, schema: str, layout: str) -> DataFrame:
     if layout not in LAYOUTS:
         raise ValueError(f"layout must be one of {LAYOUTS}, not {layout!r}")
+    if layout == "split":
+        record = F.from_json("element", schema, {"mode": "FAILFAST"}).alias("record")
+        return read_array_elements(spark, path).select(record).select("record.*")
     return spark.read.schema(schema).option("mode", "FAILFAST").option("multiLine", layout == "array").json(path)
 
 
@@ -92,10 +97,11 @@ def read_experiment_log(spark: SparkSession, path) -> DataFrame:
 def read_hits(spark: SparkSession, path, layout: str = "array") -> DataFrame:
     """Search hits as ``(_id, doc)``; ``doc`` is a variant because fields are polymorphic.
 
-    ``array`` reads result pages ``{"hits": {"hits": [...]}}``, ``lines`` one hit per line.
+    ``array`` reads result pages ``{"hits": {"hits": [...]}}``, ``lines`` one hit
+    per line, ``split`` arrays of hits.
     """
-    if layout == "lines":
-        hits = _json(spark, path, "_id string, _source variant", "lines")
+    if layout in ("lines", "split"):
+        hits = _json(spark, path, "_id string, _source variant", layout)
     else:
         pages = _json(spark, path, "hits struct<hits:array<struct<_id:string,_source:variant>>>", "array")
         hits = pages.select(F.inline("hits.hits"))
@@ -103,9 +109,9 @@ def read_hits(spark: SparkSession, path, layout: str = "array") -> DataFrame:
 
 
 def read_sample_pages(spark: SparkSession, path, layout: str = "array") -> DataFrame:
-    """Repository samples from a directory of result pages, or one sample per line."""
-    if layout == "lines":
-        return _json(spark, path, schemas.SAMPLE, "lines")
+    """Repository samples from a directory of result pages, one sample per line, or arrays of samples (``split``)."""
+    if layout in ("lines", "split"):
+        return _json(spark, path, schemas.SAMPLE, layout)
     return _json(spark, path, schemas.SAMPLE_PAGE, "array").select(F.inline("_embedded.samples"))
 
 

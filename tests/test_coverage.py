@@ -132,6 +132,28 @@ def test_batches_of_documents_add_up(spark, organisms, specimens, profile, tmp_p
         add_to_profile(path, "a/b", organisms, specimens)
 
 
+def test_ruled_paths_give_the_same_audits(rules, organisms, specimens, profile):
+    ruled = document_profile(organisms, specimens, rules=rules)
+    got, expected = coverage_audit(ruled, rules), coverage_audit(profile, rules)
+    assert rows(got.detail) == rows(expected.detail)
+    assert rows(got.averages) == rows(expected.averages)
+    assert rows(gap_audit(ruled, rules)) == rows(gap_audit(profile, rules))
+    named = {r["field"] for r in rules.collect()}
+    assert {r["field"] for r in ruled.where("field IS NOT NULL").collect()} <= named
+    assert not {r["field"] for r in profile.where("field IS NOT NULL").collect()} <= named
+
+
+def test_ruled_paths_reach_the_scan(spark, rules, specimens, tmp_path):
+    specimens.write.parquet(str(tmp_path / "s"))
+    docs = ops.prepare_documents(spark.read.parquet(str(tmp_path / "s")), "specimen")
+    counted = ops.ruled_counts(docs, [("cellLine", "passages"), ("", "derivedFrom")])
+    plan = counted._jdf.queryExecution().executedPlan().toString()
+    assert plan.index("Generate") < plan.index("HashAggregate")  # counters are unpivoted, not documents
+    assert "ReadSchema: struct<doc:struct<" in plan  # paths, not whole documents
+    none = ops.ruled_counts(docs, [])
+    assert rows(none.where("field IS NULL"), "material", "n") == rows(docs.groupBy("material").count())
+
+
 def test_missing_documents(rules, organisms):
     got = rows(missing_documents(organisms, rules))
     assert got == [("organism", "sex", "o2"), ("organism", "sex", "o3"), ("organism", "sex", "o4")]

@@ -9,6 +9,7 @@ from metacurate.plans.manifest import (
     Selection,
     first_files,
     ontology_terms,
+    manifest_cells,
     registration_manifest,
     select_runs,
 )
@@ -150,6 +151,15 @@ def test_manifest(tables):
     assert (got["R3"]["epigenome"], got["R3"]["ontologies"], got["R3"]["control_id"]) == (None, "", None)
 
 
+def test_sample_cells_are_computed_before_the_join(tables):
+    runs = select_runs(**tables, sample_cells=manifest_cells())
+    assert "entity_attributes" not in runs.columns
+    early = registration_manifest(runs, "LAB-", "DB")
+    assert rows(early) == rows(registration_manifest(select_runs(**tables), "LAB-", "DB"))
+    plan = early._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.rindex("Join Inner") < plan.rindex("transform(")  # below the joins
+
+
 def test_manifest_needs_its_assay_column(tables):
     with pytest.raises(ValueError, match="other"):
         registration_manifest(select_runs(**tables), "LAB-", "DB", assay="other")
