@@ -4,9 +4,14 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
+_made: ContextVar[list[str] | None] = ContextVar("folders_of_the_block", default=None)
+
 
 def shared_folder(spark: SparkSession) -> str:
     """The folder named by ``spark.checkpoint.dir``, or else the session's checkpoint folder.
@@ -25,7 +30,30 @@ def shared_folder(spark: SparkSession) -> str:
 
 def new_folder(spark: SparkSession, label: str) -> str:
     """A folder name under the shared folder that no other run uses."""
-    return f"{shared_folder(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    if (made := _made.get()) is not None:
+        made.append(path)
+    return path
+
+
+@contextmanager
+def temporary_tables(spark: SparkSession) -> Iterator[None]:
+    """Delete at the end of the block every folder that it made under the shared folder.
+
+    What is computed inside has to be written elsewhere, or to a folder named
+    before the block, by its end: a DataFrame that still reads a stored table
+    fails afterwards.
+    """
+    folders: list[str] = []
+    token = _made.set(folders)
+    try:
+        yield
+    finally:
+        _made.reset(token)
+        jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+        for folder in folders:
+            path = jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(conf).delete(path, True)
 
 
 def stored(df: DataFrame, label: str = "stored") -> DataFrame:

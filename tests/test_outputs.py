@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import rows, values
-from metacurate.operators.checkpoints import stored
+from metacurate.operators.checkpoints import new_folder, stored, temporary_tables
 from metacurate.plans.url_audit import column_values, invalid_urls, url_audit, url_summary, url_values
 from metacurate.sinks import writers as w
 from metacurate.streaming.ledger import deliver, deliver_stream, delivered_rows, pending_only, read_ledger, read_seed_stream
@@ -214,3 +214,20 @@ def test_stored_results_cut_the_plan(spark):
     df = stored(spark.range(10).where("id > 5"))
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "Range" not in plan and rows(df) == [(6,), (7,), (8,), (9,)]
+
+
+def test_tables_of_a_block_are_deleted_at_its_end(spark):
+    kept, outside = new_folder(spark, "kept"), stored(spark.range(3))
+    with temporary_tables(spark):
+        inner = stored(spark.range(10).where("id > 5"), "inner")
+        folder = inner.inputFiles()[0].rsplit("/", 1)[0]
+        inner.write.parquet(kept)
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        spark.read.parquet(folder)
+    assert rows(spark.read.parquet(kept)) == [(6,), (7,), (8,), (9,)]
+    assert outside.count() == 3
+    with pytest.raises(ZeroDivisionError), temporary_tables(spark):
+        folder = stored(spark.range(1)).inputFiles()[0].rsplit("/", 1)[0]
+        1 / 0
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        spark.read.parquet(folder)
