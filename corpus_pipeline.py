@@ -2,7 +2,7 @@
 
 Every stage takes ``(spark, docs, sf_dir)`` and returns a DataFrame; ``run``
 writes each result as Parquet in the shared folder and reads it again as the
-documents of the next stage. All stages but the last return the columns of
+documents of the next stage; what a stage stored on its way is deleted then. All stages but the last return the columns of
 ``documents``.
 """
 
@@ -21,7 +21,7 @@ from metacurate.llm.packing import PUBLIC_SPECIAL, pack_documents, public_vocabu
 from metacurate.llm.pii import find_pii, redacted  # noqa: E402
 from metacurate.llm.quality import quality_verdicts  # noqa: E402
 from metacurate.llm.registry import query, table  # noqa: E402
-from metacurate.operators.checkpoints import stored  # noqa: E402
+from metacurate.operators.checkpoints import new_folder, stored, temporary_tables  # noqa: E402
 from metacurate.operators.joins import join_unique  # noqa: E402
 
 SHINGLE_WORDS, SIMILAR_PERCENT = 5, 80
@@ -83,5 +83,9 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages on ``documents``."""
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
-        docs = stored(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+        path = new_folder(spark, name.replace(" ", "-"))
+        with temporary_tables(spark):
+            made = stage(spark, docs, sf_dir)
+            made.write.parquet(path)
+        docs = spark.read.schema(made.schema).parquet(path)
     return docs
