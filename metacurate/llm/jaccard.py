@@ -37,7 +37,7 @@ from metacurate.operators.joins import join_unique
 RARE = 64  # documents or classes of a key that are compared pair by pair
 ROUNDS = 2
 MOST_FREQUENT = 1 << 18  # shingles whose frequency the order knows of, 2 MB
-BLOCK = 512
+BLOCK = 4096
 BROADCAST_ROWS = 1 << 20
 _K = 2
 _LOCAL = 4
@@ -211,7 +211,7 @@ def _block_pairs(keyed: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
     """Pairs of documents of different classes with a key in common, as far as their bit signatures let them link.
 
     ``keyed`` is ``key, n, doc_id, size, class`` with the number of documents of the key. They meet in
-    blocks of some 512, which bounds a task whatever the number is; pairs that cannot link never become rows.
+    blocks of some 4096, which bounds a task whatever the number is; pairs that cannot link never become rows.
     """
     blocks = F.ceil(F.col("n") / BLOCK)
     signed = join_unique(keyed, nodes.select("doc_id", "bits"), "doc_id")
