@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from metacurate.functions.values import merged_value, truthy
-from metacurate.operators.joins import join_unique, keep_matching
+from metacurate.operators.joins import join_unique
 from metacurate.presets import PARENT_RELATION
 
 ATTRIBUTE = "struct<type:string,value:string,iri:array<string>,unit:string>"
@@ -59,7 +59,9 @@ def worklist_values(worklist: DataFrame, samples: DataFrame) -> DataFrame:
     scan; what is left is joined on sample and field, so that a sample listed for
     many fields is spread.
     """
-    named = keep_matching(characteristic_rows(samples), worklist, "field")
+    # the least of equal names, so that a list of one constant name is still joined by it
+    fields = worklist.groupBy("field").agg(F.min("field").alias("name")).select(F.col("name").alias("field"))
+    named = join_unique(characteristic_rows(samples), fields, "field", "left_semi")
     rows = worklist.select("sample", "field").join(named, ["sample", "field"])
     return rows.select("sample", "field", merged_value(F.col("instances")).alias("m"))
 
