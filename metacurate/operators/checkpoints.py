@@ -37,17 +37,17 @@ def new_folder(spark: SparkSession, label: str) -> str:
 
 
 @contextmanager
-def temporary_tables(spark: SparkSession) -> Iterator[None]:
+def temporary_tables(spark: SparkSession) -> Iterator[list[str]]:
     """Delete at the end of the block every folder that it made under the shared folder.
 
-    What is computed inside has to be written elsewhere, or to a folder named
-    before the block, by its end: a DataFrame that still reads a stored table
-    fails afterwards.
+    Gives the list of these folders, newest last; those taken off it stay. What is
+    computed inside has to be written by the end of the block, since a DataFrame
+    that still reads a deleted table fails.
     """
     folders: list[str] = []
     token = _made.set(folders)
     try:
-        yield
+        yield folders
     finally:
         _made.reset(token)
         jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()

@@ -222,6 +222,11 @@ def test_tables_of_a_block_are_deleted_at_its_end(spark):
         inner = stored(spark.range(10).where("id > 5"), "inner")
         folder = inner.inputFiles()[0].rsplit("/", 1)[0]
         inner.write.parquet(kept)
+    with temporary_tables(spark) as made:
+        stored(spark.range(5))
+        result = stored(spark.range(4), "result")
+        made.pop()
+    assert result.count() == 4
     with pytest.raises(Exception, match="PATH_NOT_FOUND"):
         spark.read.parquet(folder)
     assert rows(spark.read.parquet(kept)) == [(6,), (7,), (8,), (9,)]
