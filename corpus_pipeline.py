@@ -21,7 +21,7 @@ from metacurate.llm.packing import PUBLIC_SPECIAL, pack_documents, public_vocabu
 from metacurate.llm.pii import find_pii, redacted  # noqa: E402
 from metacurate.llm.quality import quality_verdicts  # noqa: E402
 from metacurate.llm.registry import query, table  # noqa: E402
-from metacurate.operators.checkpoints import new_folder, stored, temporary_tables  # noqa: E402
+from metacurate.operators.checkpoints import stored, temporary_tables  # noqa: E402
 from metacurate.operators.joins import join_unique  # noqa: E402
 
 SHINGLE_WORDS, SIMILAR_PERCENT = 5, 80
@@ -83,9 +83,7 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages on ``documents``."""
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
-        path = new_folder(spark, name.replace(" ", "-"))
-        with temporary_tables(spark):
-            made = stage(spark, docs, sf_dir)
-            made.write.parquet(path)
-        docs = spark.read.schema(made.schema).parquet(path)
+        with temporary_tables(spark) as made:
+            docs = stored(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+            made.pop()  # the result stays
     return docs
