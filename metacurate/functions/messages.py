@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from metacurate.presets import DATED_MESSAGE
+
 
 def split_messages(detail: Column) -> Column:
     """Entries of a detail text; empty ones are dropped."""
@@ -25,7 +27,7 @@ def message_text(entry: Column, full_message: bool = False) -> Column:
 
 def strip_date(msg: Column) -> Column:
     """``... Date 12/3/2018 is wrong`` -> ``... Date is wrong``, so that equal complaints group."""
-    return F.regexp_replace(msg, r"(?d)^(.+Date)\s\d+\/\d+\/\d+\s(.+)$", "$1 $2")
+    return F.regexp_replace(msg, DATED_MESSAGE, "$1 $2")
 
 
 def message_field(msg: Column) -> Column:

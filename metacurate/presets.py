@@ -74,6 +74,13 @@ LOOKUP_STRATEGY = "ChIP-seq"
 STATUS_ATTRIBUTE = "Metadata validation status"
 STATUS_ERROR = "error"
 
+# Complaints about dates, with the date between the two groups.
+DATED_MESSAGE = r"(?d)^(.+Date)\s\d+\/\d+\/\d+\s(.+)$"
+
+# ---------------------------------------------------------------------------
+# Callers' arguments: defaults for one kind of collection, not fixed.
+# ---------------------------------------------------------------------------
+
 # Selection of public sequencing runs.
 COLLECTION_COLUMNS = {"type": "FASTQ", "table_name": "file"}
 RUN_COLUMNS = {"status": ["public"]}
@@ -92,6 +99,10 @@ CANDIDATE_PATTERNS = [
     "This field is optional, so if not providing",
 ]
 
+# ---------------------------------------------------------------------------
+# Fixed values again: forms and paths of the documents.
+# ---------------------------------------------------------------------------
+
 # URL audit: the accepted form, and the URI-typed fields of each document type.
 URL_PATTERN = (
     r"^((http|ftp)s?:\/\/)?(www\.)?[-a-zA-Z0-9@:%._\+~#=]{2,256}\.[a-z]{2,6}\b"
