@@ -6,8 +6,8 @@ words it is in, the place in the word and the two symbols. A keyed hash of it
 decides whether the agenda skips that candidate for good, so a segmentation can
 be repeated on any machine, and every occurrence of a word is cut on its own. No
 piece of the model has a space inside, so words with the spaces before them are
-encoded one by one; many words go through the agenda at once, one merge of each
-word a round.
+encoded one by one; words of like length go through the agenda together, one merge
+of each word a round. A round looks only at the two pairs that the last merge made.
 """
 
 from __future__ import annotations
@@ -30,7 +30,11 @@ SPACE_MARK = "▁"
 _UNIT = re.compile(" *[^ ]+| +")
 _LONG = 200  # words of more characters have an agenda of their own
 _GROUP = 64  # documents that are split into words together
-_CHARS = 100_000  # characters whose words are encoded together
+_CHARS = 400_000  # characters whose words are encoded together
+_WIDTHS = np.array([*range(1, 17), 20, 24, 32, 48, 80, 128, _LONG])  # words are padded to the next width
+_EMPTY, _GONE = -3, -2  # no pair in a slot; a symbol that went into another, or padding
+_NEVER = np.iinfo(np.int32).max
+_SLOT = np.uint64(0xD6E8FEB86659FD93)
 _MASK = (1 << 64) - 1
 _PLACE, _LEFT, _RIGHT, _WORD = 0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5
 
@@ -74,8 +78,40 @@ class Pieces:
         self.merges = {
             (ids[p[:k]] << 32) | ids[p[k:]]: i for p, i in ids.items() for k in range(1, len(p)) if p[:k] in ids and p[k:] in ids
         }
-        self.keys = np.array(sorted(self.merges), np.int64)
-        self.merged = np.array([self.merges[k] for k in self.keys.tolist()], np.int64)
+        self._index_pairs()
+
+    def _index_pairs(self) -> None:
+        """A hash table of the pairs that merge, with linear probing and many free slots."""
+        pairs = np.array(list(self.merges), np.int64)
+        merged = np.array(list(self.merges.values()), np.int32)
+        bits = max(4, (8 * len(pairs)).bit_length())
+        self.shift, self.last = np.uint64(64 - bits), (1 << bits) - 1
+        self.pair = np.full(1 << bits, _EMPTY, np.int64)
+        self.pair_merged, self.pair_rank = np.zeros(1 << bits, np.int32), np.full(1 << bits, _NEVER, np.int32)
+        slots, left = self._slots(pairs), np.arange(len(pairs))
+        while len(left):
+            free = np.flatnonzero(self.pair[slots[left]] == _EMPTY)
+            taken, first = np.unique(slots[left[free]], return_index=True)
+            self.pair[taken] = pairs[left[free[first]]]
+            self.pair_merged[taken] = merged[left[free[first]]]
+            self.pair_rank[taken] = self.rank[merged[left[free[first]]]]
+            left = left[self.pair[slots[left]] != pairs[left]]
+            slots[left] = (slots[left] + 1) & self.last
+
+    def _slots(self, pairs: np.ndarray) -> np.ndarray:
+        return ((pairs.astype(np.uint64) * _SLOT) >> self.shift).astype(np.int64)
+
+    def _lookup(self, pairs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Which pairs merge, by index, and their slots."""
+        slots = self._slots(pairs)
+        at = self.pair[slots]
+        open_ = np.flatnonzero((at != pairs) & (at != _EMPTY))
+        while len(open_):
+            slots[open_] = (slots[open_] + 1) & self.last
+            at[open_] = self.pair[slots[open_]]
+            open_ = open_[(at[open_] != pairs[open_]) & (at[open_] != _EMPTY)]
+        found = np.flatnonzero(at == pairs)
+        return found, slots[found]
 
     def _finish(self, char: int, piece: int) -> list[int]:
         return [piece] if piece >= 0 else self.byte_ids[list(chr(char).encode("utf-8", "surrogatepass"))].tolist()
@@ -111,47 +147,75 @@ class Pieces:
         return np.array(out, "<u4").tobytes()
 
     def encode_words(self, words: list[str], keys: list[int] | np.ndarray, bar: int) -> list[bytes]:
-        """Many words at once; each round makes the best remaining merge of each."""
+        """Many words; each round makes the best remaining merge of each word."""
+        sizes = np.fromiter(map(len, words), np.int64, len(words))
         chars = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
-        word = np.repeat(np.arange(len(words)), [len(w) for w in words])
-        first = np.searchsorted(word, np.arange(len(words)))
-        ids, at, key = self.of_char[chars], np.arange(len(chars)), np.array(keys, np.uint64)
-        done_at, done_ids = [], []
-        while len(ids):
-            i = np.flatnonzero((word[:-1] == word[1:]) & (ids[:-1] >= 0) & (ids[1:] >= 0))
-            pair = (ids[i] << 32) | ids[i + 1]
-            j = np.minimum(np.searchsorted(self.keys, pair), len(self.keys) - 1)
-            known = self.keys[j] == pair
-            i, j = i[known], j[known]
+        first, key = np.cumsum(sizes) - sizes, np.array(keys, np.uint64)
+        widths = np.union1d(_WIDTHS, sizes[sizes > _LONG])
+        width = np.searchsorted(widths, sizes)
+        out: list[bytes] = [b""] * len(words)
+        for w in np.unique(width).tolist():
+            some = np.flatnonzero(width == w)
+            columns = np.arange(widths[w])
+            inside = columns < sizes[some, None]
+            letters = np.where(inside, chars[np.where(inside, first[some, None] + columns, 0)], -1)
+            ids = self._merge_all(np.where(inside, self.of_char[letters], _GONE), key[some], bar)
+            stays = ids != _GONE
+            ends = np.cumsum(stays.sum(1))
+            flat = ids[stays].astype("<u4").tobytes()
+            for i, a, b in zip(some.tolist(), [0, *ends[:-1].tolist()], ends.tolist(), strict=True):
+                out[i] = flat[4 * a : 4 * b]
+            for r in np.flatnonzero((ids == -1).any(1)).tolist():  # characters without a piece
+                own = [x for c, i in zip(letters[r].tolist(), ids[r].tolist(), strict=True) if i != _GONE for x in self._finish(c, i)]
+                out[int(some[r])] = np.array(own, "<u4").tobytes()
+        return out
+
+    def _merge_all(self, symbols: np.ndarray, key: np.ndarray, bar: int) -> np.ndarray:
+        """The symbols of each row after all its merges, at the place of their first; ``_GONE`` elsewhere."""
+        n, width = symbols.shape
+        step = width + 1  # one more column stands for "none" on either side
+        ids = np.full((n, step), _GONE, np.int64)
+        ids[:, :width] = symbols
+        ids = ids.ravel()
+        after = np.tile(np.append(np.arange(1, step), width), n)
+        before = np.tile(np.append([width], np.arange(width)), n)
+        rank, merged = np.full(n * step, _NEVER, np.int32), np.zeros(n * step, np.int32)
+
+        def propose(row: np.ndarray, place: np.ndarray, at: np.ndarray, right: np.ndarray) -> None:
+            """Priority of the pair of the symbol at ``at`` and the one at ``right``."""
+            pairs = (ids[at] << 32) | ids[right]
+            found, slots = self._lookup(pairs)
             if bar:
-                place = (at[i] - first[word[i]]).astype(np.uint64)
-                h = key[word[i]] + place * np.uint64(_PLACE) + ids[i].astype(np.uint64) * np.uint64(_LEFT) + ids[i + 1].astype(np.uint64) * np.uint64(_RIGHT)
+                pair = pairs[found].astype(np.uint64)
+                h = key[row[found]] + place[found].astype(np.uint64) * np.uint64(_PLACE)
+                h += (pair >> np.uint64(32)) * np.uint64(_LEFT) + (pair & np.uint64(0xFFFFFFFF)) * np.uint64(_RIGHT)
                 go = mix(h) >= np.uint64(bar)
-                i, j = i[go], j[go]
-            if not len(i):
-                break
-            starts = np.flatnonzero(np.r_[True, word[i[1:]] != word[i[:-1]]])
-            best = np.minimum.reduceat((self.rank[self.merged[j]] << 32) | np.arange(len(i)), starts) & 0xFFFFFFFF
-            busy = np.zeros(len(words), bool)
-            busy[word[i[starts]]] = True
-            ids[i[best]] = self.merged[j[best]]
-            keep = np.ones(len(ids), bool)
-            keep[i[best] + 1] = False
-            over = keep & ~busy[word]
-            done_at.append(at[over])
-            done_ids.append(ids[over])
-            keep &= busy[word]
-            ids, at, word = ids[keep], at[keep], word[keep]
-        at, ids = np.concatenate([*done_at, at]), np.concatenate([*done_ids, ids])
-        order = np.argsort(at)
-        at, ids = at[order], ids[order]
-        bounds = np.searchsorted(at, np.r_[first, len(chars)])
-        if (ids < 0).any():
-            parts = [self._finish(c, p) for c, p in zip(chars[at].tolist(), ids.tolist(), strict=True)]
-            ends = np.r_[0, np.cumsum([len(p) for p in parts])]
-            ids, bounds = np.array([x for p in parts for x in p], np.int64), ends[bounds]
-        flat = ids.astype("<u4").tobytes()
-        return [flat[4 * a : 4 * b] for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)]
+                found, slots = found[go], slots[go]
+            rank[at] = _NEVER
+            rank[at[found]] = self.pair_rank[slots]
+            merged[at[found]] = self.pair_merged[slots]
+
+        place = np.tile(np.arange(width - 1), n)
+        row = np.repeat(np.arange(n), width - 1)
+        propose(row, place, row * step + place, row * step + place + 1)
+        row = np.arange(n)
+        table = rank.reshape(n, step)
+        while True:
+            best = table[row].argmin(1)
+            at = row * step + best
+            busy = rank[at] != _NEVER
+            if not busy.all():
+                row, best, at = row[busy], best[busy], at[busy]
+            if not len(row):
+                return ids.reshape(n, step)[:, :width]
+            base = row * step
+            joined = base + after[at]
+            right = after[joined]
+            ids[at], ids[joined], rank[joined] = merged[at], _GONE, _NEVER
+            after[at], before[base + right] = right, best
+            left = before[at]
+            row2 = np.concatenate([row, row])
+            propose(row2, np.concatenate([best, left]), np.concatenate([at, base + left]), np.concatenate([base + right, at]))
 
     def encode(self, texts: list[str], names: list[object], seed: int, dropout: float) -> list[bytes]:
         """Ids of each text as little-endian 32-bit integers; the hash is keyed by the text's name and the word's number in it."""

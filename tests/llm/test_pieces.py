@@ -81,3 +81,26 @@ def test_dropout_rate_and_groups():
     many = texts() * 30
     names = list(range(len(many)))
     assert model.encode(many, names, 1, 0.2) == [model.encode([t], [i], 1, 0.2)[0] for t, i in zip(many, names, strict=True)]
+
+
+def test_pairs_are_found_by_their_hash():
+    model = P.Pieces(P.public_model())
+    pairs = np.array(list(model.merges), np.int64)
+    rnd = np.random.default_rng(1)
+    other = np.array([x for x in ((rnd.integers(0, 32000, 5000) << 32) | rnd.integers(0, 32000, 5000)).tolist() if x not in model.merges] + [-1, -2, (5 << 32) | -2])
+    found, slots = model._lookup(np.concatenate([other, pairs]))
+    assert found.tolist() == list(range(len(other), len(other) + len(pairs)))
+    assert model.pair_merged[slots].tolist() == list(model.merges.values())
+    assert model.pair_rank[slots].tolist() == model.rank[list(model.merges.values())].tolist()
+
+
+def test_words_of_all_lengths_are_cut_as_by_the_heap():
+    model = P.Pieces(P.public_model())
+    rnd = random.Random(12)
+    pool = "".join(texts()).replace(" ", "")
+    words = [" " * (k % 3) + "".join(rnd.choice(pool) for _ in range(n)) for n in range(1, 198) for k in range(3)]
+    words += [w for t in texts() for w in P._UNIT.findall(" " + t) if len(w) <= 200]
+    for dropout in (0.0, 0.1, 0.5, 1.0):
+        bar = min(int(dropout * 2**64), 2**64 - 1)
+        keys = [P.keyed(dropout, i) for i in range(len(words))]
+        assert model.encode_words(words, keys, bar) == [model.encode_long(w, k, bar) for w, k in zip(words, keys, strict=True)]
