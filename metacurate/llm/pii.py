@@ -14,6 +14,7 @@ import hashlib
 import re
 from bisect import bisect_left, bisect_right
 from collections.abc import Iterator, Sequence
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -94,6 +95,8 @@ def contexts(text: str, spans: Sequence[tuple[int, int, int]]) -> list[tuple[int
     starts, ends = [s for s, _ in words], [e for _, e in words]
     covered = sorted((s, e) for _, s, e in spans)
     places = [(s, e, True) for s, e in covered]
+    begins = [s for s, _ in covered]
+    reach = list(accumulate((e for _, e in covered), max))  # the furthest end up to each span
     last = -1
     for m in _DIGIT.finditer(text):
         i = bisect_right(starts, m.start()) - 1
@@ -104,7 +107,8 @@ def contexts(text: str, spans: Sequence[tuple[int, int, int]]) -> list[tuple[int
                 s += 1
             while e > s and not text[e - 1].isalnum():
                 e -= 1
-            if e - s >= 4 and not any(a < e and s < b for a, b in covered):
+            before = bisect_left(begins, e)
+            if e - s >= 4 and (before == 0 or reach[before - 1] <= s):
                 places.append((s, e, False))
     out = []
     for s, e, seed in places:

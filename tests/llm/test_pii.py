@@ -3,8 +3,9 @@
 import hashlib
 import random
 import re
+import time
 
-from metacurate.llm.pii import KINDS, find_pii, redacted, span_digests
+from metacurate.llm.pii import KINDS, base_spans, contexts, find_pii, redacted, span_digests
 
 SCHEMA = "doc_id bigint, text string, pii string, _base int, _row string"
 
@@ -73,3 +74,26 @@ def test_redaction(spark):
 
 def test_empty_table(spark):
     assert run(spark, []) == {}
+
+
+def test_long_texts_take_linear_work():
+    seconds = []
+    for n in (10_000, 20_000):
+        text = "".join(f"host{i} 10.0.{i % 256}.1 user{i}@a.example code-{i}x took {i} ms\n" for i in range(n))
+        begun = time.monotonic()
+        found = contexts(text, base_spans(text))
+        seconds.append(time.monotonic() - begun)
+        assert sum(seed for *_, seed in found) == 2 * n and sum(not seed for *_, seed in found) >= 2 * n
+    assert seconds[1] < 2.5 * seconds[0] + 0.5 and seconds[1] < 10
+
+
+def test_tokens_inside_fixed_spans_are_no_instances():
+    rnd = random.Random(9)
+    for _ in range(300):
+        text = " ".join(rnd.choice(["1.2.3.4", "a1@b.cd", "+1 555 010 9999", "key-77x", "4539 5787 6362 1486", "word", "x9999"]) for _ in range(12))
+        spans = base_spans(text)
+        found = {(s, e) for s, e, *_, seed in contexts(text, spans) if not seed}
+        assert all(e <= a or b <= s for s, e in found for _, a, b in spans)
+        starts = [m.start() for m in re.finditer("key-77x|x9999", text)]
+        free = {s for s in starts if not any(a < s + 5 and s < b for _, a, b in spans)}
+        assert free <= {s for s, _ in found} or len(text.split()) < 3
