@@ -13,6 +13,8 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
+from operator import add, and_
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -85,7 +87,10 @@ def inverse_frequencies(postings: DataFrame, vocabulary: Sequence[str]) -> dict[
 
 
 def _places(t: Template, idf: dict[str, float], min_weight: float) -> Column:
-    """Start and weight of each place of a template in ``hits``."""
+    """Start and weight of each place of a template; ``hits`` are its postings, ``kept`` the template words by position.
+
+    Every hit is touched once an anchor and every possible place once, whatever their number.
+    """
     words, key = t.words, t.key_places
     total = sum(idf[w] for w in words) or 1.0
     anchors = sorted(key, key=lambda i: (-idf[words[i]], i))[:2]
@@ -96,18 +101,11 @@ def _places(t: Template, idf: dict[str, float], min_weight: float) -> Column:
     possible = F.array_distinct(starts(anchors[0]))
     for i in anchors[1:]:
         possible = F.array_intersect(possible, starts(i))
-    lits = F.array(*[F.lit(w) for w in words])
-    weights = F.array(*[F.lit(idf[w] / total) for w in words])
-
-    def agreed(s: Column) -> Column:
-        found = F.filter("hits", lambda h: (h["p"] >= s) & (h["p"] < s + len(words)) & (h["w"] == F.get(lits, h["p"] - s)))
-        return F.transform(found, lambda h: h["p"] - s)
 
     def place(s: Column) -> Column:
-        at = agreed(s)
-        in_key = F.size(F.filter(at, lambda j: (j >= key.start) & (j < key.stop)))
-        weight = F.aggregate(at, F.lit(0.0), lambda acc, j: acc + F.get(weights, j))
-        return F.struct(s.alias("start"), F.when(in_key == len(key), F.least(weight, F.lit(1.0))).otherwise(0.0).alias("weight"))
+        agrees = [F.get("kept", s + j) == w for j, w in enumerate(words)]
+        weight = reduce(add, [F.when(a, idf[w] / total).otherwise(0.0) for a, w in zip(agrees, words, strict=True)])
+        return F.struct(s.alias("start"), F.when(reduce(and_, [agrees[j] for j in key]), F.least(weight, F.lit(1.0))).otherwise(0.0).alias("weight"))
 
     least = 0.0 if t.base else min_weight
     return F.filter(F.transform(possible, place), lambda x: (x["weight"] > 0) & (x["weight"] >= least))
@@ -122,14 +120,15 @@ def scan_licences(
     every place, in text order. Null and empty texts have no words and no places;
     overlapping places and repeats all count. ``score`` is the weight of the best
     place, 0 without any. Postings hold template words only and are stored once.
+    Null ids are kept and repeated rows scanned alike; the work grows linearly
+    with a text, also where it is full of licence phrases.
     """
     vocabulary = sorted({w for t in templates for w in t.words})
     words = docs.select(F.col("doc_id").cast("bigint"), licence_words(F.col("text")).alias("words"))
-    placed = F.transform("words", lambda w, i: F.struct(w.alias("w"), i.alias("p")))
-    postings = stored(
-        words.select("doc_id", F.size("words").cast("bigint").alias("n_words"), F.filter(placed, lambda x: x["w"].isin(vocabulary)).alias("hits")),
-        "licence_postings",
-    )
+    kept = F.transform("words", lambda w: F.when(w.isin(vocabulary), w))
+    placed = F.transform("kept", lambda w, i: F.struct(w.alias("w"), i.alias("p")))
+    indexed = stored(words.select("doc_id", F.size("words").cast("bigint").alias("n_words"), kept.alias("kept")), "licence_postings")
+    postings = indexed.select("*", F.filter(placed, lambda x: x["w"].isNotNull()).alias("hits"))
     idf = inverse_frequencies(postings, vocabulary)
 
     def named(t: Template) -> Column:

@@ -2,6 +2,7 @@
 
 import random
 import re
+import time
 
 from metacurate.llm.licences import BASE, NOTICES, scan_licences
 
@@ -57,3 +58,15 @@ def test_notices(spark):
 
 def test_empty_table(spark):
     assert scan(spark, []) == {}
+
+
+def test_long_texts_take_linear_work(spark):
+    phrase = "under the mit license apache license version 2 permission is hereby granted free of charge "
+    scan(spark, [phrase])
+    seconds = []
+    for n in (6000, 12_000):
+        begun = time.monotonic()
+        got = scan(spark, [phrase * n])[0]
+        seconds.append(time.monotonic() - begun)
+        assert (got["n_words"], got["n_base"], got["labels"]) == (15 * n, 2 * n, "apache-2,mit")
+    assert seconds[1] < 2.5 * seconds[0] + 3 and seconds[1] < 60
