@@ -2,12 +2,33 @@
 
 import base64
 import hashlib
+import os
 import random
 import re
-
+import time
+from collections import Counter
+from pathlib import Path
+
+import numpy as np
+import pandas
+import pyarrow as pa
+import pyspark
 import pytest
 
-from metacurate.llm.secrets import KINDS, find_secrets, inferred_encoding, randomness, rejection_bars
+from metacurate.llm.secrets import (
+    ENCODINGS,
+    HEX,
+    KINDS,
+    LENGTHS,
+    RATE,
+    base_spans,
+    candidates,
+    chosen,
+    find_secrets,
+    inferred_encoding,
+    randomness,
+    report_bars,
+)
 
 SCHEMA = "doc_id bigint, text string, spans string, base int, candidates string"
 PLAIN = (
@@ -66,9 +87,60 @@ def test_p_values_are_near_uniform():
 
 
 def test_bars():
-    assert rejection_bars({}) == {}
-    assert rejection_bars({1: {0: 100}}, rate=0.2, floor=0.01) == {1: -40}
-    assert rejection_bars({1: {-60: 90, 0: 10}}, rate=0.2)[1] >= -60
+    even = {b: 10 for b in range(100)}
+    assert report_bars({}) == {}
+    assert report_bars({1: even, 2: {70: 1}, 3: {5: 1}}) == {1: 0.01, 2: 0.01, 3: 0.01}
+    assert report_bars({1: {**even, 1: 400, 2: 400}})[1] == 0.03
+    assert report_bars({1: {**even, **{b: 400 for b in range(50)}}})[1] == 0.5
+    assert report_bars({1: {**even, 1: 60}}, rate=0.5)[1] == 0.01
+
+
+def identifiers():
+    """Names with a digit of 20 and more characters in the Python sources of this machine."""
+    names = set()
+    for module in (pyspark, pandas, pa, np, os):
+        for file in Path(module.__file__).parent.rglob("*.py"):
+            names.update(re.findall(r"\b[A-Za-z_][A-Za-z0-9_]{19,79}\b", file.read_text(errors="ignore")))
+    return sorted(n for n in names if any(c.isdigit() for c in n))
+
+
+def test_false_share_and_recall_among_real_names(spark):
+    """Keys of each alphabet and length among four names a key, most of them real: false share by length, and recall."""
+    rnd = random.Random(13)
+    names = [n for n in identifiers() if not HEX.search(n)]
+    assert len(names) >= 400
+    made = [f"get{a}{b}By{c}{i}{d}" for a in ("User", "Order", "Invoice") for b in ("Profile", "History", "Summary") for c in ("Id", "Name", "Account")
+            for d in ("HandlerFactory", "ServiceImpl", "RepositoryTest") for i in range(10, 50)]
+    keys = ["".join(rnd.choices(a, k=n)) for _, a in ENCODINGS[1:] for n in (22, 28, 40, 56, 72) for _ in range(12)]
+    keys = [k for k in keys if any(c.isdigit() for c in k) and any(c.isalpha() for c in k) and k[0].isalnum() and k[-1].isalnum()]
+    junk = rnd.sample(names, min(len(names), 3 * len(keys))) + rnd.sample(made, len(keys))
+    got = run(spark, [f"a {t} b" for t in keys + junk])
+    flagged = [f"random:2:{2 + len(t)}" in got[i]["spans"].split(",") for i, t in enumerate(keys + junk)]
+    assert sum(flagged[: len(keys)]) >= 0.9 * len(keys)
+    false, true, real = Counter(), Counter(), set(keys)
+    for t, f in zip(keys + junk, flagged, strict=True):
+        if f:
+            (true if t in real else false)[sum(len(t) >= b for b in LENGTHS)] += 1
+    assert false.total() <= RATE * (false + true).total(), (false, true)
+    for length in range(len(LENGTHS) + 1):  # the rate bounds an expected share: two standard deviations of chance
+        n = false[length] + true[length]
+        assert false[length] <= RATE * n + 2 * (RATE * (1 - RATE) * n) ** 0.5, (length, false, true)
+    alone = [rnd.choice(names) for _ in range(99)] + ["q7Xw2LkTz9VbN4mR8sYc1PdHf6GjE"]
+    assert "random:" in run(spark, alone)[99]["spans"]
+
+
+def test_long_texts_take_linear_work():
+    rnd = random.Random(14)
+    seconds = []
+    for n in (8000, 16_000):
+        text = " ".join(f"{rnd.getrandbits(128):032x} some_name_{i}_of_customers" for i in range(n))
+        spans = base_spans(text)
+        begun = time.monotonic()
+        found = candidates(text, spans)
+        chosen([x[:4] for x in found], {})
+        seconds.append(time.monotonic() - begun)
+        assert len(spans) >= n * 0.99
+    assert seconds[1] < 2.5 * seconds[0] + 0.5 and seconds[1] < 20
 
 
 @pytest.mark.parametrize("text", ["tiny", None])
