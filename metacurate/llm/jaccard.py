@@ -40,8 +40,7 @@ MOST_FREQUENT = 1 << 18  # shingles whose frequency the order knows of, 2 MB
 BLOCK = 512
 BROADCAST_ROWS = 1 << 20
 _K = 2
-_LOCAL = 4
-_COUNTED = 1 << 21
+_COUNTED = 1 << 22
 _WORDS = 16  # 64-bit words of a bit signature
 
 
@@ -53,28 +52,39 @@ def _need(n: int, percent: int) -> int:
 def frequent_shingles(docs: DataFrame, n: int, rare: int = RARE, most: int = MOST_FREQUENT) -> np.ndarray:
     """Hashes of frequent shingles, at most ``most``, sorted.
 
-    Each run of documents with some two million shingles counts all of them and
-    hands on those that four documents have. The bar is the mean that ``most`` shingles could have, so
-    no more than ``most`` pass it. Any set gives right results; a good one keeps
-    common passages out of the prefixes.
+    Each run of documents with some four million shingles counts all of them and
+    hands on those that two documents have. Those of ``rare`` documents or more are taken; if
+    they are over ``most``, those over the least power of two that no more than ``most`` reach.
+    Any set gives right results; a good one keeps common passages out of the prefixes.
     """
 
+    def repeated(sets: list[np.ndarray]) -> pa.RecordBatch:
+        keys, counts = np.unique(np.concatenate(sets), return_counts=True)
+        often = counts > 1
+        return pa.RecordBatch.from_arrays([pa.array(keys[often].view(np.int64)), pa.array(counts[often])], names=["key", "n"])
+
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sets, size = [], 0
         for batch in batches:
-            sets, size = [], 0
-            for i, found in shingle_sets(batch.column("text"), n):
+            for _, found in shingle_sets(batch.column("text"), n):
                 sets.append(found)
                 size += len(found)
-                if size >= _COUNTED or i + 1 == batch.num_rows:
-                    keys, counts = np.unique(np.concatenate(sets), return_counts=True)
-                    often = counts >= _LOCAL
-                    yield pa.RecordBatch.from_arrays([pa.array(keys[often].view(np.int64)), pa.array(counts[often])], names=["key", "n"])
+                if size >= _COUNTED:
+                    yield repeated(sets)
                     sets, size = [], 0
+        if sets:
+            yield repeated(sets)
 
     counted = docs.select(F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")).mapInArrow(count, "key bigint, n bigint")
-    counted = stored(counted.groupBy("key").agg(F.sum("n").alias("n")), "shingle_counts")
-    total = counted.agg(F.sum("n")).first()[0] or 0
-    found = counted.where(F.col("n") >= max(rare, total / most)).select("key").toArrow()
+    counted = stored(counted.groupBy("key").agg(F.sum("n").alias("n")).where(F.col("n") >= rare), "shingle_counts")
+    power = F.floor(F.log2("n")).alias("power")
+    bar, total = rare, 0
+    for level, keys in sorted(counted.groupBy(power).agg(F.count("*")).collect(), reverse=True):
+        total += keys
+        if total > most:
+            bar = 2 ** (level + 1)
+            break
+    found = counted.where(F.col("n") >= max(rare, bar)).select("key").toArrow()
     return np.sort(found.column("key").to_numpy().view(np.uint64))
 
 
