@@ -12,7 +12,7 @@ signatures and are verified on the whole texts.
 
 What is wanted are the classes that links form, so documents that are in one
 class already are never compared: equal sets are one node from the start, a few
-rounds link the members of a family to leaders, and keys all of whose documents
+rounds link the members of a family, or the documents of a frequent key, to leaders, and keys all of whose documents
 are in one class are dropped. The documents of a key that many have are compared
 by their bit signatures, block by block, and only pairs that can link become rows.
 """
@@ -36,6 +36,7 @@ from metacurate.operators.joins import join_unique
 
 RARE = 64  # documents or classes of a key that are compared pair by pair
 ROUNDS = 2
+KEY_ROUNDS = 3
 MOST_FREQUENT = 1 << 18  # shingles whose frequency the order knows of, 2 MB
 BLOCK = 512
 BROADCAST_ROWS = 1 << 20
@@ -261,26 +262,24 @@ def _block_pairs(keyed: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
     return dealt.groupBy("key", "low", "high").applyInPandas(compare, "a bigint, b bigint")
 
 
-def _candidates(entries: DataFrame, nodes: DataFrame, percent: int, rare: int, single: bool) -> tuple[DataFrame, DataFrame | None]:
-    """Pairs from the keys that more than one class has. Single shingles of many classes give none; their entries are returned."""
-    hits = stored(join_unique(entries, _spanning(entries), "key"), "index")
-    many = hits.where(F.col("n") > rare)
-    shared = _document_pairs(hits.where(F.col("n") <= rare), percent).groupBy(
+def _rare_pairs(hits: DataFrame, percent: int) -> DataFrame:
+    """Pairs of documents of different classes that share keys, with the number ``n`` of these."""
+    return _document_pairs(hits, percent).groupBy(
         F.col("a_doc_id").alias("a"), F.col("b_doc_id").alias("b"), "a_size", "b_size"
     ).agg(F.count("*").alias("n"))
-    if not single:
-        return shared.select("a", "b").union(_block_pairs(many, nodes, percent)), None
-    classes = stored(many.select("key", "class").distinct().groupBy("key").agg(F.count("*").alias("classes")), "key_classes")
-    few = join_unique(many, classes.where(F.col("classes") <= rare), "key", "left_semi")
-    rest = join_unique(many, classes.where(F.col("classes") > rare), "key", "left_semi").drop("n")
-    # what two sets share is at most the light and the other keys of both prefixes, and the longer rest of the sets
+
+
+def _able_pairs(shared: DataFrame, many: DataFrame, percent: int) -> DataFrame:
+    """Pairs of ``_rare_pairs`` that can link, given that ``many`` has each document's other keys.
+
+    What two sets share is at most the light and the other keys of both prefixes, and the longer rest of the sets.
+    """
     others = stored(many.groupBy("doc_id").agg(F.count("*").alias("f")), "other_keys")
     for side in ("a", "b"):
         shared = join_unique(shared, others.select(F.col("doc_id").alias(side), F.col("f").alias(f"{side}_f")), side, "left")
     rest_of = lambda c: F.greatest(F.ceil(F.col(c) * percent / 100) - _K, F.lit(0))
     most = F.col("n") + F.coalesce(F.least("a_f", "b_f"), F.lit(0)) + F.greatest(rest_of("a_size"), rest_of("b_size"))
-    shared = shared.where(most * (100 + percent) >= percent * (F.col("a_size") + F.col("b_size")))
-    return shared.select("a", "b").union(_block_pairs(few, nodes, percent)), rest
+    return shared.where(most * (100 + percent) >= percent * (F.col("a_size") + F.col("b_size"))).select("a", "b")
 
 
 def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80, rare: int = RARE) -> DataFrame:
@@ -318,32 +317,51 @@ def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80, rare: int =
     def add(pairs: DataFrame) -> DataFrame:
         return stored(links.union(verified(pairs, nodes, docs, n, percent)), "links")
 
-    # families: nodes that agree on two of their three least shingles try a leader, another one each round
+    def star_rounds(keyed: DataFrame, rounds: int) -> None:
+        """Documents of a key try a leader of another class, another leader each round. ``keyed`` is ``key, doc_id, size``."""
+        nonlocal links
+        for turn in range(rounds):
+            current = stored(classed(keyed), "star_classes")
+            order = F.struct(F.xxhash64(F.lit(turn), "doc_id") if turn else F.lit(0).cast("bigint"), "doc_id", "class", "size")
+            groups = current.groupBy("key").agg(F.min("class").alias("low"), F.max("class").alias("high"), F.min(order).alias("lead"))
+            leaders = groups.where("low <> high").select("key", *[F.col(f"lead.{c}").alias(f"a_{c}") for c in ("doc_id", "size", "class")])
+            met = join_unique(current.withColumnRenamed("size", "b_size"), leaders, "key").where(F.col("class") != F.col("a_class"))
+            stars = met.where(_close(percent)).select(F.col("a_doc_id").alias("a"), F.col("doc_id").alias("b"))
+            stars = stored(stars.distinct(), "stars")
+            if stars.isEmpty():
+                break
+            links = add(stars)
+
+    # families: nodes that agree on two of their three least shingles
     keys = F.array(*[F.xxhash64(F.lit(10 * i + j), F.get("least", F.lit(i)), F.get("least", F.lit(j))) for i, j in ((0, 1), (0, 2), (1, 2))])
-    keyed = stored(nodes.select("doc_id", F.explode(keys).alias("key")), "family_keys")
-    for turn in range(ROUNDS):
-        current = stored(classed(keyed), "family_classes")
-        order = F.struct(F.xxhash64(F.lit(turn), "doc_id") if turn else F.lit(0).cast("bigint"), "doc_id", "class")
-        groups = current.groupBy("key").agg(F.min("class").alias("low"), F.max("class").alias("high"), F.min(order).alias("lead"))
-        leaders = groups.where("low <> high").select("key", F.col("lead.doc_id").alias("a"), F.col("lead.class").alias("lead_class"))
-        stars = stored(join_unique(current, leaders, "key").where("class <> lead_class").select("a", F.col("doc_id").alias("b")).distinct(), "stars")
-        if stars.isEmpty():
-            break
-        links = add(stars)
+    star_rounds(stored(nodes.select("doc_id", "size", F.explode(keys).alias("key")), "family_keys"), ROUNDS)
 
-    # single shingles of the prefixes
+    # single shingles of the prefixes, first those of many documents with leaders
     current = classed(nodes.select("doc_id", "size", "prefix"))
     entries = current.select("doc_id", "size", "class", F.explode("prefix").alias("key"))
-    pairs, rest = _candidates(entries, nodes, percent, rare, single=True)
-    links = add(pairs)
+    hits = stored(join_unique(entries, _spanning(entries), "key"), "index")
+    often = stored(hits.where(F.col("n") > rare).select("key", "doc_id", "size"), "often")
+    star_rounds(often, KEY_ROUNDS)
+    often = stored(classed(often), "often_classes")
+    many = stored(join_unique(often, _spanning(often), "key"), "spanning")
+    classes = stored(many.select("key", "class").distinct().groupBy("key").agg(F.count("*").alias("classes")), "key_classes")
+    few = join_unique(many, classes.where(F.col("classes") <= rare), "key", "left_semi")
+    rest = join_unique(many, classes.where(F.col("classes") > rare), "key", "left_semi")
+    # a pair that is in one class by now loses nothing if it is left out
+    light = _able_pairs(_rare_pairs(hits.where(F.col("n") <= rare), percent), many, percent)
+    links = add(light.union(_block_pairs(few, nodes, percent)))
 
     # pairs of frequent shingles
     heavy = stored(rest.groupBy("doc_id", "size").agg(F.sort_array(F.collect_list("key")).alias("keys")), "frequent")
     if not heavy.isEmpty():
         later = F.transform("keys", lambda x, i: F.transform(F.slice("keys", i + 2, F.size("keys")), lambda y: F.xxhash64(x, y)))
         combined = classed(heavy).select("doc_id", "size", "class", F.explode(F.flatten(later)).alias("key"))
-        pairs, _ = _candidates(combined, nodes, percent, rare, single=False)
-        links = add(pairs)
+        hits = stored(join_unique(combined, _spanning(combined), "key"), "pair_index")
+        often = stored(hits.where(F.col("n") > rare).select("key", "doc_id", "size"), "often")
+        star_rounds(often, ROUNDS)
+        often = stored(classed(often), "often_classes")
+        shared = _rare_pairs(hits.where(F.col("n") <= rare), percent).select("a", "b")
+        links = add(shared.union(_block_pairs(join_unique(often, _spanning(often), "key"), nodes, percent)))
 
     found = components(links).select(F.col("node").alias("doc_id"), "component")
     named = join_unique(nodes.select("fingerprint", "doc_id"), found, "doc_id", "left").select(
