@@ -7,7 +7,6 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-_BASE = 0x9E3779B97F4A7C15  # odd, so that it has an inverse modulo 2**64
 _STEP = 1 << 19  # bytes of text handled at once; a longer text is handled alone
 
 _SPACE = np.zeros(256, bool)
@@ -15,21 +14,7 @@ _SPACE[[0x20, *range(0x09, 0x0E)]] = True
 _FOLD = np.arange(1, 257, dtype=np.uint64)
 _FOLD[65:91] += 32  # A-Z as a-z
 
-_powers: tuple[np.ndarray, np.ndarray] | None = None
-
-
-def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of the base and of its inverse, modulo 2**64."""
-    global _powers
-    if _powers is None or len(_powers[0]) < n:
-        size = max(n, _STEP)
-        tables = []
-        for base in (_BASE, pow(_BASE, -1, 1 << 64)):
-            t = np.full(size, base, np.uint64)
-            t[0] = 1
-            tables.append(np.multiply.accumulate(t))
-        _powers = tables[0], tables[1]
-    return _powers
+_weights = np.zeros(0, np.uint64)
 
 
 def mix(h: np.ndarray) -> np.ndarray:
@@ -39,8 +24,21 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(31))
 
 
+def _place_weights(n: int) -> np.ndarray:
+    """An unrelated 64-bit weight for each of at least ``n`` places in a word."""
+    global _weights
+    if len(_weights) < n:
+        places = np.arange(1, max(n, 2 * len(_weights), 1024) + 1, dtype=np.uint64)
+        _weights = mix(places * np.uint64(0x9E3779B97F4A7C15))
+    return _weights
+
+
 def _word_hashes(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Hash of each word of the texts ``data[bounds[i]:bounds[i + 1]]``, and the place of each text's first word."""
+    """Hash of each word of the texts ``data[bounds[i]:bounds[i + 1]]``, and the place of each text's first word.
+
+    Each byte counts with the weight of its place in the word. The weights follow no formula in the
+    place that a text could balance, as the powers of one base would.
+    """
     n = len(data)
     if n == 0:
         return np.zeros(0, np.uint64), np.zeros(len(bounds), np.int64)
@@ -52,11 +50,13 @@ def _word_hashes(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.n
     last = ink.copy()
     last[:-1] &= ~ink[1:] | cut[1:n]
     starts, ends = np.flatnonzero(first), np.flatnonzero(last) + 1
-    powers, inverses = _power_tables(n)
+    if not len(starts):
+        return np.zeros(0, np.uint64), np.zeros(len(bounds), np.int64)
+    lead = int(starts[0])
+    places = np.arange(lead, n) - np.repeat(starts, np.diff(starts, append=n))
     total = np.zeros(n + 1, np.uint64)
-    np.cumsum(_FOLD[data] * powers[:n], out=total[1:])
-    raw = (total[ends] - total[starts]) * inverses[starts]
-    hashes = mix(raw + (ends - starts).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
+    np.cumsum(_FOLD[data[lead:]] * _place_weights(int(places.max()) + 1)[places], out=total[lead + 1 :])
+    hashes = mix(total[ends] - total[starts] + (ends - starts).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
     return hashes, np.searchsorted(starts, bounds)
 
 

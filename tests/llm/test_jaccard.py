@@ -89,9 +89,13 @@ def test_long_documents(spark):
 
 
 def test_edges(spark):
+    balanced = "a"
+    while len(balanced) < 1024:  # words that a polynomial hash modulo 2**64 takes for one
+        balanced += balanced.translate(str.maketrans("ab", "ba"))
     rows = [
         (1, None), (2, ""), (3, " \n\t"), (4, "one"), (5, "ONE"), (6, "one two"), (None, "one two"), (7, "one two"), (8, "two one"),
         (9, "é one two"), (10, "É one two"), (10, "É one two"), (11, "x " * 5000), (11, "one"), (12, "x x x"), (None, None),
+        (13, balanced), (14, balanced.translate(str.maketrans("ab", "ba"))),
     ]
     check(spark, rows, 3, 90)
     check(spark, [], 3, 90)

@@ -40,3 +40,13 @@ def test_words_and_shingles(monkeypatch):
                 assert len(found) == len(own) and (found[1:] > found[:-1]).all()
                 shingles[frozenset(own)] = shingles.setdefault(frozenset(own), found.tolist())
                 assert shingles[frozenset(own)] == found.tolist()
+
+
+def test_balanced_words_differ():
+    word = "a"
+    while len(word) < 4096:  # the Thue-Morse word and its complement agree under any base modulo 2**64
+        word += word.translate(str.maketrans("ab", "ba"))
+    other = word.translate(str.maketrans("ab", "ba"))
+    for n in (64, 1024, 4096):
+        one, two = (found for _, found in ngrams.shingle_sets(pa.array([word[:n], other[:n]]), 3))
+        assert one.tolist() != two.tolist()
