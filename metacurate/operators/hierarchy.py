@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from functools import reduce
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
@@ -11,6 +12,7 @@ from metacurate.operators.checkpoints import stored
 from metacurate.operators.joins import join_unique
 
 INLINE = "inline type"
+ROWS_PER_TASK = 1 << 19
 
 
 def is_mandatory() -> Column:
@@ -26,7 +28,7 @@ def inline_types(edges: DataFrame) -> DataFrame:
     return edges.withColumn("type", F.when(F.col("type") == INLINE, own).otherwise(F.col("type")))
 
 
-def expand(edges: DataFrame, root: str = "") -> DataFrame:
+def expand(edges: DataFrame, root: str = "", rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
     """All nodes reachable from the root elements, once per path.
 
     ``edges`` is ``(file, parent, name, type, …)``; the children of a node are the
@@ -34,40 +36,35 @@ def expand(edges: DataFrame, root: str = "") -> DataFrame:
     ``path`` (types from the root down to its parent) and ``depth``. A type that
     is already on the path is not entered again, so cycles end.
 
-    The edges are derived once and stored. Each level is one join of the previous
-    level to them, cut off by a reliable checkpoint: lineage does not grow with depth, and a lost executor
-    re-reads files instead of recomputing the levels above.
+    The edges are derived once and stored. The levels follow the distinct types of the parents, not the
+    nodes, so what a level stores grows with the number of paths. The nodes are one
+    join of all paths to the edges, which is not stored: Parquet files of so many repeated paths are
+    small, and a task that reads one back gets far more rows than its size tells. The edges are dealt
+    so that a task makes some ``rows_per_task`` nodes.
     """
     columns = edges.columns
-    carried = [c for c in columns if c != "file"]
     edges = stored(edges, "edges")
-    level = stored(
-        edges.where(F.col("parent") == root)
-        .withColumn("path", F.array().cast("array<string>"))
-        .withColumn("depth", F.lit(0))
-    )
-    levels = [level]
-    depth = 0
-    while True:
-        depth += 1
-        # siblings of one type lead to the same children on the same path: entered once
-        entered = level.where(
-            F.col("type").isNotNull() & (F.col("type") != root) & ~F.array_contains("path", F.col("type"))
-        ).select(
-            "file", F.col("type").alias("parent"), F.array_append("path", F.col("type")).alias("path")
-        )
-        level = stored(
-            entered.distinct()
-            .join(edges, ["file", "parent"])
-            .select("file", *carried, "path", F.lit(depth).alias("depth"))
-        )
-        if level.isEmpty():
-            break
+    roots = edges.where(F.col("parent") == root)
+    uses = edges.where(F.col("type").isNotNull() & (F.col("type") != root)).select("file", "parent", "type").distinct()
+    counts = stored(edges.groupBy("file", "parent").agg(F.count("*").alias("n")), "children")
+    # only types with children lead on
+    inner = stored(join_unique(uses, counts.select("file", F.col("parent").alias("type")), ["file", "type"], "left_semi"), "types")
+    level = stored(inner.where(F.col("parent") == root).select("file", F.col("type").alias("parent"), F.array("type").alias("path")), "paths")
+    levels = []
+    while not level.isEmpty():
         levels.append(level)
-    out = levels[0]
-    for part in levels[1:]:
-        out = out.unionByName(part)
-    return out.select(*columns, "path", "depth")
+        further = level.join(inner, ["file", "parent"]).where(~F.array_contains("path", F.col("type")))
+        level = stored(further.select("file", F.col("type").alias("parent"), F.array_append("path", F.col("type")).alias("path")), "paths")
+    out = roots.select(*columns, F.array().cast("array<string>").alias("path"), F.lit(0).alias("depth"))
+    if not levels:
+        return out
+    paths = reduce(DataFrame.unionByName, levels)
+    fans = join_unique(paths.groupBy("file", "parent").agg(F.count("*").alias("fan")), counts, ["file", "parent"])
+    n_nodes = fans.agg(F.coalesce(F.sum(F.col("fan") * F.col("n")), F.lit(0))).first()[0]
+    if n_nodes > rows_per_task:
+        edges = edges.repartition(-(-n_nodes // rows_per_task), "file", "parent", "name", "type")
+    below = edges.join(paths, ["file", "parent"])
+    return out.unionByName(below.select(*columns, "path", F.size("path").alias("depth")))
 
 
 class PathDictionary(NamedTuple):

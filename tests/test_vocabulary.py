@@ -124,6 +124,25 @@ def test_path_dictionary(spark, edges):
     assert labelled.count() > 3
 
 
+def test_expansion_stores_paths_not_nodes(spark, monkeypatch):
+    leaves = [("s", "B", f"leaf{i}", "xs:string") for i in range(300)]
+    tree = [("s", "", f"root{i}", f"R{i}") for i in range(4)] + [("s", f"R{i}", f"way{i}", "B") for i in range(4)]
+    edges = spark.createDataFrame(tree + leaves, "file string, parent string, name string, type string")
+    sizes, real = {}, h.stored
+
+    def counted(df, label="stored"):
+        table = real(df, label)
+        sizes[label] = max(sizes.get(label, 0), table.count())
+        return table
+
+    monkeypatch.setattr(h, "stored", counted)
+    nodes = h.expand(edges, rows_per_task=100)
+    per_task = [n for _, n in nodes.where("depth = 2").groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(per_task) == 4 * 300
+    assert max(per_task) < 300
+    assert max(n for label, n in sizes.items() if label != "edges") < 20
+
+
 def test_expansion_of_no_edges(edges):
     assert h.expand(edges.where("false")).count() == 0
 
