@@ -8,33 +8,41 @@ from pyspark.sql import functions as F
 from metacurate.operators.checkpoints import stored
 from metacurate.operators.joins import join_unique
 
+BROADCAST_ROWS = 1 << 20
+ROWS_PER_TASK = 1 << 16
+
 
 def components(links: DataFrame) -> DataFrame:
     """``node, component`` for every node of ``links(a, b)``; the component is its smallest node.
 
-    Each round takes the smallest label among the neighbours and then the label
-    of that label, so paths halve. Labels are stored each round, which cuts the
-    lineage; hot nodes are split by the joins. Links to null are ignored.
+    Each round a node takes the label of the smallest label among its neighbours
+    and itself, so paths halve. Labels are stored each round, which cuts the
+    lineage. Labels of at most 2**20 links are broadcast, and written by as many tasks as they fill, so that a round
+    costs one grouping; beyond that, hot nodes are split by the joins. Links to null are ignored.
     """
     pairs = links.where("a IS NOT NULL AND b IS NOT NULL AND a <> b").select("a", "b")
-    both = stored(pairs.union(pairs.select(F.col("b"), F.col("a"))).distinct(), "links")
-    labels = stored(both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("m")).select(
-        "node", F.least("node", "m").alias("component"), F.lit(True).alias("moved")), "labels")
-    while not labels.where("moved").isEmpty():
-        known = labels.select("node", "component")
-        seen = join_unique(both, known.select(F.col("node").alias("b"), F.col("component").alias("m")), "b")
-        nearest = seen.groupBy(F.col("a").alias("node")).agg(F.min("m").alias("m"))
-        lowered = stored(
-            join_unique(known, nearest, "node").select(
-                "node", F.least("component", "m").alias("component"), F.col("component").alias("before")
-            ),
-            "lowered",
-        )
-        parents = lowered.select(F.col("node").alias("component"), F.col("component").alias("parent"))
+    tasks = max(1, -(-4 * pairs.count() // ROWS_PER_TASK))
+    # both ways, and from each node to itself
+    both = stored(
+        pairs.select(F.explode(F.array(*[F.struct(F.col(x).alias("a"), F.col(y).alias("b")) for x, y in ("ab", "ba", "aa", "bb")])).alias("l"))
+        .select("l.*").distinct().coalesce(tasks),
+        "links",
+    )
+    n = both.count()
+
+    def labelled(df: DataFrame, labels: DataFrame, key: str, label: str) -> DataFrame:
+        known = labels.select(F.col("node").alias(key), F.col("component").alias(label))
+        return df.join(F.broadcast(known), key) if n <= BROADCAST_ROWS else join_unique(df, known, key)
+
+    labels = stored(both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("component")).coalesce(tasks), "labels")
+    moved = n > 0
+    while moved:
+        own = F.min(F.when(F.col("a") == F.col("b"), F.col("m")))
+        nearest = labelled(both, labels, "b", "m").groupBy(F.col("a").alias("node")).agg(F.min("m").alias("m"), own.alias("before"))
         labels = stored(
-            join_unique(lowered, parents, "component").select(
-                "node", F.col("parent").alias("component"), (F.col("parent") < F.col("before")).alias("moved")
-            ),
+            labelled(nearest, labels, "m", "component")
+            .select("node", "component", (F.col("component") < F.col("before")).alias("moved")).coalesce(tasks),
             "labels",
-        )
+        )
+        moved = not labels.where("moved").isEmpty()
     return labels.select("node", "component")

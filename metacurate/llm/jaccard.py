@@ -40,6 +40,9 @@ KEY_ROUNDS = 3
 MOST_FREQUENT = 1 << 18  # shingles whose frequency the order knows of, 2 MB
 BLOCK = 512
 BROADCAST_ROWS = 1 << 20
+BROADCAST_BYTES = 1 << 24
+TEXTS_PER_TASK = 256
+ROWS_PER_TASK = 1 << 16
 _K = 2
 _COUNTED = 1 << 22
 _WORDS = 16  # 64-bit words of a bit signature
@@ -161,36 +164,46 @@ def _narrowed(a: Column, b: Column) -> Column:
     return F.when(F.array_size(a) > words, halves).otherwise(a)
 
 
-def _picked(df: DataFrame, ids: DataFrame, on: list[str]) -> DataFrame:
-    """Rows of ``df`` whose ``on`` are in the stored table ``ids``, which is broadcast if it has at most 2**20 rows."""
-    if ids.count() <= BROADCAST_ROWS:
+def _picked(df: DataFrame, ids: DataFrame, on: list[str], n: int) -> DataFrame:
+    """Rows of ``df`` whose ``on`` are among the ``n`` rows of ``ids``, which are broadcast if they are at most 2**20."""
+    if n <= BROADCAST_ROWS:
         return df.join(F.broadcast(ids), on, "left_semi")
-    return join_unique(df, ids, on, "left_semi")
+    return join_unique(df, ids.distinct(), on, "left_semi")
+
+
+def _attached(df: DataFrame, side: DataFrame, on: str | list[str], size: int) -> DataFrame:
+    """``df`` joined to ``side``, unique by ``on``, which is broadcast if its ``size`` is at most 16 MB."""
+    if size <= BROADCAST_BYTES:
+        return df.join(F.broadcast(side), on)
+    return join_unique(df, side, on)
 
 
 def verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, n: int, percent: int) -> DataFrame:
-    """The pairs ``(a, b)`` of nodes that link. Bit signatures rule most out; the others' whole texts are read."""
-    pairs = stored(pairs.select("a", "b").distinct(), "pairs")
-    ids = stored(pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct(), "pair_ids")
-    known = _picked(nodes.select("doc_id", "text_hash", "size", "bits", "wide"), ids, ["doc_id"])
+    """The distinct, stored ``pairs`` ``(a, b)`` of nodes that link. Bit signatures rule most out; the others' whole texts are read."""
+    ids = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b"))
+    known = stored(_picked(nodes.select("doc_id", "text_hash", "size", "bits", "wide"), ids, ["doc_id"], 2 * pairs.count()), "pair_nodes")
+    size = known.agg(F.coalesce(F.sum(8 * (3 + F.size("bits") + F.greatest(F.size("wide"), F.lit(0)))), F.lit(0))).first()[0]
     marks = lambda c: known.select(F.col("doc_id").alias(c), *[F.col(x).alias(f"{c}_{x}") for x in ("text_hash", "size", "bits", "wide")])
-    signed = join_unique(join_unique(pairs, marks("a"), "a"), marks("b"), "b")
+    signed = _attached(_attached(pairs.select("a", "b"), marks("a"), "a", size), marks("b"), "b", size)
     spread = _spread(F.col("a_size") + F.col("b_size"), percent)
     able = signed.where(_close(percent) & (_differ(F.col("a_bits"), F.col("b_bits")) <= spread))
     a, b = F.col("a_wide"), F.col("b_wide")
     able = able.where(F.coalesce(_differ(_narrowed(a, b), _narrowed(b, a)), F.lit(0)) <= spread)
     pairs = stored(able.select("a", "a_text_hash", "b", "b_text_hash"), "candidates")
-    if pairs.isEmpty():
+    n_used = 2 * pairs.count()
+    if not n_used:
         return pairs.select("a", "b")
     used = pairs.select(F.col("a").alias("doc_id"), F.col("a_text_hash").alias("text_hash")).union(pairs.select("b", "b_text_hash"))
     texts = docs.select(
         F.col("doc_id").cast("bigint"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")
     ).withColumn("text_hash", F.xxhash64("text"))
-    chosen = _picked(texts, stored(used.distinct(), "used"), ["doc_id", "text_hash"])
+    chosen = _picked(texts, used, ["doc_id", "text_hash"], n_used)
     # repeated rows have one text
-    chosen = stored(chosen.groupBy("doc_id", "text_hash").agg(F.first("text").alias("text")), "texts")
+    chosen = chosen.groupBy("doc_id", "text_hash").agg(F.first("text").alias("text"))
+    chosen = stored(chosen.coalesce(-(-n_used // TEXTS_PER_TASK)), "texts")
+    size = chosen.agg(F.sum(F.octet_length("text") + 24)).first()[0]
     side = lambda c: chosen.select(F.col("doc_id").alias(c), F.col("text_hash").alias(f"{c}_text_hash"), F.col("text").alias(f"{c}_text"))
-    both = join_unique(join_unique(pairs, side("a"), ["a", "a_text_hash"]), side("b"), ["b", "b_text_hash"])
+    both = _attached(_attached(pairs, side("a"), ["a", "a_text_hash"], size), side("b"), ["b", "b_text_hash"], size)
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -274,7 +287,8 @@ def _able_pairs(shared: DataFrame, many: DataFrame, percent: int) -> DataFrame:
 
     What two sets share is at most the light and the other keys of both prefixes, and the longer rest of the sets.
     """
-    others = stored(many.groupBy("doc_id").agg(F.count("*").alias("f")), "other_keys")
+    tasks = max(1, -(-many.count() // ROWS_PER_TASK))
+    others = stored(many.groupBy("doc_id").agg(F.count("*").alias("f")).coalesce(tasks), "other_keys")
     for side in ("a", "b"):
         shared = join_unique(shared, others.select(F.col("doc_id").alias(side), F.col("f").alias(f"{side}_f")), side, "left")
     rest_of = lambda c: F.greatest(F.ceil(F.col(c) * percent / 100) - _K, F.lit(0))
@@ -317,17 +331,22 @@ def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80, rare: int =
     def add(pairs: DataFrame) -> DataFrame:
         return stored(links.union(verified(pairs, nodes, docs, n, percent)), "links")
 
+    def distinct_pairs(pairs: DataFrame) -> DataFrame:
+        return stored(pairs.select("a", "b").distinct(), "pairs")
+
     def star_rounds(keyed: DataFrame, rounds: int) -> None:
         """Documents of a key try a leader of another class, another leader each round. ``keyed`` is ``key, doc_id, size``."""
         nonlocal links
         for turn in range(rounds):
             current = stored(classed(keyed), "star_classes")
+            tasks = max(1, -(-current.count() // ROWS_PER_TASK))
             order = F.struct(F.xxhash64(F.lit(turn), "doc_id") if turn else F.lit(0).cast("bigint"), "doc_id", "class", "size")
             groups = current.groupBy("key").agg(F.min("class").alias("low"), F.max("class").alias("high"), F.min(order).alias("lead"))
             leaders = groups.where("low <> high").select("key", *[F.col(f"lead.{c}").alias(f"a_{c}") for c in ("doc_id", "size", "class")])
-            met = join_unique(current.withColumnRenamed("size", "b_size"), leaders, "key").where(F.col("class") != F.col("a_class"))
-            stars = met.where(_close(percent)).select(F.col("a_doc_id").alias("a"), F.col("doc_id").alias("b"))
-            stars = stored(stars.distinct(), "stars")
+            leaders = stored(leaders.coalesce(tasks), "leaders")
+            met = _attached(current.withColumnRenamed("size", "b_size"), leaders, "key", 32 * leaders.count())
+            stars = met.where((F.col("class") != F.col("a_class")) & _close(percent)).select(F.col("a_doc_id").alias("a"), F.col("doc_id").alias("b"))
+            stars = stored(stars.distinct().coalesce(tasks), "stars")
             if stars.isEmpty():
                 break
             links = add(stars)
@@ -344,15 +363,18 @@ def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80, rare: int =
     star_rounds(often, KEY_ROUNDS)
     often = stored(classed(often), "often_classes")
     many = stored(join_unique(often, _spanning(often), "key"), "spanning")
-    classes = stored(many.select("key", "class").distinct().groupBy("key").agg(F.count("*").alias("classes")), "key_classes")
+    tasks = max(1, -(-many.count() // ROWS_PER_TASK))
+    classes = many.select("key", "class").distinct().groupBy("key").agg(F.count("*").alias("classes"))
+    classes = stored(classes.coalesce(tasks), "key_classes")
     few = join_unique(many, classes.where(F.col("classes") <= rare), "key", "left_semi")
     rest = join_unique(many, classes.where(F.col("classes") > rare), "key", "left_semi")
     # a pair that is in one class by now loses nothing if it is left out
     light = _able_pairs(_rare_pairs(hits.where(F.col("n") <= rare), percent), many, percent)
-    links = add(light.union(_block_pairs(few, nodes, percent)))
+    links = add(distinct_pairs(light.union(_block_pairs(few, nodes, percent))))
 
     # pairs of frequent shingles
-    heavy = stored(rest.groupBy("doc_id", "size").agg(F.sort_array(F.collect_list("key")).alias("keys")), "frequent")
+    heavy = rest.groupBy("doc_id", "size").agg(F.sort_array(F.collect_list("key")).alias("keys"))
+    heavy = stored(heavy.coalesce(tasks), "frequent")
     if not heavy.isEmpty():
         later = F.transform("keys", lambda x, i: F.transform(F.slice("keys", i + 2, F.size("keys")), lambda y: F.xxhash64(x, y)))
         combined = classed(heavy).select("doc_id", "size", "class", F.explode(F.flatten(later)).alias("key"))
@@ -361,7 +383,7 @@ def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80, rare: int =
         star_rounds(often, ROUNDS)
         often = stored(classed(often), "often_classes")
         shared = _rare_pairs(hits.where(F.col("n") <= rare), percent).select("a", "b")
-        links = add(shared.union(_block_pairs(join_unique(often, _spanning(often), "key"), nodes, percent)))
+        links = add(distinct_pairs(shared.union(_block_pairs(join_unique(often, _spanning(often), "key"), nodes, percent))))
 
     found = components(links).select(F.col("node").alias("doc_id"), "component")
     named = join_unique(nodes.select("fingerprint", "doc_id"), found, "doc_id", "left").select(

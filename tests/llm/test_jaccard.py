@@ -4,6 +4,7 @@ import random
 
 import pytest
 
+from metacurate.llm import graphs, jaccard
 from metacurate.llm.graphs import components
 from metacurate.llm.jaccard import near_duplicates
 from test_ngrams import words
@@ -88,6 +89,30 @@ def test_long_documents(spark):
     check(spark, list(enumerate(texts)), 5, 80, rare=3)
 
 
+def test_small_tables_are_written_by_few_tasks(spark, monkeypatch):
+    files, real = {}, jaccard.stored
+
+    def counted(df, label="stored"):
+        table = real(df, label)
+        files[label] = max(files.get(label, 0), len(table.inputFiles()))
+        return table
+
+    monkeypatch.setattr(jaccard, "stored", counted)
+    monkeypatch.setattr(graphs, "stored", counted)
+    before = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "16")
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        rnd = random.Random(11)
+        texts = family(rnd, [f"v{i}" for i in range(500)], 60, 60, 3)
+        check(spark, list(enumerate(texts)), 3, 90, rare=4)
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert {"labels", "leaders", "stars", "texts", "key_classes"} <= files.keys()
+    assert max(files[k] for k in ("labels", "leaders", "stars", "texts", "key_classes", "other_keys")) == 1
+
+
 def test_edges(spark):
     balanced = "a"
     while len(balanced) < 1024:  # words that a polynomial hash modulo 2**64 takes for one
