@@ -53,6 +53,23 @@ def _need(n: int, percent: int) -> int:
     return -(-percent * n // 100)
 
 
+def repeated(sets: list[np.ndarray]) -> pa.RecordBatch:
+    """``key, n`` of the hashes that occur more than once in ``sets``, which is emptied.
+
+    Sorted in place and cut by flags, so that it takes the hashes twice at most.
+    """
+    keys = np.concatenate(sets)
+    sets.clear()
+    keys.sort()
+    again = keys[1:] == keys[:-1]
+    first, last = again.copy(), again.copy()
+    first[1:] &= ~again[:-1]
+    last[:-1] &= ~again[1:]
+    starts = np.flatnonzero(first)
+    counts = np.flatnonzero(last) - starts + 2
+    return pa.RecordBatch.from_arrays([pa.array(keys[starts].view(np.int64)), pa.array(counts)], names=["key", "n"])
+
+
 def frequent_shingles(docs: DataFrame, n: int, rare: int = RARE, most: int = MOST_FREQUENT) -> np.ndarray:
     """Hashes of frequent shingles, at most ``most``, sorted.
 
@@ -62,11 +79,6 @@ def frequent_shingles(docs: DataFrame, n: int, rare: int = RARE, most: int = MOS
     Any set gives right results; a good one keeps common passages out of the prefixes.
     """
 
-    def repeated(sets: list[np.ndarray]) -> pa.RecordBatch:
-        keys, counts = np.unique(np.concatenate(sets), return_counts=True)
-        often = counts > 1
-        return pa.RecordBatch.from_arrays([pa.array(keys[often].view(np.int64)), pa.array(counts[often])], names=["key", "n"])
-
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sets, size = [], 0
         for batch in batches:
@@ -75,7 +87,7 @@ def frequent_shingles(docs: DataFrame, n: int, rare: int = RARE, most: int = MOS
                 size += len(found)
                 if size >= _COUNTED:
                     yield repeated(sets)
-                    sets, size = [], 0
+                    size = 0
         if sets:
             yield repeated(sets)
 

@@ -35,6 +35,7 @@ KINDS = ("email", "ip", "card", "phone", "id")
 _DIGIT = re.compile("[0-9]")
 _WORD = re.compile(r"\S+")
 _LONG = 64
+_BATCH = 256  # rows whose contexts or texts are Python objects at once
 ROUNDS = 3
 MIN_SUPPORT = 3.0
 MIN_SCORE = 0.8
@@ -123,6 +124,13 @@ def contexts(text: str, spans: Sequence[tuple[int, int, int]]) -> list[tuple[int
     return out
 
 
+def small_batches(batches: Iterator[pa.RecordBatch], rows: int = _BATCH) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches of at most ``rows``."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def scan(docs: DataFrame, keep: Sequence[str]) -> DataFrame:
     """``keep`` columns, fixed spans and contexts of each row, and a ``_row`` id."""
     kept = docs.select(*keep, F.coalesce(F.col("text").cast("string"), F.lit("")).alias("_text"))
@@ -135,7 +143,7 @@ def scan(docs: DataFrame, keep: Sequence[str]) -> DataFrame:
     )
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small_batches(batches):
             base, around = [], []
             for text in batch.column("_text"):
                 text = text.as_py()
@@ -218,7 +226,7 @@ def redacted(found: DataFrame, text: str = "text") -> DataFrame:
     """Replace each span of ``pii`` in ``text`` by its kind in brackets; spans that overlap become one, named by the first."""
 
     def redact(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small_batches(batches):
             out = []
             for value, spans in zip(batch.column(text).to_pylist(), batch.column("pii").to_pylist(), strict=True):
                 if spans:

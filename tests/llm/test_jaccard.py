@@ -1,7 +1,9 @@
 """Near-duplicate classes against all pairs."""
 
 import random
+import tracemalloc
 
+import numpy as np
 import pytest
 
 from metacurate.llm import graphs, jaccard
@@ -113,6 +115,22 @@ def test_small_tables_are_written_by_few_tasks(spark, monkeypatch):
     assert max(files[k] for k in ("labels", "leaders", "stars", "texts", "key_classes", "other_keys")) == 1
 
 
+def test_repeated_shingles_take_little_memory():
+    rnd = np.random.default_rng(3)
+    for sets in ([], [[]], [[5]], [[1, 2], [2, 3], [3], [3, 9], [9]], list(rnd.integers(0, 2**63, (100, 1000)) >> 48)):
+        arrays = [np.unique(np.array(s, np.uint64)) for s in sets]
+        if arrays:
+            keys, counts = np.unique(np.concatenate(arrays), return_counts=True)
+            got = jaccard.repeated(arrays).to_pydict()
+            assert got == {"key": keys[counts > 1].tolist(), "n": counts[counts > 1].tolist()}
+    sets = [rnd.integers(0, 2**63, 10_000).astype(np.uint64) for _ in range(100)]  # 8 MB
+    tracemalloc.start()
+    jaccard.repeated(sets)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 14e6  # 42 MB with numpy's unique
+
+
 def test_edges(spark):
     balanced = "a"
     while len(balanced) < 1024:  # words that a polynomial hash modulo 2**64 takes for one

@@ -5,6 +5,9 @@ import random
 import re
 import time
 
+import pyarrow as pa
+
+from metacurate.llm import pii
 from metacurate.llm.pii import KINDS, base_spans, contexts, find_pii, redacted, span_digests
 
 SCHEMA = "doc_id bigint, text string, pii string, _base int, _row string"
@@ -97,3 +100,10 @@ def test_tokens_inside_fixed_spans_are_no_instances():
         starts = [m.start() for m in re.finditer("key-77x|x9999", text)]
         free = {s for s in starts if not any(a < s + 5 and s < b for _, a, b in spans)}
         assert free <= {s for s, _ in found} or len(text.split()) < 3
+
+
+def test_rows_are_scanned_in_small_batches():
+    batch = pa.RecordBatch.from_pydict({"n": list(range(1000))})
+    cut = list(pii.small_batches(iter([batch, batch.slice(0, 0), batch.slice(0, 300)])))
+    assert max(b.num_rows for b in cut) <= 256
+    assert [x for b in cut for x in b.column("n").to_pylist()] == [*range(1000), *range(300)]
