@@ -19,7 +19,7 @@ by their bit signatures, block by block, and only pairs that can link become row
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from hashlib import blake2b
 
 import numpy as np
@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from metacurate.llm.graphs import components
-from metacurate.llm.ngrams import shingle_sets
+from metacurate.llm.ngrams import shingle_sets, small_batches
 from metacurate.llm.registry import query, table
 from metacurate.operators.checkpoints import stored
 from metacurate.operators.joins import join_unique
@@ -56,9 +56,9 @@ def _need(n: int, percent: int) -> int:
 def repeated(sets: list[np.ndarray]) -> pa.RecordBatch:
     """``key, n`` of the hashes that occur more than once in ``sets``, which is emptied.
 
-    Sorted in place and cut by flags, so that it takes the hashes twice at most.
+    Sorted in place and cut by flags, so that it takes the hashes twice at most, and a single array only once.
     """
-    keys = np.concatenate(sets)
+    keys = sets[0] if len(sets) == 1 else np.concatenate(sets)
     sets.clear()
     keys.sort()
     again = keys[1:] == keys[:-1]
@@ -70,6 +70,27 @@ def repeated(sets: list[np.ndarray]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(keys[starts].view(np.int64)), pa.array(counts)], names=["key", "n"])
 
 
+def repeated_in_runs(sets: Iterable[np.ndarray], run: int = _COUNTED) -> Iterator[pa.RecordBatch]:
+    """``repeated`` of each run of sets, which ends with the set that brings it to ``run`` hashes.
+
+    One array holds a run, and its pages are taken as they fill; thousands of small ones would leave the heap of the process in pieces.
+    """
+    held, size = np.empty(2 * run, np.uint64), 0
+    for found in sets:
+        if size + len(found) > len(held):
+            held = np.concatenate([held[:size], found])
+        else:
+            held[size : size + len(found)] = found
+        size += len(found)
+        if size >= run:
+            yield repeated([held[:size]])
+            if len(held) > 2 * run:
+                held = np.empty(2 * run, np.uint64)
+            size = 0
+    if size:
+        yield repeated([held[:size]])
+
+
 def frequent_shingles(docs: DataFrame, n: int, rare: int = RARE, most: int = MOST_FREQUENT) -> np.ndarray:
     """Hashes of frequent shingles, at most ``most``, sorted.
 
@@ -80,16 +101,7 @@ def frequent_shingles(docs: DataFrame, n: int, rare: int = RARE, most: int = MOS
     """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sets, size = [], 0
-        for batch in batches:
-            for _, found in shingle_sets(batch.column("text"), n):
-                sets.append(found)
-                size += len(found)
-                if size >= _COUNTED:
-                    yield repeated(sets)
-                    size = 0
-        if sets:
-            yield repeated(sets)
+        return repeated_in_runs(found for batch in batches for _, found in shingle_sets(batch.column("text"), n))
 
     counted = docs.select(F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")).mapInArrow(count, "key bigint, n bigint")
     counted = stored(counted.groupBy("key").agg(F.sum("n").alias("n")).where(F.col("n") >= rare), "shingle_counts")
@@ -120,7 +132,7 @@ def signatures(docs: DataFrame, n: int, percent: int, frequent: np.ndarray) -> D
     """
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small_batches(batches):
             sizes, prints, prefixes, bounds, least, bits, wide = [], [], [], [0], [], [], []
             for _, found in shingle_sets(batch.column("text"), n):
                 sizes.append(len(found))

@@ -7,7 +7,8 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-_STEP = 1 << 19  # bytes of text handled at once; a longer text is handled alone
+_STEP = 1 << 17  # bytes of text handled at once; a longer text is handled alone
+_BATCH = 256  # rows whose texts or results are Python objects at once
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
@@ -24,6 +25,13 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(31))
 
 
+def small_batches(batches: Iterator[pa.RecordBatch], rows: int = _BATCH) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches of at most ``rows``."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def _place_weights(n: int) -> np.ndarray:
     """An unrelated 64-bit weight for each of at least ``n`` places in a word."""
     global _weights

@@ -20,6 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from metacurate.llm.ngrams import small_batches
 from metacurate.llm.registry import query, table
 from metacurate.operators.checkpoints import stored
 from metacurate.operators.joins import join_unique
@@ -35,7 +36,6 @@ KINDS = ("email", "ip", "card", "phone", "id")
 _DIGIT = re.compile("[0-9]")
 _WORD = re.compile(r"\S+")
 _LONG = 64
-_BATCH = 256  # rows whose contexts or texts are Python objects at once
 ROUNDS = 3
 MIN_SUPPORT = 3.0
 MIN_SCORE = 0.8
@@ -124,13 +124,6 @@ def contexts(text: str, spans: Sequence[tuple[int, int, int]]) -> list[tuple[int
     return out
 
 
-def small_batches(batches: Iterator[pa.RecordBatch], rows: int = _BATCH) -> Iterator[pa.RecordBatch]:
-    """The same rows in batches of at most ``rows``."""
-    for batch in batches:
-        for at in range(0, batch.num_rows, rows):
-            yield batch.slice(at, rows)
-
-
 def scan(docs: DataFrame, keep: Sequence[str]) -> DataFrame:
     """``keep`` columns, fixed spans and contexts of each row, and a ``_row`` id."""
     kept = docs.select(*keep, F.coalesce(F.col("text").cast("string"), F.lit("")).alias("_text"))

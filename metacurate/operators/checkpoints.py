@@ -10,6 +10,9 @@ from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
+ARROW_BATCH = "2m"
+_BATCH_KEY = "spark.sql.execution.arrow.maxBytesPerBatch"
+
 _made: ContextVar[list[str] | None] = ContextVar("folders_of_the_block", default=None)
 
 
@@ -56,13 +59,31 @@ def temporary_tables(spark: SparkSession) -> Iterator[list[str]]:
             path.getFileSystem(conf).delete(path, True)
 
 
+@contextmanager
+def arrow_batches(spark: SparkSession, size: str = ARROW_BATCH) -> Iterator[None]:
+    """Python functions that run inside the block get Arrow batches of some ``size``, unless the session has a size of its own.
+
+    Spark's default, 64 MB, is held by the executor and by its Python worker, for each task.
+    """
+    own = spark.conf.get(_BATCH_KEY, None)
+    if own is None:
+        spark.conf.set(_BATCH_KEY, size)
+    try:
+        yield
+    finally:
+        if own is None:
+            spark.conf.unset(_BATCH_KEY)
+
+
 def stored(df: DataFrame, label: str = "stored") -> DataFrame:
     """Compute ``df`` once, into a table of the shared folder, and read it from there.
 
     Nothing above is computed twice, the loss of an executor costs nothing but
-    the read, and the planner knows the size of the result.
+    the read, and the planner knows the size of the result. Python functions get
+    small batches.
     """
     spark = df.sparkSession
     path = new_folder(spark, label)
-    df.write.parquet(path)
+    with arrow_batches(spark):
+        df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

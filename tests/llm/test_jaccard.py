@@ -1,6 +1,9 @@
 """Near-duplicate classes against all pairs."""
 
+import os
 import random
+import subprocess
+import sys
 import tracemalloc
 
 import numpy as np
@@ -126,6 +129,36 @@ def test_repeated_shingles_take_little_memory():
     assert peak < 14e6  # 42 MB with numpy's unique
 
 
+def test_runs_of_sets_take_one_array():
+    rnd = np.random.default_rng(4)
+    sets = [np.unique(rnd.integers(0, 500, size).astype(np.uint64)) for size in [*range(0, 300, 7), 5000, 3, 0, 40]]
+    for run in (1, 50, 300, 10_000):
+        runs, size = [[]], 0
+        for s in sets:
+            runs[-1].append(s)
+            size += len(s)
+            if size >= run:
+                runs.append([])
+                size = 0
+        expected = [jaccard.repeated([s.copy() for s in r]).to_pydict() for r in runs if sum(map(len, r))]
+        assert [b.to_pydict() for b in jaccard.repeated_in_runs(iter(sets), run)] == expected
+    code = """if True:
+        import resource
+        import numpy as np
+        from metacurate.llm import jaccard
+        peak = lambda: resource.getrusage(resource.RUSAGE_SELF).ru_maxrss / 1024
+        rnd = np.random.default_rng(5)
+        sets = (np.unique(rnd.integers(0, 2**62, rnd.integers(900, 1100)).astype(np.uint64)) for _ in range(4500))
+        before = peak()
+        for run in jaccard.repeated_in_runs(sets):
+            pass
+        print(peak() - before)
+    """
+    env = os.environ | {"PYTHONPATH": os.pathsep.join(sys.path)}
+    done = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, check=True, env=env)
+    assert float(done.stdout) < 59  # MB, 33 of them the run; with a list of the sets 67
+
+
 def test_edges(spark):
     balanced = "a"
     while len(balanced) < 1024:  # words that a polynomial hash modulo 2**64 takes for one

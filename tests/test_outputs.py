@@ -2,6 +2,7 @@ import csv
 import glob
 import json
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -210,6 +211,29 @@ def test_url_columns(spark):
     assert rows(invalid_urls(column_values(df, "k", "id", ["a", "b"]))) == [("k", "2", "b", "bad", "invalid_url")]
 
 
+def test_stored_tables_give_python_small_batches(spark):
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_pydict({"n": [batch.num_rows], "bytes": [batch.nbytes]})
+
+    def longest():
+        texts = spark.range(0, 4000, 1, 1).select(F.repeat(F.lit("x"), 4000).alias("text"))
+        got = stored(texts.mapInArrow(sizes, "n bigint, bytes bigint")).collect()
+        assert sum(r["n"] for r in got) == 4000
+        return max(r["bytes"] for r in got)
+
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    unset = spark.conf.get(key)
+    assert longest() < 3e6  # 16 MB in one batch by Spark's default
+    assert spark.conf.get(key) == unset
+    spark.conf.set(key, "8m")  # a setting of the session's own counts
+    try:
+        assert 4e6 < longest() < 9e6
+        assert spark.conf.get(key) == "8m"
+    finally:
+        spark.conf.unset(key)
+
+
 def test_stored_results_cut_the_plan(spark):
     df = stored(spark.range(10).where("id > 5"))
     plan = df._jdf.queryExecution().executedPlan().toString()
