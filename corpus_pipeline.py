@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from metacurate.llm.jaccard import near_duplicates  # noqa: E402
+from metacurate.llm.jaccard import BROADCAST_ROWS, near_duplicates  # noqa: E402
 from metacurate.llm.packing import PUBLIC_SPECIAL, pack_documents, public_vocabulary  # noqa: E402
 from metacurate.llm.pii import find_pii, redacted  # noqa: E402
 from metacurate.llm.quality import quality_verdicts  # noqa: E402
@@ -48,11 +48,17 @@ def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     """The document with the smallest id of each near-duplicate class.
 
     Rows without an id are in no class and stay; of rows that repeat an id one stays.
+    Up to 2**20 kept ids are broadcast, so that no text is shuffled for them; beyond that, each is once.
     """
     classes = near_duplicates(docs, SHINGLE_WORDS, SIMILAR_PERCENT)
     first = stored(classes.where("doc_id = component_id").groupBy("doc_id").agg(F.count("*").alias("n")), "kept_ids")
-    single = join_unique(docs, first.where("n = 1"), "doc_id", "left_semi")
-    repeated = join_unique(docs, first.where("n > 1"), "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    small = first.count() <= BROADCAST_ROWS
+
+    def having(ids: DataFrame) -> DataFrame:
+        ids = ids.select("doc_id")
+        return docs.join(F.broadcast(ids), "doc_id", "left_semi") if small else join_unique(docs, ids, "doc_id", "left_semi")
+
+    single, repeated = having(first.where("n = 1")), having(first.where("n > 1")).dropDuplicates(["doc_id"])
     return single.unionByName(repeated).unionByName(docs.where("doc_id IS NULL")).select(*docs.columns)
 
 

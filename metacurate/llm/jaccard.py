@@ -38,7 +38,7 @@ RARE = 64  # documents or classes of a key that are compared pair by pair
 ROUNDS = 2
 KEY_ROUNDS = 3
 MOST_FREQUENT = 1 << 18  # shingles whose frequency the order knows of, 2 MB
-BLOCK = 512
+BLOCK = 2048
 BROADCAST_ROWS = 1 << 20
 BROADCAST_BYTES = 1 << 24
 TEXTS_PER_TASK = 256
@@ -255,18 +255,22 @@ def _document_pairs(entries: DataFrame, percent: int) -> DataFrame:
     return left.join(right, "key").where(other & _close(percent))
 
 
+def _dealt(signed: DataFrame) -> DataFrame:
+    """Each document of a key once for each pair of blocks, ``low`` and ``high``, that its ``own`` is one of: as often as there are blocks."""
+    blocks = F.ceil(F.col("n") / BLOCK)
+    placed = signed.select("key", "doc_id", "size", "class", "bits", F.pmod(F.xxhash64("doc_id"), blocks).alias("own"), blocks.alias("blocks"))
+    return placed.withColumn("other", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1))).select(
+        "key", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), "own", "doc_id", "size", "class", "bits"
+    )
+
+
 def _block_pairs(keyed: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
     """Pairs of documents of different classes with a key in common, as far as their bit signatures let them link.
 
     ``keyed`` is ``key, n, doc_id, size, class`` with the number of documents of the key. They meet in
-    blocks of some 512, which bounds a task whatever the number is; pairs that cannot link never become rows.
+    blocks of some 2048, which bounds a task whatever the number is; pairs that cannot link never become rows.
     """
-    blocks = F.ceil(F.col("n") / BLOCK)
-    signed = join_unique(keyed, nodes.select("doc_id", "bits"), "doc_id")
-    placed = signed.select("key", "doc_id", "size", "class", "bits", F.pmod(F.xxhash64("doc_id"), blocks).alias("own"), blocks.alias("blocks"))
-    dealt = placed.withColumn("other", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1))).select(
-        "key", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), "own", "doc_id", "size", "class", "bits"
-    )
+    dealt = _dealt(join_unique(keyed, nodes.select("doc_id", "bits"), "doc_id"))
 
     def close(one: tuple, many: tuple) -> np.ndarray:
         doc, size, bits = many

@@ -8,6 +8,7 @@ import tracemalloc
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from metacurate.llm import graphs, jaccard
 from metacurate.llm.graphs import components
@@ -159,6 +160,23 @@ def test_runs_of_sets_take_one_array():
     assert float(done.stdout) < 59  # MB, 33 of them the run; with a list of the sets 67
 
 
+def test_documents_of_a_key_are_dealt_to_few_blocks(spark):
+    keyed = spark.range(0, 8000).selectExpr(
+        "cast(id >= 2000 as bigint) AS key", "CASE WHEN id < 2000 THEN 2000L ELSE 6000L END AS n", "id AS doc_id", "9L AS size", "id AS class", "array(id) AS bits"
+    )
+    got = {r["key"]: r["rows"] for r in jaccard._dealt(keyed).groupBy("key").agg(F.count("*").alias("rows")).collect()}
+    assert got == {0: 2000, 1: 3 * 6000}  # in blocks of 512, 8,000 and 72,000
+
+
+@pytest.mark.parametrize("block", [1, 3, 2048])
+def test_pairs_of_blocks_are_all_pairs_that_can_link(spark, block, monkeypatch):
+    monkeypatch.setattr(jaccard, "BLOCK", block)
+    nodes = spark.createDataFrame([(i, [7 if i < 6 else -1 << 40] * 16) for i in range(12)], "doc_id bigint, bits array<bigint>")
+    keyed = nodes.selectExpr("5L AS key", "12L AS n", "doc_id", "20L AS size", "doc_id % 4 AS class")
+    got = [tuple(r) for r in jaccard._block_pairs(keyed, nodes, 80).collect()]
+    assert sorted(got) == [(a, b) for a in range(12) for b in range(a + 1, 12) if a % 4 != b % 4 and (a < 6) == (b < 6)]
+
+
 def test_edges(spark):
     balanced = "a"
     while len(balanced) < 1024:  # words that a polynomial hash modulo 2**64 takes for one

@@ -118,3 +118,21 @@ def test_empty_table(spark, tmp_path):
     spark.createDataFrame([], SCHEMA).write.parquet(str(tmp_path / "documents.parquet"))
     spark.createDataFrame([], test_quality.LABELS).write.parquet(str(tmp_path / "labels.parquet"))
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+
+
+def test_kept_ids_move_no_texts(spark, monkeypatch):
+    texts = [*[(i, f"{i} a{i} b{i} c{i} d{i} e{i}") for i in range(50)], (7, "x"), (None, "y")]
+    docs = spark.createDataFrame([(i, text, len(text), None, None, 0) for i, text in texts], SCHEMA)
+    wanted, threshold = None, spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for most, joins in ((1 << 20, 0), (10, 2)):
+            monkeypatch.setattr(corpus_pipeline, "BROADCAST_ROWS", most)
+            kept = corpus_pipeline.keep_one_of_each(spark, docs, "")
+            plan = kept._jdf.queryExecution().executedPlan().toString()
+            assert plan.count("SortMergeJoin") == joins
+            got = sorted((r["doc_id"] for r in kept.collect()), key=repr)
+            wanted = wanted or got
+            assert got == wanted == sorted([*range(50), None], key=repr)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
